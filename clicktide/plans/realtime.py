@@ -10,49 +10,47 @@ from pyspark.sql.streaming import StreamingQuery
 from clicktide.operators.ads import CLICK_LIMIT
 from clicktide.session import build_session
 from clicktide.sources.ads_log import TOPIC, ads_source, kafka_options
-from clicktide.streaming.gate import accepted_stream, start_gate
-from clicktide.streaming.reports import start_last_hour, start_region_counts
+from clicktide.streaming.gate import GateStore, accepted_stream, start_gate
+from clicktide.streaming.reports import minute_table, start_last_hour, start_region_counts
 
-GATE = "gate"
 COUNTS = "area_city_ads_day_clickcount"
 TOP3 = "top3_ads_per_day"
 LAST_HOUR = "last_hour_ads_click"
 
 
-def start_reports(
+def gate_store(root: str) -> GateStore:
+    return GateStore(f"{root}/gate")
+
+
+def run_gate(
+    lines: DataFrame, root: str, limit: int = CLICK_LIMIT, trigger: dict | None = None
+) -> StreamingQuery:
+    return start_gate(lines, gate_store(root), f"{root}/checkpoints/gate", limit, trigger)
+
+
+def run_region_counts(
     spark: SparkSession, root: str, trigger: dict | None = None
-) -> list[StreamingQuery]:
-    """The queries that read the gate's output below ``root``."""
-    clicks = accepted_stream(spark, f"{root}/{GATE}")
-    return [
-        start_region_counts(
-            clicks, f"{root}/{COUNTS}", f"{root}/{TOP3}", f"{root}/checkpoints/{COUNTS}", trigger
-        ),
-        start_last_hour(
-            spark, f"{root}/{GATE}", f"{root}/{LAST_HOUR}", f"{root}/checkpoints/{LAST_HOUR}",
-            trigger,
-        ),
-    ]
+) -> StreamingQuery:
+    clicks = accepted_stream(spark, gate_store(root))
+    return start_region_counts(
+        clicks, f"{root}/{COUNTS}", f"{root}/{TOP3}", f"{root}/checkpoints/{COUNTS}", trigger
+    )
+
+
+def run_last_hour(spark: SparkSession, root: str, trigger: dict | None = None) -> StreamingQuery:
+    clicks = accepted_stream(spark, gate_store(root))
+    return start_last_hour(
+        clicks, minute_table(f"{root}/minutes"), f"{root}/{LAST_HOUR}",
+        f"{root}/checkpoints/{LAST_HOUR}", trigger,
+    )
 
 
 def start_all(
-    spark: SparkSession,
-    lines: DataFrame,
-    root: str,
-    limit: int = CLICK_LIMIT,
+    spark: SparkSession, lines: DataFrame, root: str, limit: int = CLICK_LIMIT
 ) -> list[StreamingQuery]:
     """Start gate and reports, each with its own checkpoint, everything below ``root``."""
-    gate = start_gate(lines, f"{root}/{GATE}", f"{root}/checkpoints/{GATE}", limit)
-    return [gate, *start_reports(spark, root)]
-
-
-def run_available(spark: SparkSession, lines: DataFrame, root: str, limit: int) -> None:
-    """Process what is there with the same queries, then stop."""
-    once = {"availableNow": True}
-    gate = start_gate(lines, f"{root}/{GATE}", f"{root}/checkpoints/{GATE}", limit, once)
-    gate.awaitTermination()
-    for query in start_reports(spark, root, once):
-        query.awaitTermination()
+    gate = run_gate(lines, root, limit)
+    return [gate, run_region_counts(spark, root), run_last_hour(spark, root)]
 
 
 def main(argv: list[str] | None = None) -> None:

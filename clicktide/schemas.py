@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Columns from ``name TYPE`` pairs; needs no running session, unlike a DDL parse."""
+    pairs = (column.split() for column in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # -1 in a click column and NULL in an id list mean "not this kind of action".

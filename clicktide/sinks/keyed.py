@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicktide.schemas import KEYED_VALUE
 
@@ -30,8 +31,8 @@ def keyed_upsert(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
-    schema = KEYED_VALUE.simpleString()[len("struct<"):-1].replace(":", " ")
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
+    schema = T.StructType([*KEYED_VALUE.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:

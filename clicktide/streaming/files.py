@@ -1,0 +1,34 @@
+"""Folder checks and moves on the file system of a path."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _open(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _open(spark, path)
+    return system.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    target, system = _open(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    target, system = _open(spark, path)
+    system.mkdirs(target)
+
+
+def publish(spark: SparkSession, staged: str, final: str) -> None:
+    """Move a finished folder to its final name, in one step where the file system can."""
+    source, system = _open(spark, staged)
+    target, _ = _open(spark, final)
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {staged} to {final}")

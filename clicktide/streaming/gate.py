@@ -1,151 +1,146 @@
 """The black-list gate: drops clicks of users who click one ad too often in a day.
 
-State is kept per user in the state store of the query, so a batch touches only
-the users it contains and a restart goes on from the checkpoint. Accepted
-clicks, stored counts and listings leave through one exactly-once file sink,
-``<path>/kind=<click|count|listed>/day=<yyyy-MM-dd>``.
+Below its folder the gate keeps ``accepted`` and ``rejected`` lines by batch,
+the stored ``counts`` per user, ad and day, and the ``listed`` users.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from clicktide.operators.ads import CLICK_LIMIT, ads_log_parse
+from clicktide.operators.ads import CLICK_LIMIT, ads_log_parse, malformed_lines
+from clicktide.streaming.batch_table import BatchTable
+from clicktide.streaming.files import child_names, exists, make_dir, publish
 
-CLICK_KEY = ["user_id", "area", "city", "ads_id", "day", "minute"]
-PARTIAL_SCHEMA = (
-    "user_id STRING, area STRING, city STRING, ads_id STRING, day STRING,"
-    " minute TIMESTAMP, clicks BIGINT"
+CLICK_SCHEMA = (
+    "logdate TIMESTAMP, area STRING, city STRING, user_id STRING, ads_id STRING,"
+    " day STRING, hour_min STRING"
 )
-OUT_SCHEMA = f"{PARTIAL_SCHEMA}, kind STRING"
-OUT_COLUMNS = [*CLICK_KEY, "clicks", "kind"]
-STATE_SCHEMA = "listed BOOLEAN, days ARRAY<STRING>, ads ARRAY<STRING>, counts ARRAY<BIGINT>"
+COUNT_KEYS = ("user_id", "ads_id", "day")
+# A list of this many users is some tens of megabytes and fits every executor.
+BROADCAST_USERS = 1_000_000
 
 
-# Spark ships the inner functions below to the executors by value, so the
-# package need not be installed there.
-def partial_counts(flush_rows: int = 200_000):
-    """Sum clicks of equal key inside a task, ahead of the shuffle by user.
+@dataclass(frozen=True)
+class GateStore:
+    """Where the gate keeps its results."""
 
-    A user with very many clicks then sends few rows. The rows held are bounded:
-    they are summed at every ``flush_rows`` and sent on when that no longer
-    halves them.
-    """
+    path: str
+    every: int = 100
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+    @property
+    def accepted(self) -> str:
+        return f"{self.path}/accepted"
 
-        def summed() -> pd.DataFrame:
-            rows = pd.concat(held, ignore_index=True)
-            return rows.groupby(CLICK_KEY, as_index=False, sort=False)["clicks"].sum()
+    @property
+    def rejected(self) -> str:
+        return f"{self.path}/rejected"
 
-        for frame in frames:
-            held.append(frame)
-            if sum(map(len, held)) >= flush_rows:
-                held = [summed()]
-                if len(held[0]) > flush_rows // 2:
-                    yield held.pop()
-        if held:
-            yield summed()
+    @property
+    def counts(self) -> BatchTable:
+        schema = "user_id STRING, ads_id STRING, day STRING, click_count BIGINT"
+        return BatchTable(f"{self.path}/counts", schema, COUNT_KEYS, "click_count", self.every)
 
-    return run
+    @property
+    def listed(self) -> BatchTable:
+        schema = "user_id STRING, click_count BIGINT"
+        return BatchTable(f"{self.path}/listed", schema, ("user_id",), "click_count", self.every)
 
+    def last_batch(self, spark: SparkSession) -> int:
+        """The last batch that is complete."""
+        names = child_names(spark, self.accepted)
+        return max(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
-def gate_user(limit: int):
-    """The update of one user by one micro-batch."""
 
-    def update(
-        key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        listed, stored = False, {}
-        if state.exists:
-            listed, days, ads, counts = state.get
-            stored = dict(zip(zip(days, ads), counts))
-        if listed:
-            return
-        batch: dict[tuple[str, str], int] = {}
-        for frame in frames:
-            for pair, clicks in frame.groupby(["day", "ads_id"])["clicks"].sum().items():
-                batch[pair] = batch.get(pair, 0) + int(clicks)
-            yield frame.assign(kind="click")[OUT_COLUMNS]
-        # A key stored at the limit lists the user; every other key is increased.
-        over = [pair for pair in batch if stored.get(pair, 0) >= limit]
-        grown = {p: stored.get(p, 0) + n for p, n in batch.items() if p not in over}
-        stored.update(grown)
-        # A listed user never needs counts again.
-        kept = [] if over else list(stored)
-        state.update(
-            (bool(over), [d for d, _ in kept], [a for _, a in kept], [stored[p] for p in kept])
-        )
-        rows = [(*pair, n, "count") for pair, n in grown.items()]
-        rows += [(*pair, stored[pair], "listed") for pair in over]
-        out = pd.DataFrame(rows, columns=["day", "ads_id", "clicks", "kind"])
-        yield out.assign(user_id=key[0], area=None, city=None, minute=pd.NaT)[OUT_COLUMNS]
+def _without(clicks: DataFrame, listed: DataFrame) -> DataFrame:
+    users = listed.select("user_id")
+    if users.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS:
+        users = F.broadcast(users)
+    return clicks.join(users, "user_id", "left_anti")
 
-    return update
 
+def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]:
+    """The work on one micro-batch of lines.
 
-def gated(lines: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
-    """Stream of accepted clicks, stored counts and listings, told apart by ``kind``."""
-    clicks = ads_log_parse(lines).select(
-        "user_id", "area", "city", "ads_id", "day",
-        F.date_trunc("minute", "logdate").alias("minute"), F.lit(1).cast("bigint").alias("clicks"),
-    )
-    return (
-        clicks.mapInPandas(partial_counts(), PARTIAL_SCHEMA)
-        .groupBy("user_id")
-        .applyInPandasWithState(
-            gate_user(limit), OUT_SCHEMA, STATE_SCHEMA,
-            "append", GroupStateTimeout.NoTimeout,
+    The accepted clicks are published last. A batch that is run again after
+    that does nothing; one that is run again before that repeats the same work.
+    """
+
+    def put(lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        final = f"{store.accepted}/batch_id={batch_id}"
+        staged = f"{store.path}/staged/batch_id={batch_id}"
+        if exists(spark, final):
+            return
+        store.listed.fold(spark, batch_id)
+        store.counts.fold(spark, batch_id)
+
+        lines.persist()
+        bad = malformed_lines(lines)
+        bad.write.mode("overwrite").parquet(f"{store.rejected}/batch_id={batch_id}")
+        clicks = _without(ads_log_parse(lines), store.listed.before(spark, batch_id))
+        columns = [c.split()[0] for c in CLICK_SCHEMA.split(",")]
+        clicks.select(*columns).write.mode("overwrite").parquet(staged)
+        lines.unpersist()
+
+        accepted = spark.read.schema(CLICK_SCHEMA).parquet(staged)
+        days = [row["day"] for row in accepted.select("day").distinct().collect()]
+        stored = store.counts.before(spark, batch_id).where(F.col("day").isin(*days))
+        fresh = accepted.groupBy(*COUNT_KEYS).agg(F.count("*").alias("clicks"))
+        prior = F.coalesce("click_count", F.lit(0))
+        merged = fresh.join(stored, list(COUNT_KEYS), "left").withColumn("prior", prior)
+        # A key stored at the limit lists the user; every other key is increased.
+        over = merged.where(F.col("prior") >= limit)
+        store.listed.put(
+            over.groupBy("user_id").agg(F.max("prior").alias("click_count")), batch_id
         )
-    )
+        open_keys = merged.where(F.col("prior") < limit)
+        store.counts.put(
+            open_keys.withColumn("click_count", F.col("prior") + F.col("clicks")), batch_id
+        )
+        publish(spark, staged, final)
+
+    return put
 
 
 def start_gate(
     lines: DataFrame,
-    path: str,
+    store: GateStore,
     checkpoint: str,
     limit: int = CLICK_LIMIT,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run the gate into ``path``; by default in micro-batches of five seconds."""
+    """Run the gate, by default in micro-batches of five seconds."""
+    make_dir(lines.sparkSession, store.accepted)
     return (
-        gated(lines, limit)
-        .writeStream.format("parquet")
-        .partitionBy("kind", "day")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        lines.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .start(path)
+        .foreachBatch(gate_batch(store, limit))
+        .start()
     )
 
 
-def read_gate(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """What the gate has written so far."""
-    return spark.read.schema(OUT_SCHEMA).parquet(path).where(F.col("kind") == kind)
+def accepted_clicks(spark: SparkSession, store: GateStore) -> DataFrame:
+    """The clicks let through so far."""
+    return spark.read.schema(CLICK_SCHEMA).parquet(store.accepted).drop("batch_id")
 
 
-def accepted_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Accepted clicks as a stream, summed per task of the gate in ``clicks``."""
-    stream = spark.readStream.schema(OUT_SCHEMA).parquet(path)
-    return stream.where(F.col("kind") == "click").drop("kind")
+def accepted_stream(spark: SparkSession, store: GateStore) -> DataFrame:
+    """The clicks let through, as a stream."""
+    make_dir(spark, store.accepted)
+    return spark.readStream.schema(CLICK_SCHEMA).parquet(store.accepted).drop("batch_id")
 
 
-def blacklist_table(spark: SparkSession, path: str) -> DataFrame:
-    """Users listed so far; a user is listed once, possibly for several ads at a time."""
-    return read_gate(spark, path, "listed").select("user_id").distinct()
+def blacklist_table(spark: SparkSession, store: GateStore) -> DataFrame:
+    """The users listed so far."""
+    return store.listed.after(spark, store.last_batch(spark)).select("user_id")
 
 
-def stored_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Stored clicks per user, ad and day: counts only grow, so the latest is the largest."""
-    return (
-        read_gate(spark, path, "count")
-        .groupBy("user_id", "ads_id", "day")
-        .agg(F.max("clicks").alias("click_count"))
-    )
+def stored_counts(spark: SparkSession, store: GateStore) -> DataFrame:
+    """Stored clicks per user, ad and day."""
+    return store.counts.after(spark, store.last_batch(spark))

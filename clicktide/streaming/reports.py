@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clicktide.functions.columns import MINUTE_FORMAT
+from clicktide.functions.columns import DAY_FORMAT, MINUTE_FORMAT
 from clicktide.operators.ads import (
     area_ads_day_count,
     area_city_ads_day_clickcount,
@@ -14,7 +14,7 @@ from clicktide.operators.ads import (
     top3_ads_per_day,
 )
 from clicktide.sinks.keyed import keyed_rows, keyed_upsert
-from clicktide.streaming.gate import accepted_stream, read_gate
+from clicktide.streaming.batch_table import BatchTable
 
 
 def city_count_rows(counts: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def start_region_counts(
         counts.unpersist()
 
     return (
-        area_city_ads_day_clickcount(clicks, "clicks")
+        area_city_ads_day_clickcount(clicks)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -74,16 +74,15 @@ def start_changed_counts(
     A day is closed once clicks later than its end by ``late_by`` have come;
     clicks for a closed day are dropped and counted in the query progress.
     """
-    day = F.window("minute", "1 day").alias("day_window")
 
     def put(counts: DataFrame, batch_id: int) -> None:
         keyed_upsert(city_count_rows(counts), counts_path, batch_id)
 
     counts = (
-        clicks.withWatermark("minute", late_by)
-        .groupBy("area", "city", "ads_id", day)
-        .agg(F.sum("clicks").alias("click_count"))
-        .withColumn("day", F.date_format("day_window.start", "yyyy-MM-dd"))
+        clicks.withWatermark("logdate", late_by)
+        .groupBy("area", "city", "ads_id", F.window("logdate", "1 day").alias("span"))
+        .agg(F.count("*").alias("click_count"))
+        .withColumn("day", F.date_format("span.start", DAY_FORMAT))
     )
     return (
         counts.writeStream.outputMode("update")
@@ -94,42 +93,48 @@ def start_changed_counts(
     )
 
 
-def last_hour_view(spark: SparkSession, gate_path: str) -> DataFrame:
-    """Per ad the clicks of the last sixty minutes, up to the minute of the latest click.
+def minute_table(path: str, every: int = 100) -> BatchTable:
+    schema = "ads_id STRING, minute TIMESTAMP, click_count BIGINT"
+    return BatchTable(path, schema, ("ads_id", "minute"), "click_count", every)
 
-    The gate table is partitioned by day, so only the last one or two days are read.
-    """
-    clicks = read_gate(spark, gate_path, "click")
-    last_day = clicks.agg(F.max("day").alias("d")).scalar()
-    end = clicks.where(F.col("day") == last_day).agg(F.max("minute").alias("m")).scalar()
-    begin = end - F.expr("INTERVAL 60 MINUTES")
-    recent = clicks.where(
-        (F.col("day") >= F.date_format(begin, "yyyy-MM-dd")) & (F.col("minute") > begin)
-    )
-    counts = (
-        recent.groupBy("ads_id", "minute")
-        .agg(F.sum("clicks").alias("click_count"))
-        .withColumn("hour_min", F.date_format("minute", MINUTE_FORMAT))
-    )
-    return minutes_json(counts)
+
+def last_minutes(minutes: DataFrame) -> DataFrame:
+    """The sixty minutes that end with the latest one that has a click."""
+    end = minutes.agg(F.max("minute").alias("latest")).scalar()
+    return minutes.where(F.col("minute") > end - F.expr("INTERVAL 60 MINUTES"))
 
 
 def start_last_hour(
-    spark: SparkSession,
-    gate_path: str,
+    clicks: DataFrame,
+    minutes: BatchTable,
     last_hour_path: str,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Put the last-hour view out anew whenever accepted clicks have come, every ten seconds."""
+    """Clicks of the last hour by ad and minute, put out anew every ten seconds.
 
-    def put(_: DataFrame, batch_id: int) -> None:
-        keyed_upsert(last_hour_rows(last_hour_view(spark, gate_path)), last_hour_path, batch_id)
+    The stream keeps one count per ad and minute and lets it go two hours after
+    the minute; a sliding window would keep each click once for every slide.
+    """
+
+    def put(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        minutes.fold(spark, batch_id, last_minutes)
+        minutes.put(changed, batch_id)
+        recent = last_minutes(minutes.after(spark, batch_id)).withColumn(
+            "hour_min", F.date_format("minute", MINUTE_FORMAT)
+        )
+        keyed_upsert(last_hour_rows(minutes_json(recent)), last_hour_path, batch_id)
 
+    counts = (
+        clicks.withWatermark("logdate", "2 hours")
+        .groupBy("ads_id", F.window("logdate", "1 minute").alias("span"))
+        .agg(F.count("*").alias("click_count"))
+        .select("ads_id", F.col("span.start").alias("minute"), "click_count")
+    )
     return (
-        accepted_stream(spark, gate_path)
-        .select("minute")
-        .writeStream.option("checkpointLocation", checkpoint)
+        counts.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .foreachBatch(put)
         .start()

@@ -402,8 +402,7 @@ FROM va""",
     + "\nSELECT ms, area, city, user_id, ads_id, day, hour_min FROM clicks",
     "user_blacklist_stream": _ads("SELECT user_id FROM listed", BATCH_OF_SLICE),
     "ads_log_filtered_stream": _ads(
-        "SELECT user_id, area, city, ads_id, day, hour_min, count(*) AS clicks FROM accepted"
-        " GROUP BY user_id, area, city, ads_id, day, hour_min",
+        "SELECT ms, area, city, user_id, ads_id, day, hour_min FROM accepted",
         BATCH_OF_SLICE,
     ),
     "user_ads_count_perday_stream": _ads(STORED, BATCH_OF_SLICE),
