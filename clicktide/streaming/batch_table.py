@@ -31,9 +31,13 @@ class BatchTable:
     def _full(self, batch_id: int) -> str:
         return f"{self.path}/full/batch_id={batch_id}"
 
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        columns = [*self.keys, self.value]
-        rows.select(*columns).write.mode("overwrite").parquet(self._changes(batch_id))
+    def put(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Write the changes of a batch and return them as written.
+
+        Columns beyond the schema are stored for the caller and not merged.
+        """
+        rows.write.mode("overwrite").parquet(self._changes(batch_id))
+        return rows.sparkSession.read.schema(rows.schema).parquet(self._changes(batch_id))
 
     def _merged(self, spark: SparkSession, full: int, batch_id: int) -> DataFrame:
         paths = [self._full(full)] if full else []

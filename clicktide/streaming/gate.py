@@ -21,6 +21,7 @@ CLICK_SCHEMA = (
     "logdate TIMESTAMP, area STRING, city STRING, user_id STRING, ads_id STRING,"
     " day STRING, hour_min STRING"
 )
+CLICK_COLUMNS = [column.split()[0] for column in CLICK_SCHEMA.split(",")]
 COUNT_KEYS = ("user_id", "ads_id", "day")
 # A list of this many users is some tens of megabytes and fits every executor.
 BROADCAST_USERS = 1_000_000
@@ -81,27 +82,29 @@ def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]
         store.counts.fold(spark, batch_id)
 
         lines.persist()
-        bad = malformed_lines(lines)
-        bad.write.mode("overwrite").parquet(f"{store.rejected}/batch_id={batch_id}")
-        clicks = _without(ads_log_parse(lines), store.listed.before(spark, batch_id))
-        columns = [c.split()[0] for c in CLICK_SCHEMA.split(",")]
-        clicks.select(*columns).write.mode("overwrite").parquet(staged)
-        lines.unpersist()
+        try:
+            bad = malformed_lines(lines)
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{store.rejected}/batch_id={batch_id}")
+            clicks = _without(ads_log_parse(lines), store.listed.before(spark, batch_id))
+            clicks.select(*CLICK_COLUMNS).write.mode("overwrite").parquet(staged)
+        finally:
+            lines.unpersist()
 
         accepted = spark.read.schema(CLICK_SCHEMA).parquet(staged)
         days = [row["day"] for row in accepted.select("day").distinct().collect()]
         stored = store.counts.before(spark, batch_id).where(F.col("day").isin(*days))
         fresh = accepted.groupBy(*COUNT_KEYS).agg(F.count("*").alias("clicks"))
-        prior = F.coalesce("click_count", F.lit(0))
-        merged = fresh.join(stored, list(COUNT_KEYS), "left").withColumn("prior", prior)
         # A key stored at the limit lists the user; every other key is increased.
-        over = merged.where(F.col("prior") >= limit)
-        store.listed.put(
-            over.groupBy("user_id").agg(F.max("prior").alias("click_count")), batch_id
+        prior = F.coalesce("click_count", F.lit(0))
+        changed = fresh.join(stored, list(COUNT_KEYS), "left").select(
+            *COUNT_KEYS,
+            (prior + F.when(prior < limit, F.col("clicks")).otherwise(0)).alias("click_count"),
+            (prior >= limit).alias("lists_user"),
         )
-        open_keys = merged.where(F.col("prior") < limit)
-        store.counts.put(
-            open_keys.withColumn("click_count", F.col("prior") + F.col("clicks")), batch_id
+        over = store.counts.put(changed, batch_id).where("lists_user")
+        store.listed.put(
+            over.groupBy("user_id").agg(F.max("click_count").alias("click_count")), batch_id
         )
         publish(spark, staged, final)
 

@@ -1,0 +1,57 @@
+from rows import actions, as_tuples
+
+from clicktide.operators.categories import (
+    category_action_counts,
+    category_session_counts,
+    category_top10,
+    category_top10_session_count,
+)
+
+COUNTS = "category_id STRING, click_count BIGINT, order_count BIGINT, pay_count BIGINT"
+
+
+def test_counts_by_kind(spark):
+    table = actions(
+        spark,
+        {"click_category_id": 1, "order_category_ids": "9", "pay_category_ids": "9"},
+        {"click_category_id": 1},
+        {"order_category_ids": "1,2,,2,"},
+        {"order_category_ids": "", "pay_category_ids": "2"},
+        {"order_category_ids": ","},
+        {"search_keyword": "x"},
+    )
+    assert as_tuples(category_action_counts(table)) == [("1", 2, 1, 0), ("2", 0, 2, 1)]
+
+
+def test_orders_by_product_ids(spark):
+    table = actions(spark, {"order_category_ids": "1", "order_product_ids": "7,8"})
+    counts = category_action_counts(table, "order_product_ids")
+    assert as_tuples(counts) == [("7", 0, 1, 0), ("8", 0, 1, 0)]
+
+
+def test_order_of_the_top_ten(spark):
+    rows = [
+        ("10", 5, 1, 1), ("9", 5, 1, 1), ("8", 5, 1, 2), ("7", 5, 2, 0), ("6", 9, 0, 0),
+        ("5", 0, 99, 99), ("4", 4, 0, 0), ("3", 3, 0, 0), ("2", 2, 0, 0), ("1", 1, 0, 0),
+        ("0", 0, 0, 1),
+    ]
+    top = category_top10(spark.createDataFrame(rows, COUNTS), "t").collect()
+    assert [r.category_id for r in top] == ["6", "7", "8", "9", "10", "4", "3", "2", "1", "5"]
+
+
+def test_sessions_of_the_top_categories(spark):
+    clicks = []
+    for session in range(12):
+        clicks += [{"session_id": f"s_{session:02}", "click_category_id": 1}] * (session + 1)
+    clicks += [{"session_id": "other", "click_category_id": 2}]
+    clicks += [{"session_id": "s_00", "click_category_id": 1}]
+    table = actions(spark, *clicks)
+    top = category_top10(category_action_counts(table), "t", 1)
+    counts = category_session_counts(table, top)
+    result = as_tuples(category_top10_session_count(counts, "t"))
+    assert len(result) == 10
+    # s_00 and s_01 both have two clicks; the lesser id takes no part as ten are ahead.
+    assert result[0] == ("t", "1", "s_02", 3)
+    assert result[-1] == ("t", "1", "s_11", 12)
+    tied = as_tuples(category_top10_session_count(counts, "t", 11))
+    assert ("t", "1", "s_00", 2) in tied and ("t", "1", "s_01", 2) not in tied
