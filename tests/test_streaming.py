@@ -1,0 +1,189 @@
+from collections import Counter
+from datetime import datetime, timezone
+
+import pytest
+from rows import as_tuples
+from test_ads import random_clicks, replay
+
+from clicktide.plans import realtime
+from clicktide.session import new_scratch_dir
+from clicktide.sinks.keyed import read_keyed, read_keyed_snapshot
+from clicktide.sources.ads_log import ads_source, kafka_options
+from clicktide.streaming import gate as gate_module
+from clicktide.streaming import reports
+from clicktide.streaming.batch_table import BatchTable
+from clicktide.streaming.gate import (
+    GateStore,
+    accepted_clicks,
+    accepted_stream,
+    blacklist_table,
+    gate_batch,
+    start_gate,
+    stored_counts,
+)
+
+ONCE = {"availableNow": True}
+
+
+def _line(click):
+    user, ad, day, batch = click
+    noon = datetime.fromisoformat(f"{day} 12:00:00").replace(tzinfo=timezone.utc)
+    return f"{int(noon.timestamp() + batch * 60) * 1000} north metro {user} {ad}"
+
+
+def _by_batch(clicks):
+    return [[_line(c) for c in clicks if c[3] == b] for b in sorted({c[3] for c in clicks})]
+
+
+def _feed(spark, root, batches, store, limit):
+    """One file and one run of the query for each batch, all from one checkpoint."""
+    for batch in batches:
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        frame.coalesce(1).write.mode("append").text(f"{root}/lines")
+        source = ads_source(spark, "text", path=f"{root}/lines")
+        start_gate(source, store, f"{root}/checkpoint", limit, ONCE).awaitTermination()
+
+
+def _state(spark, store):
+    return (
+        as_tuples(accepted_clicks(spark, store), "user_id", "ads_id", "day"),
+        {user for (user,) in as_tuples(blacklist_table(spark, store))},
+        {tuple(r)[:3]: r[3] for r in stored_counts(spark, store).collect()},
+    )
+
+
+def _expected(clicks, limit):
+    accepted, listed, stored = replay(clicks, limit)
+    counts = {key: n for key, n in stored.items() if n}
+    return sorted((c[:3] for c in accepted), key=repr), set(listed), counts
+
+
+@pytest.mark.parametrize("every", [100, 3])
+def test_gate_with_restarts_equals_replay(spark, every):
+    clicks = random_clicks(4, 200)
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate", every)
+    _feed(spark, root, _by_batch(clicks), store, 5)
+    assert _state(spark, store) == _expected(clicks, 5)
+
+
+def test_batches_of_one_run_equal_replay(spark):
+    clicks = random_clicks(6, 150)
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate")
+    for batch in _by_batch(clicks):
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        frame.coalesce(1).write.mode("append").text(f"{root}/lines")
+    source = ads_source(spark, "text", path=f"{root}/lines", maxFilesPerTrigger="1")
+    start_gate(source, store, f"{root}/checkpoint", 4, ONCE).awaitTermination()
+    assert _state(spark, store) == _expected(clicks, 4)
+
+
+def test_replay_and_crash_change_nothing(spark, monkeypatch):
+    clicks = random_clicks(7, 150)
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate", 2)
+    put = gate_batch(store, 4)
+    gate_module.make_dir(spark, store.accepted)
+    real = gate_module.publish
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    for number, batch in enumerate(_by_batch(clicks)):
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        monkeypatch.setattr(gate_module, "publish", crash)
+        with pytest.raises(RuntimeError):
+            put(frame, number)
+        monkeypatch.setattr(gate_module, "publish", real)
+        put(frame, number)
+        put(frame, number)
+    assert _state(spark, store) == _expected(clicks, 4)
+
+
+def test_long_lists_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(gate_module, "BROADCAST_USERS", 0)
+    clicks = random_clicks(8, 120)
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate")
+    put = gate_batch(store, 3)
+    for number, batch in enumerate(_by_batch(clicks)):
+        put(spark.createDataFrame([(v,) for v in batch], "value STRING"), number)
+    assert _state(spark, store) == _expected(clicks, 3)
+
+
+def test_malformed_lines_are_kept_aside(spark):
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate")
+    good = _line(("u", "a", "2024-01-01", 0))
+    _feed(spark, root, [[good, "broken"], [good]], store, 5)
+    assert accepted_clicks(spark, store).count() == 2
+    assert as_tuples(spark.read.parquet(store.rejected), "value") == [("broken",)]
+
+
+def test_reports_equal_the_accepted_clicks(spark):
+    clicks = random_clicks(9, 200)
+    root = new_scratch_dir(spark, "test")
+    batches = _by_batch(clicks)
+    accepted, _, _ = replay(clicks, 5)
+    for half in (batches[:4], batches[4:]):
+        for batch in half:
+            frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+            frame.coalesce(1).write.mode("append").text(f"{root}/lines")
+        lines = ads_source(spark, "text", path=f"{root}/lines", maxFilesPerTrigger="1")
+        realtime.run_gate(lines, root, 5, ONCE).awaitTermination()
+        realtime.run_region_counts(spark, root, ONCE).awaitTermination()
+        realtime.run_last_hour(spark, root, ONCE).awaitTermination()
+
+    totals = Counter((c[1], c[2]) for c in accepted)
+    counts = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
+    assert counts == sorted((f"north:metro:{ad}:{day}", str(n)) for (ad, day), n in totals.items())
+
+    top = dict(as_tuples(read_keyed(spark, f"{root}/{realtime.TOP3}"), "hash_key", "value"))
+    for day in ("2024-01-01", "2024-01-02"):
+        best = sorted(((n, ad) for (ad, d), n in totals.items() if d == day),
+                      key=lambda x: (-x[0], x[1]))
+        text = ",".join(f'{{"{ad}":{n}}}' for n, ad in best[:3])
+        assert top[f"top3_ads_per_day:{day}"] == f"[{text}]"
+
+    minutes = Counter((c[1], c[3]) for c in accepted if c[2] == "2024-01-02")
+    hour = as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}"), "field", "value")
+    assert hour == [
+        (ad, "[" + ",".join(f'{{"12:0{b}":{minutes[(ad, b)]}}}' for b in range(8)
+                            if minutes[(ad, b)]) + "]")
+        for ad in sorted({ad for ad, _ in minutes})
+    ]
+
+
+def test_changed_counts_drop_late_days(spark):
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate")
+    days = ["2024-01-01", "2024-01-05", "2024-01-01"]
+    for day in days:
+        _feed(spark, root, [[_line(("u", "a", day, 0))]], store, 5)
+        reports.start_changed_counts(
+            accepted_stream(spark, store), f"{root}/counts", f"{root}/counts-checkpoint",
+            "1 day", ONCE,
+        ).awaitTermination()
+    rows = as_tuples(read_keyed(spark, f"{root}/counts"), "field", "value")
+    assert rows == [("north:metro:a:2024-01-01", "1"), ("north:metro:a:2024-01-05", "1")]
+
+
+def test_batch_table_folds(spark):
+    path = new_scratch_dir(spark, "test")
+    table = BatchTable(path, "k STRING, n BIGINT", ("k",), "n", 2)
+    for batch in range(5):
+        table.fold(spark, batch)
+        assert table.before(spark, batch).count() == batch
+        rows = [(f"k{batch}", batch), ("k0", 10 * batch)]
+        table.put(spark.createDataFrame(rows, "k STRING, n BIGINT").dropDuplicates(["k"]), batch)
+    assert as_tuples(table.after(spark, 4)) == [
+        ("k0", 40), ("k1", 1), ("k2", 2), ("k3", 3), ("k4", 4),
+    ]
+
+
+def test_kafka_options():
+    options = kafka_options("host:1", max_offsets_per_trigger=5)
+    assert options["subscribe"] == "ads_log"
+    assert options["startingOffsets"] == "latest"
+    assert options["maxOffsetsPerTrigger"] == "5"
