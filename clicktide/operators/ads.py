@@ -12,42 +12,46 @@ CLICK_LIMIT = 10_000
 BATCH_SECONDS = 5
 
 
-def _fields(lines: DataFrame) -> DataFrame:
-    # Blanks at the end do not make a field; further fields are ignored.
-    parts = F.split(F.rtrim("value"), " ")
-    millis = F.when(parts[0].rlike("^[+-]?[0-9]+$"), parts[0].try_cast("bigint"))
-    return lines.withColumn("parts", parts).withColumn(
-        "millis", F.when(F.size("parts") >= 5, millis)
-    )
+# A time in digits, three more fields and a fifth that is not blank to the end.
+LINE_PATTERN = r"(?s)^[+-]?[0-9]+( [^ ]*){3} .*[^ ]"
+
+
+def _well_formed() -> Column:
+    # Tested on the text itself: a test on the split fields would be pushed below
+    # the split and repeat it.
+    in_range = F.substring_index("value", " ", 1).try_cast("bigint").isNotNull()
+    return F.coalesce(F.col("value").rlike(LINE_PATTERN) & in_range, F.lit(False))
 
 
 def ads_log_parse(lines: DataFrame) -> DataFrame:
     """Clicks from text lines ``<epoch ms> <area> <city> <user> <ad>``.
 
-    Lines that are not of this form are left to ``malformed_lines``.
+    Further fields are ignored. Lines that are not of this form are left to
+    ``malformed_lines``.
     """
-    parts = F.col("parts")
     extra = [c for c in lines.columns if c != "value"]
-    logdate = F.timestamp_millis("millis")
+    fields = F.split(F.col("value"), " ", 6)
+    parts = F.col("parts")
     return (
-        _fields(lines)
-        .where(F.col("millis").isNotNull())
+        lines.where(_well_formed())
+        .select(*extra, fields.alias("parts"))
+        .withColumn("logdate", F.timestamp_millis(parts[0].try_cast("bigint")))
         .select(
             *extra,
-            logdate.alias("logdate"),
+            "logdate",
             parts[1].alias("area"),
             parts[2].alias("city"),
             parts[3].alias("user_id"),
             parts[4].alias("ads_id"),
-            F.date_format(logdate, DAY_FORMAT).alias("day"),
-            F.date_format(logdate, MINUTE_FORMAT).alias("hour_min"),
+            F.date_format("logdate", DAY_FORMAT).alias("day"),
+            F.date_format("logdate", MINUTE_FORMAT).alias("hour_min"),
         )
     )
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """The lines that ``ads_log_parse`` does not read."""
-    return _fields(lines).where(F.col("millis").isNull()).select(*lines.columns)
+    return lines.where(~_well_formed())
 
 
 def with_batch(clicks: DataFrame, seconds: int = BATCH_SECONDS) -> DataFrame:
