@@ -145,7 +145,7 @@ def top3_ads_per_day(area_counts: DataFrame, k: int = 3) -> DataFrame:
         order.append(F.asc("city"))
     best = first_k(area_counts, ["day", "area"], order, k)
     # At most k rows per group are collected.
-    listed = F.array_sort(F.collect_list(F.struct("rn", "ads_id", "click_count")))
+    listed = F.sort_array(F.collect_list(F.struct("rn", "ads_id", "click_count")))
     return (
         best.groupBy("day", "area")
         .agg(listed.alias("ads"))
@@ -179,7 +179,7 @@ def ads_minute_counts(clicks: DataFrame, count_col: str | None = None) -> DataFr
 
 def minutes_json(minute_counts: DataFrame) -> DataFrame:
     """Per ad the list of (minute, clicks) as JSON text; an hour has at most 61 minutes."""
-    listed = F.array_sort(F.collect_list(F.struct("minute", "hour_min", "click_count")))
+    listed = F.sort_array(F.collect_list(F.struct("minute", "hour_min", "click_count")))
     return (
         minute_counts.groupBy("ads_id")
         .agg(listed.alias("minutes"))

@@ -15,9 +15,6 @@ from clicktide.functions.columns import (
 )
 from clicktide.operators.ranking import first_k
 
-KINDS = ("search", "click", "order", "pay")
-
-
 def tie_column(df: DataFrame, fallback: str) -> str:
     """The column that orders actions of one second: ``seq`` where the table has it."""
     return "seq" if "seq" in df.columns else fallback
@@ -53,23 +50,29 @@ def session_stat_info(profile: DataFrame, task_id: str, condition_json: str) ->
     )
 
 
-def _item_of_kind() -> Column:
-    kind = F.col("kind")
-    return (
-        F.when(kind == "search", F.col("search_keyword"))
-        .when(kind == "click", F.col("click_product_id").cast("string"))
-        .when(kind == "order", F.col("order_product_ids"))
-        .when(kind == "pay", F.col("pay_product_ids"))
-    )
+ITEM_OF_KIND = {
+    "search": "search_keyword",
+    "click": "click_product_id",
+    "order": "order_product_ids",
+    "pay": "pay_product_ids",
+}
 
 
-def _csv_of_kind(items: Column, kind: str) -> Column:
+def _item_text() -> Column:
+    """The item of an action of known kind as text."""
+    text = F.lit(None)
+    for kind, column in ITEM_OF_KIND.items():
+        text = F.when(F.col("kind") == kind, F.col(column).cast("string")).otherwise(text)
+    return text
+
+
+def _joined_items(items: Column, kind: str) -> Column:
     """The items of one kind joined by commas; NULL when there is none."""
-    values = F.transform(F.filter(items, lambda x: x["kind"] == kind), lambda x: x["item"])
-    return F.when(F.size(values) > 0, F.array_join(values, ","))
+    of_kind = F.filter(items, lambda x: x["kind"] == kind)
+    return F.when(F.size(of_kind) > 0, F.array_join(of_kind["item"], ","))
 
 
-def session_info(actions: DataFrame, task_id: str, slice_seconds: int = 600) -> DataFrame:
+def session_info(actions: DataFrame, task_id: str, slice_seconds: int = 3600) -> DataFrame:
     """Each session with its start, length and the items it searched, clicked, ordered, paid.
 
     Items stand in order of time. They are joined first within slices of
@@ -77,38 +80,42 @@ def session_info(actions: DataFrame, task_id: str, slice_seconds: int = 600) ->
     long session are spread over many tasks and only finished text meets in
     the last step.
     """
-    tie = tie_column(actions, "page_id")
     rows = actions.select(
         "session_id",
         epoch_second(F.col("action_time")).alias("sec"),
-        F.col(tie).alias("tie"),
+        F.col(tie_column(actions, "page_id")).alias("tie"),
         session_action_kind().alias("kind"),
-        "search_keyword", "click_product_id", "order_product_ids", "pay_product_ids",
-    ).withColumn("item", _item_of_kind())
-    # collect_list skips NULL, so actions without an item only count as steps.
+        *ITEM_OF_KIND.values(),
+    ).select(
+        "session_id", F.floor(F.col("sec") / slice_seconds).alias("slice"),
+        "sec", "tie", "kind", _item_text().alias("item"),
+    )
+    # collect_list skips NULL, so an action of no kind only counts as a step.
     item = F.when(F.col("kind").isNotNull(), F.struct("sec", "tie", "kind", "item"))
     slices = (
-        rows.groupBy("session_id", F.floor(F.col("sec") / slice_seconds).alias("slice"))
+        # A map-side step would not shorten lists, so the plain rows move.
+        rows.repartition("session_id", "slice")
+        .groupBy("session_id", "slice")
         .agg(
             F.count("*").alias("steps"),
             F.min("sec").alias("first_sec"),
             F.max("sec").alias("last_sec"),
-            F.array_sort(F.collect_list(item)).alias("items"),
+            F.sort_array(F.collect_list(item)).alias("items"),
         )
         .select(
             "session_id", "slice", "steps", "first_sec", "last_sec",
-            *[_csv_of_kind(F.col("items"), kind).alias(kind) for kind in KINDS],
+            *[_joined_items(F.col("items"), kind).alias(kind) for kind in ITEM_OF_KIND],
         )
     )
     sessions = slices.groupBy("session_id").agg(
         F.sum("steps").alias("steps"),
         F.min("first_sec").alias("first_sec"),
         F.max("last_sec").alias("last_sec"),
-        F.array_sort(F.collect_list(F.struct("slice", *KINDS))).alias("slices"),
+        F.sort_array(F.collect_list(F.struct("slice", *ITEM_OF_KIND))).alias("slices"),
     )
 
-    def joined(kind: str) -> Column:
-        return F.array_join(F.transform("slices", lambda s: s[kind]), ",")
+    def joined(name: str) -> Column:
+        return F.array_join(F.col("slices")[name], ",")
 
     return sessions.select(
         F.lit(task_id).alias("taskId"),
