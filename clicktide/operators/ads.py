@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.columns import DAY_FORMAT, MINUTE_FORMAT, pairs_json
 from clicktide.operators.ranking import first_k
+from clicktide.operators.skew import spread_join
 
 CLICK_LIMIT = 10_000
 BATCH_SECONDS = 5
@@ -89,10 +90,10 @@ def user_blacklist(clicks: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
 
 
 def _not_listed(df: DataFrame, blacklist: DataFrame) -> DataFrame:
-    # Left join without hint: the list has no bound, Spark measures it first and
-    # splits the partition of a user with very many clicks.
+    # The list has no bound, so it is not broadcast unless Spark measures it small.
     still_open = F.col("listed_batch").isNull() | (F.col("batch") <= F.col("listed_batch"))
-    return df.join(blacklist, "user_id", "left").where(still_open).drop("listed_batch")
+    joined = spread_join(df, blacklist, "user_id", "left", F.col("batch"))
+    return joined.where(still_open).drop("listed_batch")
 
 
 def ads_log_filtered(clicks: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clicktide.operators.ads import CLICK_LIMIT, ads_log_parse, malformed_lines
+from clicktide.operators.skew import spread_join
 from clicktide.streaming.batch_table import BatchTable
 from clicktide.streaming.files import child_names, exists, make_dir, publish
 
@@ -61,8 +62,8 @@ class GateStore:
 def _without(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     users = listed.select("user_id")
     if users.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS:
-        users = F.broadcast(users)
-    return clicks.join(users, "user_id", "left_anti")
+        return clicks.join(F.broadcast(users), "user_id", "left_anti")
+    return spread_join(clicks, users, "user_id", "left_anti", F.col("logdate"))
 
 
 def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]:
