@@ -56,10 +56,8 @@ def category_top10(counts: DataFrame, task_id: str, k: int = 10) -> DataFrame:
 
 def category_session_counts(actions: DataFrame, top: DataFrame) -> DataFrame:
     """Clicks of each session on each category of ``top``, the rows of ``category_top10``."""
-    # ``top`` has k rows, 10 by default, whatever the size of the log.
-    wanted = F.broadcast(
-        top.select(F.col("category_id").try_cast("bigint").alias("click_category_id"))
-    )
+    # No hint: the limit in ``top`` tells Spark that it is small enough to broadcast.
+    wanted = top.select(F.col("category_id").try_cast("bigint").alias("click_category_id"))
     return (
         actions.select("click_category_id", "session_id")
         .join(wanted, "click_category_id", "left_semi")

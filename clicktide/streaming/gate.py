@@ -53,10 +53,11 @@ class GateStore:
         schema = "user_id STRING, click_count BIGINT"
         return BatchTable(f"{self.path}/listed", schema, ("user_id",), "click_count", self.every)
 
-    def last_batch(self, spark: SparkSession) -> int:
-        """The last batch that is complete."""
+    def current(self, spark: SparkSession, table: BatchTable) -> DataFrame:
+        """One of the tables after the last batch that is complete."""
         names = child_names(spark, self.accepted)
-        return max(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+        done = [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+        return table.after(spark, max(done)) if done else table.before(spark, 0)
 
 
 def _without(clicks: DataFrame, listed: DataFrame) -> DataFrame:
@@ -142,9 +143,9 @@ def accepted_stream(spark: SparkSession, store: GateStore) -> DataFrame:
 
 def blacklist_table(spark: SparkSession, store: GateStore) -> DataFrame:
     """The users listed so far."""
-    return store.listed.after(spark, store.last_batch(spark)).select("user_id")
+    return store.current(spark, store.listed).select("user_id")
 
 
 def stored_counts(spark: SparkSession, store: GateStore) -> DataFrame:
     """Stored clicks per user, ad and day."""
-    return store.counts.after(spark, store.last_batch(spark))
+    return store.current(spark, store.counts)

@@ -47,10 +47,12 @@ def start_region_counts(
 
     def put(counts: DataFrame, batch_id: int) -> None:
         counts.persist()
-        keyed_upsert(city_count_rows(counts), counts_path, batch_id)
-        top3 = top3_ads_per_day(area_ads_day_count(counts))
-        keyed_upsert(top3_rows(top3), top3_path, batch_id)
-        counts.unpersist()
+        try:
+            keyed_upsert(city_count_rows(counts), counts_path, batch_id)
+            top3 = top3_ads_per_day(area_ads_day_count(counts))
+            keyed_upsert(top3_rows(top3), top3_path, batch_id)
+        finally:
+            counts.unpersist()
 
     return (
         area_city_ads_day_clickcount(clicks)

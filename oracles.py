@@ -330,6 +330,12 @@ FROM va""",
         f"SELECT seq, {SESSION_KIND} AS session_kind,"
         f" {_category_kind('order_category_ids')} AS category_kind FROM va",
     ),
+    "percent_1dp": _all(
+        "",
+        "SELECT page_id, count(*) AS visits,"
+        " floor(CAST(1000 AS DOUBLE) * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)"
+        " + CAST(0.5 AS DOUBLE)) / CAST(10 AS DOUBLE) AS share FROM va GROUP BY page_id",
+    ),
     "session_profile": _all(PROFILE, "SELECT * FROM profile"),
     "session_stat_info": _all(PROFILE, STATS),
     "session_stat_info_selected": _selected(PROFILE, STATS),
