@@ -32,3 +32,8 @@ def publish(spark: SparkSession, staged: str, final: str) -> None:
     system.mkdirs(target.getParent())
     if not system.rename(source, target):
         raise OSError(f"cannot move {staged} to {final}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, system = _open(spark, path)
+    system.delete(target, True)

@@ -6,9 +6,9 @@ import argparse
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from clicktide.files import remove
 from clicktide.operators.actions import filtered_actions
 from clicktide.operators.categories import (
     category_action_counts,
@@ -19,8 +19,8 @@ from clicktide.operators.categories import (
 from clicktide.operators.pages import page_convert_rate
 from clicktide.operators.sessions import session_profile, session_sample, session_stat_info
 from clicktide.params import Condition
-from clicktide.session import build_session
-from clicktide.sinks.tables import jdbc_append
+from clicktide.session import build_session, new_scratch_dir
+from clicktide.sinks.tables import jdbc_append, save_table
 from clicktide.sources.tables import load_tables
 
 Sink = Callable[[str, DataFrame], None]
@@ -49,20 +49,27 @@ def offline_reports(
 
 
 def run_offline(
-    tables: dict[str, DataFrame], condition: Condition, task_id: str, put: Sink, **options
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    condition: Condition,
+    task_id: str,
+    put: Sink,
+    **options,
 ) -> None:
     """Select the actions once and write every report.
 
-    The selection is read by all reports, so it is kept on executor disks; a
-    block lost with its executor is computed again from the tables.
+    The selection is stored as parquet in the shared folder: each report then
+    reads only its columns, and nothing is lost with an executor.
     """
+    path = new_scratch_dir(spark, "selected-actions")
     selected = filtered_actions(tables["user_visit_action"], tables["user_info"], condition)
-    selected = selected.persist(StorageLevel.MEMORY_AND_DISK)
+    save_table(selected, path=path)
     try:
-        for name, report in offline_reports(selected, condition, task_id, **options).items():
+        stored = spark.read.schema(selected.schema).parquet(path)
+        for name, report in offline_reports(stored, condition, task_id, **options).items():
             put(name, report)
     finally:
-        selected.unpersist()
+        remove(spark, path)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -88,7 +95,7 @@ def main(argv: list[str] | None = None) -> None:
             jdbc_append(report, args.jdbc_url, name, args.jdbc_user, secret)
 
     tables = load_tables(spark, args.database, args.path)
-    run_offline(tables, Condition.from_json(args.condition), args.task_id, put)
+    run_offline(spark, tables, Condition.from_json(args.condition), args.task_id, put)
 
 
 if __name__ == "__main__":

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clicktide.files import child_names, exists, make_dir, publish
 from clicktide.operators.ads import CLICK_LIMIT, ads_log_parse, malformed_lines
 from clicktide.operators.skew import spread_join
 from clicktide.streaming.batch_table import BatchTable
-from clicktide.streaming.files import child_names, exists, make_dir, publish
 
 CLICK_SCHEMA = (
     "logdate TIMESTAMP, area STRING, city STRING, user_id STRING, ads_id STRING,"
@@ -130,15 +130,19 @@ def start_gate(
     )
 
 
+# The partition column is declared too: a stream may start before the first batch.
+ACCEPTED_SCHEMA = f"{CLICK_SCHEMA}, batch_id BIGINT"
+
+
 def accepted_clicks(spark: SparkSession, store: GateStore) -> DataFrame:
     """The clicks let through so far."""
-    return spark.read.schema(CLICK_SCHEMA).parquet(store.accepted).drop("batch_id")
+    return spark.read.schema(ACCEPTED_SCHEMA).parquet(store.accepted).drop("batch_id")
 
 
 def accepted_stream(spark: SparkSession, store: GateStore) -> DataFrame:
     """The clicks let through, as a stream."""
     make_dir(spark, store.accepted)
-    return spark.readStream.schema(CLICK_SCHEMA).parquet(store.accepted).drop("batch_id")
+    return spark.readStream.schema(ACCEPTED_SCHEMA).parquet(store.accepted).drop("batch_id")
 
 
 def blacklist_table(spark: SparkSession, store: GateStore) -> DataFrame:

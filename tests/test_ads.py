@@ -24,12 +24,12 @@ def replay(clicks, limit):
     return accepted, listed, stored
 
 
-def random_clicks(seed, n=400):
+def random_clicks(seed, n=400, batches=8):
     rng = random.Random(seed)
     user = lambda: "hot" if rng.random() < 1 / 3 else f"u{rng.randrange(12)}"
     days = ("2024-01-01", "2024-01-02")
     return [
-        (user(), f"ad{rng.randrange(3)}", rng.choice(days), rng.randrange(8)) for _ in range(n)
+        (user(), f"ad{rng.randrange(3)}", rng.choice(days), rng.randrange(batches)) for _ in range(n)
     ]
 
 

@@ -2,6 +2,7 @@ import pytest
 from rows import actions, as_tuples, cities, products, users
 
 from clicktide.params import Condition
+from clicktide.plans import area_top3, offline
 from clicktide.plans.area_top3 import area_top3_report
 from clicktide.plans.offline import offline_reports, run_offline
 from clicktide.schemas import (
@@ -129,12 +130,27 @@ def test_offline_run_writes_every_report(spark):
     def put(name, report):
         report.write.mode("append").parquet(f"{folder}/{name}")
 
-    run_offline(_tables(spark), Condition(target_page_flow=(1, 2)), "t", put)
+    run_offline(spark, _tables(spark), Condition(target_page_flow=(1, 2)), "t", put)
     assert as_tuples(spark.read.parquet(f"{folder}/page_convert_rate")) == [("t", "1-2", 100.0)]
     assert spark.read.parquet(f"{folder}/random_session_info").count() == 1
     assert as_tuples(spark.read.parquet(f"{folder}/category_top10")) == [("t", "1", 1, 0, 0)]
 
 
+def test_jobs_from_the_command_line(spark, capsys):
+    folder = new_scratch_dir(spark, "job")
+    for name, frame in _tables(spark).items():
+        save_table(frame, path=f"{folder}/in/{name}")
+    condition = '{"startDate":"2024-01-01","professionals":"a","targetPageFlow":"1,2"}'
+    offline.main(
+        ["--path", f"{folder}/in", "--condition", condition, "--task-id", "t",
+         "--out", f"{folder}/out"]
+    )
+    stats = spark.read.parquet(f"{folder}/out/session_stat_info")
+    assert as_tuples(stats, "task_id", "session_count", "visit_gt_10_ratio") == [("t", 1, 100.0)]
+    area_top3.main(["--path", f"{folder}/in"])
+    assert "one:100.0%" in capsys.readouterr().out
+
+
 def test_scratch_needs_a_shared_folder():
     class Conf:
         @staticmethod
