@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 
 def save_table(
@@ -47,11 +48,10 @@ def jdbc_append(
     df.write.jdbc(url, table, mode="append", properties=properties)
 
 
-def console_preview(df: DataFrame, rows: int = 100) -> None:
-    """Print the first rows; a stream is printed batch by batch until stopped."""
-    if df.isStreaming:
-        df.writeStream.format("console").option("numRows", rows).option(
-            "truncate", "false"
-        ).start()
-    else:
+def console_preview(df: DataFrame, rows: int = 100) -> StreamingQuery | None:
+    """Print the first rows; of a stream, those of each batch until the query is stopped."""
+    if not df.isStreaming:
         df.show(rows, truncate=False)
+        return None
+    writer = df.writeStream.format("console").option("numRows", rows)
+    return writer.option("truncate", "false").start()

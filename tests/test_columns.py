@@ -1,0 +1,52 @@
+from math import floor
+
+from pyspark.sql import functions as F
+from rows import as_tuples
+
+from clicktide.functions.columns import csv_ids, percent_1dp, ratio_tenths
+from clicktide.operators import ads
+from clicktide.operators.sessions import session_profile, session_stat_info
+
+
+def test_percents_of_all_small_pairs(spark):
+    pairs = spark.range(1, 121).withColumnRenamed("id", "b").select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("b"))).alias("a"), "b"
+    )
+    a, b = F.col("a"), F.col("b")
+    shown = pairs.select(a, b, percent_1dp(a, b).alias("p"), ratio_tenths(a, b).alias("t"))
+    for part, whole, percent, tenths in shown.collect():
+        assert percent == floor(1000.0 * part / whole + 0.5) / 10
+        assert tenths == floor(part / whole * 1000 + 0.5)
+
+
+def test_percent_of_nothing_is_null(spark):
+    zero = F.lit(0).cast("bigint")
+    assert as_tuples(spark.range(1).select(percent_1dp(zero, zero))) == [(None,)]
+
+
+def test_lists_skip_empty_elements(spark):
+    frame = spark.createDataFrame([("1,2",), ("1,,",), (",",), ("",), (None,)], "ids STRING")
+    got = [r[0] for r in frame.select(csv_ids(F.col("ids"))).collect()]
+    assert got == [["1", "2"], ["1"], [], [], None]
+
+
+def test_shares_of_a_pair_sum_to_the_whole(spark):
+    for n in (1, 3, 7, 11):
+        actions = spark.range(n).selectExpr(
+            "CONCAT('s', id) AS session_id",
+            "EXPLODE(SEQUENCE(0, CAST(id AS INT))) AS i",
+        ).selectExpr("session_id", "CONCAT('2024-01-01 00:00:', LPAD(i * 3, 2, '0')) AS action_time")
+        row = session_stat_info(session_profile(actions), "t", "{}").collect()[0]
+        assert abs(row.visit_gt_10_ratio + row.visit_le_10_ratio - 100) < 0.11
+        assert abs(row.step_gt_5_ratio + row.step_le_5_ratio - 100) < 0.11
+
+
+def test_area_counts_sum_to_the_city_counts(spark):
+    clicks = spark.range(500).selectExpr(
+        "CONCAT('a', id % 3) AS area", "CONCAT('c', id % 7) AS city",
+        "CONCAT('x', id % 5) AS ads_id", "'d' AS day",
+    )
+    city = ads.area_city_ads_day_clickcount(clicks)
+    area = ads.area_ads_day_count(city)
+    assert area.agg(F.sum("click_count")).first()[0] == 500
+    assert area.count() == 15

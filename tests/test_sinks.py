@@ -61,12 +61,12 @@ def test_save_and_load_by_path(spark):
 
 
 def test_save_and_load_by_database(spark, capsys):
-    spark.sql("CREATE DATABASE IF NOT EXISTS mall")
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     for name, frame in _tables(spark).items():
         for _ in range(2):
-            save_table(frame, f"mall.{name}", preview_rows=5)
+            save_table(frame, f"shop.{name}", preview_rows=5)
     assert "one" in capsys.readouterr().out
-    assert as_tuples(load_tables(spark, "mall")["city_info"]) == [(1, "one", "n")]
+    assert as_tuples(load_tables(spark, "shop")["city_info"]) == [(1, "one", "n")]
 
 
 class _Writer:
