@@ -15,12 +15,16 @@ BATCH_SECONDS = 5
 
 # A time in digits, three more fields and a fifth that is not blank to the end.
 LINE_PATTERN = r"(?s)^[+-]?[0-9]+( [^ ]*){3} .*[^ ]"
+# The years 1 to 9999 in milliseconds; a time outside has no day in four-digit form.
+FIRST_MILLI = -62_135_596_800_000
+LAST_MILLI = 253_402_300_799_999
 
 
 def _well_formed() -> Column:
     # Tested on the text itself: a test on the split fields would be pushed below
     # the split and repeat it.
-    in_range = F.substring_index("value", " ", 1).try_cast("bigint").isNotNull()
+    millis = F.substring_index("value", " ", 1).try_cast("bigint")
+    in_range = millis.between(FIRST_MILLI, LAST_MILLI)
     return F.coalesce(F.col("value").rlike(LINE_PATTERN) & in_range, F.lit(False))
 
 

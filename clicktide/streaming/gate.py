@@ -26,6 +26,7 @@ CLICK_COLUMNS = [column.split()[0] for column in CLICK_SCHEMA.split(",")]
 COUNT_KEYS = ("user_id", "ads_id", "day")
 # A list of this many users is some tens of megabytes and fits every executor.
 BROADCAST_USERS = 1_000_000
+MAX_DAYS = 100
 
 
 @dataclass(frozen=True)
@@ -67,6 +68,12 @@ def _without(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     return spread_join(clicks, users, "user_id", "left_anti", F.col("logdate"))
 
 
+def _of_days(counts: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Cut the stored counts to the days of the clicks, if these are few enough to name."""
+    days = [row["day"] for row in clicks.select("day").distinct().limit(MAX_DAYS + 1).collect()]
+    return counts.where(F.col("day").isin(*days)) if len(days) <= MAX_DAYS else counts
+
+
 def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch of lines.
 
@@ -94,8 +101,7 @@ def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]
             lines.unpersist()
 
         accepted = spark.read.schema(CLICK_SCHEMA).parquet(staged)
-        days = [row["day"] for row in accepted.select("day").distinct().collect()]
-        stored = store.counts.before(spark, batch_id).where(F.col("day").isin(*days))
+        stored = _of_days(store.counts.before(spark, batch_id), accepted)
         fresh = accepted.groupBy(*COUNT_KEYS).agg(F.count("*").alias("clicks"))
         # A key stored at the limit lists the user; every other key is increased.
         prior = F.coalesce("click_count", F.lit(0))

@@ -54,6 +54,11 @@ def test_parse(spark):
         ("1.5 a c u x", False),
         (f" {BASE} a c u x", False),
         ("99999999999999999999 a c u x", False),
+        ("9223372036854775807 a c u x", False),
+        ("253402300800000 a c u x", False),
+        ("253402300799999 a c u x", True),
+        ("-62135596800000 a c u x", True),
+        ("-62135596800001 a c u x", False),
     ],
 )
 def test_malformed_lines_go_aside(spark, line, good):

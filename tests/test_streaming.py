@@ -103,6 +103,7 @@ def test_replay_and_crash_change_nothing(spark, monkeypatch):
 
 def test_long_lists_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(gate_module, "BROADCAST_USERS", 0)
+    monkeypatch.setattr(gate_module, "MAX_DAYS", 1)
     clicks = random_clicks(8, 120, 4)
     root = new_scratch_dir(spark, "test")
     store = GateStore(f"{root}/gate")
