@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.llm.decontaminate import benchmark_hits
+from clicktide.llm.licenses import license_scan
+from clicktide.llm.sharding import assign_shards
+from clicktide.llm.urls import url_filter
+
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +33,58 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score", F.array_join("expressions", ",").alias("expressions"), "freedom",
+    )
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter(pages, rules).drop("url")
+
+
+def op9_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return assign_shards(docs, shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_license_scan": op2_license_scan,
+    "op7_url_filter": op7_url_filter,
+    "op9_lpt_shards": op9_lpt_shards,
 }
 
-ORACLES: dict[str, str] = {}
+_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+ORACLES: dict[str, str] = {
+    "op7_url_filter": f"""
+        WITH rules(h, p, v) AS (VALUES {_RULE_ROWS}),
+        rests AS (
+            SELECT page_id, row_number() OVER () AS nth,
+                   CASE WHEN contains(url, '://')
+                        THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+            FROM pages),
+        hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests),
+        parts AS (
+            SELECT page_id, nth,
+                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                       AS host,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+            FROM hosts),
+        fitting AS (
+            SELECT nth, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS v
+            FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            GROUP BY nth)
+        SELECT page_id, host, path, rule,
+               coalesce(v, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+        FROM parts LEFT JOIN fitting USING (nth)""",
+}
