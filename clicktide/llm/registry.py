@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clicktide.llm.decontaminate import benchmark_hits
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.sharding import assign_shards
+from clicktide.llm.simhash import hex_digits, simhash_components
 from clicktide.llm.urls import url_filter
 
 URL_RULES = [
@@ -43,6 +44,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash_components(_table(spark, sf_dir, "documents"))
+    return linked.withColumn("fingerprint", hex_digits(F.col("fingerprint")))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -60,6 +66,7 @@ def op9_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
+    "op4_simhash": op4_simhash,
     "op7_url_filter": op7_url_filter,
     "op9_lpt_shards": op9_lpt_shards,
 }
