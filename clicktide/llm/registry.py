@@ -9,6 +9,7 @@ from clicktide.llm.decontaminate import benchmark_hits
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.sharding import assign_shards
 from clicktide.llm.simhash import hex_digits, simhash_components
+from clicktide.llm.toxicity import HELD_OUT, fit_toxicity, fold_of, score_toxicity
 from clicktide.llm.urls import url_filter
 
 URL_RULES = [
@@ -55,6 +56,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, rules).drop("url")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold_of("doc_id") == HELD_OUT, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return assign_shards(docs, shards=24).select(
@@ -68,6 +76,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op4_simhash": op4_simhash,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op9_lpt_shards": op9_lpt_shards,
 }
 
