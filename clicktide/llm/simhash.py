@@ -229,6 +229,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component = nodes.join(reached, nodes["fingerprint"] == reached["node"], "left").select(
         "fingerprint", F.coalesce("reached", "first").alias("component_id")
     )
+    # Read from a table, the join meets two plain shuffles and Spark can split a hot fingerprint.
+    component.write.parquet(f"{path}-components")
+    component = spark.read.parquet(f"{path}-components")
     return rows.join(component, "fingerprint").select(
         F.col("_id").alias(id_col), "fingerprint", "component_id"
     )
