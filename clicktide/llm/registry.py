@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.llm.decontaminate import benchmark_hits
 from clicktide.llm.licenses import license_scan
+from clicktide.llm.packing import pack_documents
 from clicktide.llm.sharding import assign_shards
 from clicktide.llm.simhash import hex_digits, simhash_components
 from clicktide.llm.toxicity import HELD_OUT, fit_toxicity, fold_of, score_toxicity
@@ -50,6 +51,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.withColumn("fingerprint", hex_digits(F.col("fingerprint")))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokens=1024)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -75,6 +80,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
     "op4_simhash": op4_simhash,
+    "op6_pack": op6_pack,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_lpt_shards": op9_lpt_shards,
