@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.llm.decontaminate import benchmark_hits
+from clicktide.llm.fingerprints import fingerprint_pairs
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.packing import pack_documents
 from clicktide.llm.sharding import assign_shards
@@ -76,6 +77,10 @@ def op9_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -84,6 +89,7 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_lpt_shards": op9_lpt_shards,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
