@@ -11,6 +11,7 @@ from clicktide.llm.licenses import license_scan
 from clicktide.llm.packing import pack_documents
 from clicktide.llm.sharding import assign_shards
 from clicktide.llm.simhash import hex_digits, simhash_components
+from clicktide.llm.substrings import repeated_spans
 from clicktide.llm.toxicity import HELD_OUT, fit_toxicity, fold_of, score_toxicity
 from clicktide.llm.urls import url_filter
 
@@ -47,6 +48,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_components(_table(spark, sf_dir, "documents"))
     return linked.withColumn("fingerprint", hex_digits(F.col("fingerprint")))
@@ -84,6 +89,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
+    "op3_repeated_text": op3_repeated_text,
     "op4_simhash": op4_simhash,
     "op6_pack": op6_pack,
     "op7_url_filter": op7_url_filter,
