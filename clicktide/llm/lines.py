@@ -100,7 +100,8 @@ def drop_wide_lines(
         lambda line: (_normal(line) == "") | ~F.array_contains("_gone", _hash(_normal(line))),
     )
     size = lambda lines: F.length(F.array_join(lines, ""))
-    joined = named.join(removals, "_doc", "left").withColumn(
+    # Always a sort-merge join: one plan, whether few texts carry wide lines or most do.
+    joined = named.join(removals.hint("merge"), "_doc", "left").withColumn(
         "_kept", F.when(F.col("_gone").isNotNull(), kept)
     )
     carrier = F.col("_kept").isNotNull() & (
