@@ -293,4 +293,8 @@ def one_of_each(
         .select(F.col("choice._row").alias("_row"))
     )
     marked = docs.select("*", whole_row.alias("_row"))
-    return marked.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
+    # Always a sort-merge join, on which the last step needs no further shuffle.
+    return (
+        marked.join(kept.hint("merge"), "_row", "left_semi")
+        .dropDuplicates(["_row"]).select(docs.columns)
+    )
