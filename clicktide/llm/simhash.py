@@ -13,7 +13,7 @@ with one another.)
 
 ``similar_links`` is for wide fingerprints and distances beyond any ball that can
 be enumerated: the pairs share one of many sampled segments in full (balls of
-radius 0). Each is compared with its neighbour in the bucket and with the first.
+radius 0), and meet in its bucket.
 """
 
 from __future__ import annotations
@@ -157,25 +157,20 @@ def sampled_segments(bits: int, width: int, count: int) -> np.ndarray:
     return np.stack(pieces[:count])
 
 
-def similar_links(
-    fingerprints: DataFrame, bits: int, max_distance: int, width: int = 26, segments: int = 128
-) -> DataFrame:
-    """Links (a, b) between distinct ``node`` values whose ``lanes`` are within ``max_distance``.
-
-    ``rank`` orders the fingerprints of a bucket.
-    """
+def _probes(nodes: DataFrame, bits: int, width: int, segments: int) -> DataFrame:
+    """(bucket, node, rank, root): each fingerprint under the value of each of its segments."""
     places = sampled_segments(bits, width, segments)
     weights = np.zeros((bits, segments))
     for s in range(segments):
         weights[places[s], s] = 2.0 ** np.arange(width)
-    names = fingerprints.columns
-    node, lanes, rank = (names.index(n) for n in ("node", "lanes", "rank"))
+    carried = ["node", "rank", "root"]
+    columns = [nodes.columns.index(n) for n in ("lanes", *carried)]
 
     def probe(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                flat = batch.column(lanes).flatten().to_numpy(zero_copy_only=False)
+                flat = batch.column(columns[0]).flatten().to_numpy(zero_copy_only=False)
                 ones = np.unpackbits(
                     flat.view(np.uint8).reshape(batch.num_rows, bits // 8), axis=1,
                     bitorder="little",
@@ -184,26 +179,55 @@ def similar_links(
                 keys += np.arange(segments, dtype=np.int64) << width
                 every = pa.array(np.repeat(np.arange(batch.num_rows), segments))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), batch.column(node).take(every),
-                     batch.column(rank).take(every)],
-                    names=["bucket", "node", "rank"],
+                    [pa.array(keys.ravel()), *(batch.column(c).take(every) for c in columns[1:])],
+                    names=["bucket", *carried],
                 )
 
-    probes = fingerprints.mapInArrow(probe, "bucket bigint, node bigint, rank bigint")
-    order = Window.partitionBy("bucket").orderBy("rank", "node")
-    met = probes.select(
-        F.col("node").alias("a"),
-        F.lag("node").over(order).alias("before"),
-        F.first("node").over(order).alias("first"),
-    ).where("before IS NOT NULL")
-    pairs = met.select("a", F.explode(F.array_distinct(F.array("before", "first"))).alias("b"))
-    pairs = pairs.distinct()
-    left = fingerprints.select(F.col("node").alias("a"), F.col("lanes").alias("x"))
-    right = fingerprints.select(F.col("node").alias("b"), F.col("lanes").alias("y"))
+    return nodes.mapInArrow(probe, "bucket bigint, node bigint, rank bigint, root bigint")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int) -> DataFrame:
+    """The pairs (a, b) whose complete fingerprints are within the distance."""
+    left = nodes.select(F.col("node").alias("a"), F.col("lanes").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("lanes").alias("y"))
     distance = sum(
         (F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(bits // 64)), F.lit(0)
     )
-    return pairs.join(left, "a").join(right, "b").where(distance <= max_distance).select("a", "b")
+    return (
+        pairs.distinct().join(left, "a").join(right, "b").where(distance <= max_distance)
+        .select("a", "b")
+    )
+
+
+def similar_links(
+    nodes: DataFrame, bits: int, max_distance: int, width: int = 26, segments: int = 128
+) -> DataFrame:
+    """Links (a, b) between distinct ``node`` values whose ``lanes`` are within ``max_distance``.
+
+    First every fingerprint is compared with the first of each of its buckets by
+    ``rank``. What is linked then counts as one, and in each bucket the fingerprints
+    of different groups are compared, one with the next; so a bucket gives as many
+    pairs as it has groups, not as it has fingerprints.
+    """
+    by_rank = Window.partitionBy("bucket").orderBy("rank", "node")
+    probes = _probes(nodes.withColumn("root", F.col("node")), bits, width, segments)
+    firsts = probes.select(
+        F.col("node").alias("a"), F.first("node").over(by_rank).alias("b")
+    ).where("a <> b")
+    spark = nodes.sparkSession
+    path = new_scratch_dir(spark, "similar-links")
+    _verified(firsts, nodes, bits, max_distance).write.parquet(path)
+    links = spark.read.parquet(path)
+
+    grouped = nodes.join(connected(links), "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
+    )
+    by_group = Window.partitionBy("bucket").orderBy("root", "rank", "node")
+    between = _probes(grouped, bits, width, segments).select(
+        F.col("node").alias("a"), F.lag("node").over(by_group).alias("b"),
+        "root", F.lag("root").over(by_group).alias("other"),
+    ).where("root <> other").select("a", "b")
+    return links.union(_verified(between, nodes, bits, max_distance))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
