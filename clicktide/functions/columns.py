@@ -34,7 +34,11 @@ def csv_ids(ids: Column) -> Column:
 
 
 def epoch_second(action_time: Column) -> Column:
-    return F.unix_timestamp(action_time.cast("timestamp"))
+    """Seconds of a time as text; NULL for a text that is no time.
+
+    An action without a time counts as a step and lengthens no visit.
+    """
+    return F.unix_timestamp(action_time.try_cast("timestamp"))
 
 
 def format_second(second: Column, pattern: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.columns import DAY_FORMAT, MINUTE_FORMAT, pairs_json
 from clicktide.operators.ranking import first_k
-from clicktide.operators.skew import spread_join
+from clicktide.session import new_scratch_dir
 
 CLICK_LIMIT = 10_000
 BATCH_SECONDS = 5
@@ -94,10 +94,13 @@ def user_blacklist(clicks: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
 
 
 def _not_listed(df: DataFrame, blacklist: DataFrame) -> DataFrame:
-    # The list has no bound, so it is not broadcast unless Spark measures it small.
+    # The list is written once. Spark then knows its size and either sends it to all
+    # tasks or joins two plain shuffles, of which it can split a hot user's.
+    path = new_scratch_dir(df.sparkSession, "user-blacklist")
+    blacklist.write.parquet(path)
+    listed = df.sparkSession.read.parquet(path)
     still_open = F.col("listed_batch").isNull() | (F.col("batch") <= F.col("listed_batch"))
-    joined = spread_join(df, blacklist, "user_id", "left", F.col("batch"))
-    return joined.where(still_open).drop("listed_batch")
+    return df.join(listed, "user_id", "left").where(still_open).drop("listed_batch")
 
 
 def ads_log_filtered(clicks: DataFrame, limit: int = CLICK_LIMIT) -> DataFrame:
@@ -159,11 +162,12 @@ def top3_ads_per_day(area_counts: DataFrame, k: int = 3) -> DataFrame:
 
 
 def last_hour_clicks(clicks: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Clicks of the hour up to ``as_of``, by default up to the latest click."""
+    """Clicks of the hour up to ``as_of``, by default up to the latest click that is not in the future."""
+    past = clicks.where(F.col("logdate") <= F.current_timestamp())
     end = (
         F.lit(as_of).cast("timestamp")
         if as_of
-        else clicks.agg(F.max("logdate").alias("as_of")).scalar()
+        else past.agg(F.max("logdate").alias("as_of")).scalar()
     )
     begin = end - F.expr("INTERVAL 60 MINUTES")
     return clicks.where((F.col("logdate") > begin) & (F.col("logdate") <= end))

@@ -56,17 +56,13 @@ def category_top10(counts: DataFrame, task_id: str, k: int = 10) -> DataFrame:
 
 def category_session_counts(actions: DataFrame, top: DataFrame) -> DataFrame:
     """Clicks of each session on each category of ``top``, the rows of ``category_top10``."""
-    # No hint: the limit in ``top`` tells Spark that it is small enough to broadcast.
-    wanted = top.select(F.col("category_id").try_cast("bigint").alias("click_category_id"))
+    # Ids are compared as text, so "04" is not category 4. No hint: the limit in ``top``
+    # tells Spark that it is small enough to broadcast.
     return (
-        actions.select("click_category_id", "session_id")
-        .join(wanted, "click_category_id", "left_semi")
-        .groupBy("click_category_id", "session_id")
+        actions.select(F.col("click_category_id").cast("string").alias("category_id"), "session_id")
+        .join(top.select("category_id"), "category_id", "left_semi")
+        .groupBy("category_id", "session_id")
         .agg(F.count("*").alias("click_count"))
-        .select(
-            F.col("click_category_id").cast("string").alias("category_id"),
-            "session_id", "click_count",
-        )
     )
 
 

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this k Spark cuts every input partition to k rows per group before the
-# shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-PRE_CUT_LIMIT = 1000
-SPREAD = 256
+#: Up to this k Spark cuts every input partition to k rows per group before the shuffle.
+PRE_CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def first_k(
@@ -17,12 +15,14 @@ def first_k(
     """Rows of rank 1..k in each group, with the rank in ``rank_col``.
 
     A group may hold most of the input. For small k the map-side cut of Spark
-    keeps the shuffle at k rows per group and task; for a larger k the rows of a
-    group are first ranked in ``SPREAD`` shares, and the k best of all shares
-    contain the k best of the group.
+    keeps the shuffle at k rows per group and task. Beyond the k up to which this
+    session has that cut, the rows of a group are first ranked in as many shares
+    as there are shuffle partitions, and the k best of all shares contain the k
+    best of the group.
     """
-    if k > PRE_CUT_LIMIT:
-        share = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+    conf = df.sparkSession.conf
+    if k > int(conf.get(PRE_CUT_SETTING)):
+        share = F.pmod(F.xxhash64(*df.columns), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
         in_share = Window.partitionBy(*keys, "_share").orderBy(*order)
         df = (
             df.withColumn("_share", share)

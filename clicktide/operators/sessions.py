@@ -14,6 +14,8 @@ from clicktide.functions.columns import (
     session_action_kind,
 )
 from clicktide.operators.ranking import first_k
+from clicktide.operators.skew import row_chunks
+
 
 def tie_column(df: DataFrame, fallback: str) -> str:
     """The column that orders actions of one second: ``seq`` where the table has it."""
@@ -72,52 +74,74 @@ def _joined_items(items: Column, kind: str) -> Column:
     return F.when(F.size(of_kind) > 0, F.array_join(of_kind["item"], ","))
 
 
-def session_info(actions: DataFrame, task_id: str, slice_seconds: int = 3600) -> DataFrame:
-    """Each session with its start, length and the items it searched, clicked, ordered, paid.
-
-    Items stand in order of time. They are joined first within slices of
-    ``slice_seconds`` and then slice by slice, so that the actions of a very
-    long session are spread over many tasks and only finished text meets in
-    the last step.
-    """
-    rows = actions.select(
+def _session_rows(actions: DataFrame) -> DataFrame:
+    return actions.select(
         "session_id",
         epoch_second(F.col("action_time")).alias("sec"),
         F.col(tie_column(actions, "page_id")).alias("tie"),
         session_action_kind().alias("kind"),
         *ITEM_OF_KIND.values(),
-    ).select(
-        "session_id", F.floor(F.col("sec") / slice_seconds).alias("slice"),
-        "sec", "tie", "kind", _item_text().alias("item"),
+    ).select("session_id", "sec", "tie", "kind", _item_text().alias("item"))
+
+
+def _item_chunks(actions: DataFrame) -> DataFrame:
+    """Actions of known kind in chunks by session, time and place; actions of no kind have no item."""
+    items = _session_rows(actions).where(F.col("kind").isNotNull())
+    return row_chunks(items, ["session_id", "sec", "tie", "kind", "item"])
+
+
+def session_items(actions: DataFrame) -> DataFrame:
+    """The items of each session and kind in order, one row each, for sessions of any length."""
+    order = ["sec", "tie", "item"]
+    chunked = _item_chunks(actions)
+    in_chunk = Window.partitionBy("session_id", "kind", "chunk").orderBy(*order)
+    earlier = (
+        Window.partitionBy("session_id", "kind").orderBy("chunk")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    sizes = chunked.groupBy("session_id", "kind", "chunk").agg(F.count("*").alias("n"))
+    begins = sizes.select(
+        "session_id", "kind", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    return (
+        chunked.withColumn("nth", F.row_number().over(in_chunk))
+        .join(begins, ["session_id", "kind", "chunk"])
+        .select("session_id", "kind", (F.col("before") + F.col("nth")).alias("position"), "item")
     )
-    # collect_list skips NULL, so an action of no kind only counts as a step.
-    item = F.when(F.col("kind").isNotNull(), F.struct("sec", "tie", "kind", "item"))
-    slices = (
-        # A map-side step would not shorten lists, so the plain rows move.
-        rows.repartition("session_id", "slice")
-        .groupBy("session_id", "slice")
+
+
+def session_info(actions: DataFrame, task_id: str) -> DataFrame:
+    """Each session with its start, length and the items it searched, clicked, ordered, paid.
+
+    Items stand in order of time. Steps and times are plain aggregates. The items
+    are dealt by ranges of session and time into chunks of about equal rows and
+    joined chunk by chunk, so a session with very many actions, even within one
+    second, is spread over many tasks; only finished text meets in the last step.
+    """
+    steps = (
+        _session_rows(actions).groupBy("session_id")
         .agg(
             F.count("*").alias("steps"),
             F.min("sec").alias("first_sec"),
             F.max("sec").alias("last_sec"),
-            F.sort_array(F.collect_list(item)).alias("items"),
         )
+    )
+    chunks = (
+        _item_chunks(actions).groupBy("session_id", "chunk")
+        .agg(F.sort_array(F.collect_list(F.struct("sec", "tie", "kind", "item"))).alias("items"))
         .select(
-            "session_id", "slice", "steps", "first_sec", "last_sec",
+            "session_id", "chunk",
             *[_joined_items(F.col("items"), kind).alias(kind) for kind in ITEM_OF_KIND],
         )
     )
-    sessions = slices.groupBy("session_id").agg(
-        F.sum("steps").alias("steps"),
-        F.min("first_sec").alias("first_sec"),
-        F.max("last_sec").alias("last_sec"),
-        F.sort_array(F.collect_list(F.struct("slice", *ITEM_OF_KIND))).alias("slices"),
+    texts = chunks.groupBy("session_id").agg(
+        F.sort_array(F.collect_list(F.struct("chunk", *ITEM_OF_KIND))).alias("chunks")
     )
 
     def joined(name: str) -> Column:
-        return F.array_join(F.col("slices")[name], ",")
+        return F.coalesce(F.array_join(F.col("chunks")[name], ","), F.lit(""))
 
-    return sessions.select(
+    return steps.join(texts, "session_id", "left").select(
         F.lit(task_id).alias("taskId"),
         F.col("session_id").alias("sessionId"),
         format_second(F.col("first_sec"), SECOND_FORMAT).alias("startTime"),
@@ -164,25 +188,16 @@ def sampled_session_ids(actions: DataFrame, target: int = 1000, seed: str = "0")
     # No quota exceeds the target.
     drawn = first_k(hours, ["day_hour"], [draw.asc(), F.col("session_id").asc()], target)
     return (
-        drawn.join(_few(quotas, target), "day_hour")
+        drawn.join(quotas, "day_hour")
         .where(F.col("rn") <= F.col("quota"))
         .select("session_id")
     )
 
 
-def _few(df: DataFrame, target: int) -> DataFrame:
-    """Broadcast a table of sampled hours or sessions.
-
-    An hour needs 1 / (2 * target) of all sessions to get a quota, so there are
-    at most 2 * target such hours, and the quotas add up to at most 2 * target.
-    """
-    return F.broadcast(df) if target <= 100_000 else df
-
-
 def session_sample(
     actions: DataFrame, task_id: str, target: int = 1000, seed: str = "0"
 ) -> DataFrame:
     """``session_info`` of the sampled sessions only."""
     chosen = sampled_session_ids(actions, target, seed)
-    kept = actions.join(_few(chosen, target), "session_id", "left_semi")
+    kept = actions.join(chosen, "session_id", "left_semi")
     return session_info(kept.select(*actions.columns), task_id)

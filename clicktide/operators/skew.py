@@ -1,23 +1,20 @@
-"""Joins in which one key may hold a large part of the rows."""
+"""Dealing out rows of which one key may hold a large part."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARES = 16
 
+def row_chunks(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``chunk``: a number that grows with ``order``, for ranges of about equal rows.
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: Column
-) -> DataFrame:
-    """Join on ``key``, with the rows of one key on the left spread over ``SHARES`` tasks.
-
-    The right side, one row per key, is copied for every share. The shares also
-    part the join from an aggregation by the same key below it; otherwise
-    adaptive execution could not split a skewed partition any further.
+    Spark samples the rows and cuts them into ranges, so a chunk is bounded by rows
+    whatever the keys are; rows equal in all of ``order`` are told apart by their
+    place in the input.
     """
-    share = F.pmod(F.xxhash64(spread_by), F.lit(SHARES).cast("bigint"))
-    shares = F.sequence(F.lit(0).cast("bigint"), F.lit(SHARES - 1).cast("bigint"))
-    copies = right.withColumn("_share", F.explode(shares))
-    return left.withColumn("_share", share).join(copies, [key, "_share"], how).drop("_share")
+    place = F.monotonically_increasing_id()
+    return (
+        df.withColumn("_place", place).repartitionByRange(*order, "_place").drop("_place")
+        .withColumn("chunk", F.spark_partition_id())
+    )

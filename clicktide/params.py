@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 
 def _or_none(value):
@@ -29,6 +29,8 @@ class Condition:
     end_age: int | None = None
     professionals: tuple[str, ...] = ()
     target_page_flow: tuple[int, ...] = ()
+    #: The text it was read from, which reports store as given.
+    given: str | None = field(default=None, compare=False)
 
     @classmethod
     def from_json(cls, text: str) -> Condition:
@@ -43,9 +45,14 @@ class Condition:
             end_age=None if ages[1] is None else int(ages[1]),
             professionals=_name_list(raw.get("professionals")),
             target_page_flow=tuple(int(p) for p in pages),
+            given=text,
         )
 
     def to_json(self) -> str:
+        """The text as given, or else one written from the fields."""
+        if self.given is not None:
+            return self.given
+
         def text(value):
             return "" if value is None else str(value)
 

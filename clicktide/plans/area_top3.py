@@ -22,10 +22,11 @@ def area_top3_report(tables: dict[str, DataFrame], whole_percent: bool = False)
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="top products by area")
     parser.add_argument("--database")
+    parser.add_argument("--hive", action="store_true", help="tables of the Hive metastore")
     parser.add_argument("--path", help="folder of parquet tables instead of a database")
     parser.add_argument("--whole-percent", action="store_true")
     args = parser.parse_args(argv)
-    spark = build_session("area top products")
+    spark = build_session("area top products", hive=args.hive)
     tables = load_tables(spark, args.database, args.path)
     console_preview(area_top3_report(tables, args.whole_percent), 100)
 

@@ -33,9 +33,13 @@ def offline_reports(
     sample_target: int = 1000,
     seed: str = "0",
     order_ids_col: str = "order_category_ids",
+    keep: Callable[[DataFrame], DataFrame] = lambda report: report,
 ) -> dict[str, DataFrame]:
-    """All reports by the name of their output table, on already selected actions."""
-    top10 = category_top10(category_action_counts(actions, order_ids_col), task_id)
+    """All reports by the name of their output table, on already selected actions.
+
+    ``keep`` may store a report that another one uses.
+    """
+    top10 = keep(category_top10(category_action_counts(actions, order_ids_col), task_id))
     clicks = category_session_counts(actions, top10)
     return {
         "session_stat_info": session_stat_info(
@@ -66,15 +70,23 @@ def run_offline(
     save_table(selected, path=path)
     try:
         stored = spark.read.schema(selected.schema).parquet(path)
-        for name, report in offline_reports(stored, condition, task_id, **options).items():
+
+        def keep(report: DataFrame) -> DataFrame:
+            save_table(report, path=f"{path}-top10")
+            return spark.read.schema(report.schema).parquet(f"{path}-top10")
+
+        reports = offline_reports(stored, condition, task_id, keep=keep, **options)
+        for name, report in reports.items():
             put(name, report)
     finally:
         remove(spark, path)
+        remove(spark, f"{path}-top10")
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="batch reports on user actions")
     parser.add_argument("--database")
+    parser.add_argument("--hive", action="store_true", help="tables of the Hive metastore")
     parser.add_argument("--path", help="folder of parquet tables instead of a database")
     parser.add_argument("--condition", required=True, help="JSON text")
     parser.add_argument("--task-id", default=str(uuid.uuid4()))
@@ -85,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if not (args.jdbc_url or args.out):
         parser.error("one of --jdbc-url and --out is needed")
-    spark = build_session("offline reports")
+    spark = build_session("offline reports", hive=args.hive)
 
     def put(name: str, report: DataFrame) -> None:
         if args.out:

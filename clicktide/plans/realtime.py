@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from clicktide.operators.ads import CLICK_LIMIT
 from clicktide.session import build_session
 from clicktide.sources.ads_log import TOPIC, ads_source, kafka_options
-from clicktide.streaming.gate import GateStore, accepted_stream, start_gate
-from clicktide.streaming.reports import minute_table, start_last_hour, start_region_counts
+from clicktide.streaming.gate import GateStore, Report, start_gate
+from clicktide.streaming.reports import (
+    last_hour,
+    moment_table,
+    newest_table,
+    region_counts,
+    region_table,
+)
 
 COUNTS = "area_city_ads_day_clickcount"
 TOP3 = "top3_ads_per_day"
@@ -22,35 +28,27 @@ def gate_store(root: str) -> GateStore:
     return GateStore(f"{root}/gate")
 
 
-def run_gate(
-    lines: DataFrame, root: str, limit: int = CLICK_LIMIT, trigger: dict | None = None
-) -> StreamingQuery:
-    return start_gate(lines, gate_store(root), f"{root}/checkpoints/gate", limit, trigger)
+def region_report(root: str) -> Report:
+    return region_counts(region_table(f"{root}/regions"), f"{root}/{COUNTS}", f"{root}/{TOP3}")
 
 
-def run_region_counts(
-    spark: SparkSession, root: str, trigger: dict | None = None
-) -> StreamingQuery:
-    clicks = accepted_stream(spark, gate_store(root))
-    return start_region_counts(
-        clicks, f"{root}/{COUNTS}", f"{root}/{TOP3}", f"{root}/checkpoints/{COUNTS}", trigger
-    )
+def last_hour_report(root: str) -> Report:
+    return last_hour(moment_table(f"{root}/moments"), newest_table(f"{root}/newest"), f"{root}/{LAST_HOUR}")
 
 
-def run_last_hour(spark: SparkSession, root: str, trigger: dict | None = None) -> StreamingQuery:
-    clicks = accepted_stream(spark, gate_store(root))
-    return start_last_hour(
-        clicks, minute_table(f"{root}/minutes"), f"{root}/{LAST_HOUR}",
-        f"{root}/checkpoints/{LAST_HOUR}", trigger,
-    )
+def run_gate(
+    lines: DataFrame,
+    root: str,
+    limit: int = CLICK_LIMIT,
+    trigger: dict | None = None,
+    reports: tuple[Report, ...] = (),
+) -> StreamingQuery:
+    return start_gate(lines, gate_store(root), f"{root}/checkpoints/gate", limit, trigger, reports)
 
 
-def start_all(
-    spark: SparkSession, lines: DataFrame, root: str, limit: int = CLICK_LIMIT
-) -> list[StreamingQuery]:
-    """Start gate and reports, each with its own checkpoint, everything below ``root``."""
-    gate = run_gate(lines, root, limit)
-    return [gate, run_region_counts(spark, root), run_last_hour(spark, root)]
+def start_all(lines: DataFrame, root: str, limit: int = CLICK_LIMIT) -> StreamingQuery:
+    """Start the gate with both reports, everything below ``root``."""
+    return run_gate(lines, root, limit, reports=(region_report(root), last_hour_report(root)))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -65,8 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     options = kafka_options(
         args.servers, args.topic, max_offsets_per_trigger=args.max_offsets_per_trigger
     )
-    start_all(spark, ads_source(spark, **options), args.root.rstrip("/"), args.limit)
-    spark.streams.awaitAnyTermination()
+    start_all(ads_source(spark, **options), args.root.rstrip("/"), args.limit).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -16,33 +16,42 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def build_session(
-    app_name: str, master: str | None = None, extra: dict[str, str] | None = None
+    app_name: str,
+    master: str | None = None,
+    extra: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
-    """A session with the settings above; ``master`` is left to spark-submit if None."""
+    """A session with the settings above; ``master`` is left to spark-submit if None.
+
+    ``hive`` reads and writes the tables of the cluster's Hive metastore.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def new_scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder on storage that every executor can reach.
+def _shared_dir(spark: SparkSession) -> str:
+    return spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
 
-    Taken below ``spark.checkpoint.dir``. Only a local-mode session without
-    that setting falls back to a temporary folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    name = f"{label}-{os.urandom(8).hex()}"
-    if base:
-        return f"{base.rstrip('/')}/{name}"
-    if not spark.sparkContext.master.startswith("local"):
+
+def new_scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach."""
+    base = _shared_dir(spark)
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return os.path.join(tempfile.mkdtemp(prefix="clicktide-"), name)
+    return f"{base.rstrip('/')}/{label}-{os.urandom(8).hex()}"
+
+
+def set_local_scratch(spark: SparkSession) -> None:
+    """For tests and trials: a folder of this machine, for a local master without the setting."""
+    if not _shared_dir(spark) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clicktide-"))

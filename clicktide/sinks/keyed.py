@@ -1,56 +1,89 @@
 """Results as (hash_key, field, value) rows, kept by micro-batch.
 
-Each micro-batch writes one folder ``batch_id=<n>``. Writing a batch again
-replaces its folder, so a replay after a failure changes nothing.
+A ``KeyedStore`` keeps the latest value of every field; what a micro-batch writes
+again replaces what it wrote, so a replay after a failure changes nothing. Its
+folders are folded and removed as batches go on. A ``Snapshot`` keeps the rows of
+the last micro-batch only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from clicktide.files import child_names, exists, remove
 from clicktide.schemas import KEYED_VALUE
+from clicktide.streaming.batch_table import BatchTable
+
+NO_PART = "all"
 
 
 def keyed_rows(
-    df: DataFrame, hash_key: str | Column, field: list[str], value: str
+    df: DataFrame, hash_key: str | Column, field: list[str], value: str, *more: str
 ) -> DataFrame:
-    """Rows for a key-value store: the field columns joined by ``:``."""
+    """Rows for a key-value store: the field columns joined by ``:``; ``more`` columns stay."""
     key = F.lit(hash_key) if isinstance(hash_key, str) else hash_key
     return df.select(
         key.alias("hash_key"),
         F.concat_ws(":", *field).alias("field"),
         F.col(value).cast("string").alias("value"),
+        *more,
     )
 
 
-def keyed_upsert(df: DataFrame, path: str, batch_id: int) -> None:
-    """Put the rows of one micro-batch."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+@dataclass(frozen=True)
+class KeyedStore:
+    """Latest values below ``path``. Rows may name a ``part``, a day for instance, that closes."""
+
+    path: str
+    every: int = 100
+
+    @property
+    def table(self) -> BatchTable:
+        schema = "hash_key STRING, field STRING, value STRING, part STRING"
+        keys = ("part", "hash_key", "field")
+        return BatchTable(self.path, schema, keys, "value", "latest", self.every, "part")
 
+    def last(self, spark: SparkSession) -> int:
+        """The number of the last batch, -1 before the first."""
+        folder = f"{self.path}/changes"
+        names = child_names(spark, folder) if exists(spark, folder) else []
+        return max(map(int, names), default=-1)
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*KEYED_VALUE.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(path)
 
+def keyed_upsert(df: DataFrame, path: str, batch_id: int, every: int = 100) -> None:
+    """Put the rows of one micro-batch; batch numbers grow."""
+    store = KeyedStore(path.rstrip("/"), every)
+    store.table.fold(df.sparkSession, batch_id)
+    if "part" not in df.columns:
+        df = df.withColumn("part", F.lit(NO_PART))
+    store.table.put(df, batch_id)
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+
+def read_keyed(spark: SparkSession, path: str, every: int = 100) -> DataFrame:
     """The latest value of every field."""
-    return (
-        _stored(spark, path)
-        .groupBy("hash_key", "field")
-        .agg(F.max_by("value", "batch_id").alias("value"))
-    )
+    store = KeyedStore(path.rstrip("/"), every)
+    last = store.last(spark)
+    if last < 0:
+        return spark.createDataFrame([], KEYED_VALUE)
+    return store.table.after(spark, last).select("hash_key", "field", "value")
 
 
-def read_keyed_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The fields of the last micro-batch only, for results that replace each other."""
-    stored = _stored(spark, path)
-    last = stored.agg(F.max("batch_id").alias("last")).scalar()
-    return stored.where(F.col("batch_id") == last).drop("batch_id")
+def put_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
+    """Put rows that replace those of all earlier batches; the folder before stays for readers."""
+    spark, folder = df.sparkSession, path.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{folder}/{batch_id}")
+    for name in child_names(spark, folder):
+        if int(name) < batch_id - 1:
+            remove(spark, f"{folder}/{name}")
 
 
-def compact_keyed(spark: SparkSession, path: str, target: str) -> None:
-    """Write the latest values as batch 0 of a new store, for a log of many batches."""
-    keyed_upsert(read_keyed(spark, path), target, 0)
+def read_keyed_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The fields of the last micro-batch, for results that replace each other."""
+    folder = path.rstrip("/")
+    numbers = [int(n) for n in child_names(spark, folder)] if exists(spark, folder) else []
+    if not numbers:
+        return spark.createDataFrame([], KEYED_VALUE)
+    return spark.read.schema(KEYED_VALUE).parquet(f"{folder}/{max(numbers)}")

@@ -1,4 +1,4 @@
-"""The click tables as views over a star-schema test set, in Spark and in plain SQL.
+"""The click tables as views over a star-schema test set; ``oracles.py`` has them in SQL.
 
 Each event becomes one user action and one ad click; customers, parts and
 nations become users, products and cities.
@@ -100,57 +100,3 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "product_info": product_info(spark, sf_dir),
         "city_info": city_info(spark, sf_dir),
     }
-
-
-# The same views for DuckDB, as the head of a query.
-VIEWS_SQL = """
-WITH ev AS (
-  SELECT event_id, user_id, event_type,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-         strftime(ts, '%Y-%m-%d') AS day,
-         strftime(ts, '%Y-%m-%d %H:%M:%S') AS sec,
-         epoch_us(ts) // 1000 AS ms
-  FROM events
-),
-user_visit_action AS (
-  SELECT day AS date, user_id,
-         user_id || '-' || replace(day, '-', '') AS session_id,
-         k % 10 + 1 AS page_id,
-         sec AS action_time,
-         CASE WHEN event_type = 'view' THEN 'kw_' || (k % 6) END AS search_keyword,
-         CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS click_category_id,
-         CASE WHEN event_type = 'click' THEN k % 40 ELSE -1 END AS click_product_id,
-         CASE WHEN event_type = 'purchase'
-              THEN (k % 20 + 1) || ',' || ((k + 7) % 20 + 1) END AS order_category_ids,
-         CASE WHEN event_type = 'purchase'
-              THEN ((k + 3) % 20 + 1) || ',' || ((k + 11) % 20 + 1) END AS order_product_ids,
-         CASE WHEN event_type = 'signup' THEN CAST(k % 20 + 1 AS VARCHAR) END
-           AS pay_category_ids,
-         CASE WHEN event_type = 'signup' THEN CAST(k % 40 AS VARCHAR) END AS pay_product_ids,
-         event_id % 25 AS city_id,
-         event_id AS seq,
-         CAST(epoch(CAST(sec AS TIMESTAMP)) AS BIGINT) AS t
-  FROM ev
-),
-user_info AS (
-  SELECT c_custkey AS user_id, CAST(10 + c_custkey % 50 AS INTEGER) AS age,
-         c_mktsegment AS professional
-  FROM customer
-),
-product_info AS (SELECT p_partkey AS product_id, p_name AS product_name FROM part),
-city_info AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-),
-ads_log AS (
-  SELECT ev.ms || ' ' || replace(area, ' ', '_') || ' ' || city_name || ' '
-           || user_id || ' ' || (k % 6 + 1) AS value,
-         event_id AS seq
-  FROM ev JOIN city_info ON event_id % 25 = city_id
-),
-ads AS (
-  SELECT seq, CAST(split_part(value, ' ', 1) AS BIGINT) AS ms,
-         split_part(value, ' ', 2) AS area, split_part(value, ' ', 3) AS city,
-         split_part(value, ' ', 4) AS user_id, split_part(value, ' ', 5) AS ads_id
-  FROM ads_log
-)"""

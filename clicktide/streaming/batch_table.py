@@ -2,69 +2,141 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicktide.files import child_names, exists, remove
+
+#: How the value of a key comes from its changes.
+MERGES = ("sum", "max", "latest")
+
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Changed rows per micro-batch below ``path``, and a full copy every ``every`` batches.
+    """Changed rows per micro-batch below ``path``, folded into full copies every ``every`` batches.
+
+    With ``part``, one of the keys, there is a full copy for each value of that key,
+    and a fold rewrites only the parts that changed since the last one. Readers name
+    the parts they need, so neither the files read nor the folders listed grow
+    with parts that are closed.
 
-    The value of a key may only grow, so its latest value is its largest.
-    Every folder belongs to one batch and is replaced when the batch is run
-    again; a batch reads folders of earlier batches only. A replay after a
-    failure therefore gives the same rows.
+    Every folder belongs to one batch and is replaced when the batch is run again; a
+    batch reads folders of earlier batches only. A replay after a failure therefore
+    gives the same rows. A fold leaves what a replay of its own batch needs, and
+    removes what was older.
     """
 
     path: str
     schema: str
     keys: tuple[str, ...]
     value: str
+    merge: str = "sum"
     every: int = 100
+    part: str | None = None
 
     def _changes(self, batch_id: int) -> str:
-        return f"{self.path}/changes/batch_id={batch_id}"
+        return f"{self.path}/changes/{batch_id}"
 
-    def _full(self, batch_id: int) -> str:
-        return f"{self.path}/full/batch_id={batch_id}"
+    def _full(self, part: str | None = None) -> str:
+        return f"{self.path}/full/{self.part}={part}" if self.part else f"{self.path}/full"
+
+    def _changed(self, spark: SparkSession, low: int, high: int) -> list[str]:
+        folder = f"{self.path}/changes"
+        names = child_names(spark, folder) if exists(spark, folder) else []
+        return [self._changes(n) for n in sorted(map(int, names)) if low <= n < high]
 
     def put(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Write the changes of a batch and return them as written.
 
         Columns beyond the schema are stored for the caller and not merged.
         """
-        rows.write.mode("overwrite").parquet(self._changes(batch_id))
-        return rows.sparkSession.read.schema(rows.schema).parquet(self._changes(batch_id))
-
-    def _merged(self, spark: SparkSession, full: int, batch_id: int) -> DataFrame:
-        paths = [self._full(full)] if full else []
-        paths += [self._changes(i) for i in range(full, batch_id)]
+        path = self._changes(batch_id)
+        rows.withColumn("_at", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def _folds(self, spark: SparkSession, part: str | None = None) -> list[int]:
+        folder = self._full(part)
+        if not exists(spark, folder):
+            return []
+        return sorted(int(n.split("=")[1]) for n in child_names(spark, folder) if n[:5] == "upto=")
+
+    def parts(self, spark: SparkSession) -> list[str]:
+        """All parts that have a full copy."""
+        folder = f"{self.path}/full"
+        names = child_names(spark, folder) if exists(spark, folder) else []
+        return [n.split("=", 1)[1] for n in names if n.startswith(f"{self.part}=")]
+
+    def _merged(
+        self, spark: SparkSession, base: int, batch_id: int, parts: list[str] | None
+    ) -> DataFrame:
+        schema = f"{self.schema}, _at BIGINT"
+        rows = spark.createDataFrame([], schema)
+        changes = self._changed(spark, base, batch_id)
+        if changes:
+            changed = spark.read.schema(schema).parquet(*changes)
+            if parts is not None:
+                changed = changed.where(F.col(self.part).isin(*parts))
+            rows = rows.unionByName(changed)
+        full = []
+        for part in parts if self.part and parts is not None else [None]:
+            done = [n for n in self._folds(spark, part) if n <= base]
+            full += [f"{self._full(part)}/upto={done[-1]}"] if done else []
+        if full:
+            root = f"{self.path}/full"
+            copies = spark.read.schema(schema).option("basePath", root).parquet(*full)
+            rows = rows.unionByName(copies.select(rows.columns))
+        best = {
+            "sum": F.sum(self.value), "max": F.max(self.value),
+            "latest": F.max_by(self.value, "_at"),
+        }[self.merge]
+        return rows.groupBy(*self.keys).agg(best.alias(self.value), F.max("_at").alias("_at"))
+
+    def _read(
+        self, spark: SparkSession, base: int, batch_id: int, parts: list[str] | None
+    ) -> DataFrame:
+        if self.part and parts is None:
+            parts = sorted({*self.parts(spark), *self._changed_parts(spark, base, batch_id)})
+        return self._merged(spark, base, batch_id, parts).drop("_at")
+
+    def _changed_parts(self, spark: SparkSession, low: int, high: int) -> list[str]:
+        paths = self._changed(spark, low, high)
         if not paths:
-            return spark.createDataFrame([], self.schema)
-        rows = spark.read.schema(self.schema).parquet(*paths)
-        return rows.groupBy(*self.keys).agg(F.max(self.value).alias(self.value))
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The table as it stood when the batch began."""
-        return self._merged(spark, batch_id - batch_id % self.every, batch_id)
-
-    def after(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The table with the changes of the batch."""
-        return self._merged(spark, batch_id - batch_id % self.every, batch_id + 1)
-
-    def fold(
-        self,
-        spark: SparkSession,
-        batch_id: int,
-        keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    ) -> None:
-        """Write the full copy if it is due, at the begin of a batch.
-
-        ``keep`` drops rows that no later batch will need.
-        """
-        if batch_id and batch_id % self.every == 0:
-            rows = keep(self._merged(spark, batch_id - self.every, batch_id))
-            rows.write.mode("overwrite").parquet(self._full(batch_id))
+            return []
+        rows = spark.read.schema(self.schema).parquet(*paths).select(self.part).distinct()
+        return [row[0] for row in rows.collect()]
+
+    def before(
+        self, spark: SparkSession, batch_id: int, parts: list[str] | None = None
+    ) -> DataFrame:
+        """The table, or some parts of it, as it stood when the batch began."""
+        return self._read(spark, batch_id - batch_id % self.every, batch_id, parts)
+
+    def after(
+        self, spark: SparkSession, batch_id: int, parts: list[str] | None = None
+    ) -> DataFrame:
+        """The table, or some parts of it, with the changes of the batch."""
+        return self._read(spark, batch_id - batch_id % self.every, batch_id + 1, parts)
+
+    def fold(self, spark: SparkSession, batch_id: int) -> None:
+        """Write the full copies if they are due, at the begin of a batch."""
+        if not batch_id or batch_id % self.every:
+            return
+        low = batch_id - self.every
+        parts = self._changed_parts(spark, low, batch_id) if self.part else None
+        if parts is None or parts:
+            by = [self.part, "upto"] if self.part else ["upto"]
+            self._merged(spark, low, batch_id, parts).withColumn("upto", F.lit(batch_id)).write.mode(
+                "overwrite"
+            ).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
+                f"{self.path}/full"
+            )
+        for part in parts if parts is not None else [None]:
+            older = [n for n in self._folds(spark, part) if n < batch_id]
+            for number in older[:-1]:
+                remove(spark, f"{self._full(part)}/upto={number}")
+        folder = f"{self.path}/changes"
+        for name in child_names(spark, folder):
+            if int(name) < low:
+                remove(spark, f"{folder}/{name}")

@@ -1,21 +1,22 @@
 """The black-list gate: drops clicks of users who click one ad too often in a day.
 
-Below its folder the gate keeps ``accepted`` and ``rejected`` lines by batch,
-the stored ``counts`` per user, ad and day, and the ``listed`` users.
+Below its folder the gate keeps ``accepted`` and ``rejected`` lines by batch, the
+stored ``counts`` per user, ad and day, and the ``listed`` users. Reports that
+follow the gate are brought up to date within the same micro-batch.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clicktide.files import child_names, exists, make_dir, publish
+from clicktide.files import child_names, exists, make_dir, publish, remove
 from clicktide.operators.ads import CLICK_LIMIT, ads_log_parse, malformed_lines
-from clicktide.operators.skew import spread_join
 from clicktide.streaming.batch_table import BatchTable
 
 CLICK_SCHEMA = (
@@ -24,14 +25,21 @@ CLICK_SCHEMA = (
 )
 CLICK_COLUMNS = [column.split()[0] for column in CLICK_SCHEMA.split(",")]
 COUNT_KEYS = ("user_id", "ads_id", "day")
-# A list of this many users is some tens of megabytes and fits every executor.
-BROADCAST_USERS = 1_000_000
-MAX_DAYS = 100
+#: A click may be so much later than its arrival, for clocks that differ.
+CLOCK_TOLERANCE = "INTERVAL 10 MINUTES"
+
+#: Brings a report up to date: the accepted clicks of a batch, and the number of the batch.
+Report = Callable[[DataFrame, int], None]
 
 
 @dataclass(frozen=True)
 class GateStore:
-    """Where the gate keeps its results."""
+    """Where the gate keeps its results, and which batches are complete.
+
+    Batches of the store are numbered on their own. Each run of a stream, known by
+    a name in its checkpoint, begins after the last complete batch, so neither a
+    new checkpoint nor a lost one makes the gate skip batches.
+    """
 
     path: str
     every: int = 100
@@ -47,96 +55,153 @@ class GateStore:
     @property
     def counts(self) -> BatchTable:
         schema = "user_id STRING, ads_id STRING, day STRING, click_count BIGINT"
-        return BatchTable(f"{self.path}/counts", schema, COUNT_KEYS, "click_count", self.every)
+        return BatchTable(
+            f"{self.path}/counts", schema, COUNT_KEYS, "click_count", "sum", self.every, "day"
+        )
 
     @property
     def listed(self) -> BatchTable:
         schema = "user_id STRING, click_count BIGINT"
-        return BatchTable(f"{self.path}/listed", schema, ("user_id",), "click_count", self.every)
+        return BatchTable(
+            f"{self.path}/listed", schema, ("user_id",), "click_count", "max", self.every
+        )
+
+    def _numbers(self, spark: SparkSession) -> list[int]:
+        folder = f"{self.path}/done"
+        return sorted(map(int, child_names(spark, folder))) if exists(spark, folder) else []
+
+    def last(self, spark: SparkSession) -> int:
+        """The number of the last complete batch, -1 before the first."""
+        return max(self._numbers(spark), default=-1)
+
+    def complete(self, spark: SparkSession, number: int) -> None:
+        make_dir(spark, f"{self.path}/done/{number}")
+        for older in self._numbers(spark):
+            if older < number - 1:
+                remove(spark, f"{self.path}/done/{older}")
+
+    def number_of(self, spark: SparkSession, run: str, batch_id: int) -> int:
+        """The store's number of a batch of a run; a run that is new begins after the last."""
+        folder = f"{self.path}/runs"
+        known = dict(
+            name.rsplit(".", 1) for name in (child_names(spark, folder) if exists(spark, folder) else [])
+        )
+        if run not in known:
+            known[run] = str(self.last(spark) + 1 - batch_id)
+            make_dir(spark, f"{folder}/{run}.{known[run]}")
+        return int(known[run]) + batch_id
 
     def current(self, spark: SparkSession, table: BatchTable) -> DataFrame:
         """One of the tables after the last batch that is complete."""
-        names = child_names(spark, self.accepted)
-        done = [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
-        return table.after(spark, max(done)) if done else table.before(spark, 0)
+        last = self.last(spark)
+        return table.after(spark, last) if last >= 0 else table.before(spark, 0)
 
 
-def _without(clicks: DataFrame, listed: DataFrame) -> DataFrame:
-    users = listed.select("user_id")
-    if users.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS:
-        return clicks.join(F.broadcast(users), "user_id", "left_anti")
-    return spread_join(clicks, users, "user_id", "left_anti", F.col("logdate"))
+def _in_future() -> Column:
+    return F.col("logdate") > F.current_timestamp() + F.expr(CLOCK_TOLERANCE)
 
 
-def _of_days(counts: DataFrame, clicks: DataFrame) -> DataFrame:
-    """Cut the stored counts to the days of the clicks, if these are few enough to name."""
-    days = [row["day"] for row in clicks.select("day").distinct().limit(MAX_DAYS + 1).collect()]
-    return counts.where(F.col("day").isin(*days)) if len(days) <= MAX_DAYS else counts
+def _rejected(lines: DataFrame) -> DataFrame:
+    """Lines set aside, and why: their form, or a time after their arrival."""
+    future = ads_log_parse(lines.withColumn("line", F.col("value"))).where(_in_future())
+    return malformed_lines(lines).select("value", F.lit("malformed").alias("reason")).unionByName(
+        future.select(F.col("line").alias("value"), F.lit("future").alias("reason"))
+    )
 
 
-def gate_batch(store: GateStore, limit: int) -> Callable[[DataFrame, int], None]:
+def gate_batch(
+    store: GateStore, limit: int, reports: tuple[Report, ...] = (), run: str = "direct"
+) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch of lines.
 
-    The accepted clicks are published last. A batch that is run again after
-    that does nothing; one that is run again before that repeats the same work.
+    The accepted clicks are published last, after the reports. A batch that is run
+    again after that does nothing; one that is run again before that repeats the
+    same work.
     """
 
     def put(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        final = f"{store.accepted}/batch_id={batch_id}"
-        staged = f"{store.path}/staged/batch_id={batch_id}"
-        if exists(spark, final):
+        number = store.number_of(spark, run, batch_id)
+        if number <= store.last(spark):
             return
-        store.listed.fold(spark, batch_id)
-        store.counts.fold(spark, batch_id)
+        final = f"{store.accepted}/batch_id={number}"
+        staged = f"{store.path}/staged/clicks"
+        users = f"{store.path}/staged/users"
+        store.listed.fold(spark, number)
+        store.counts.fold(spark, number)
+        store.listed.before(spark, number).select("user_id").write.mode("overwrite").parquet(users)
 
         lines.persist()
         try:
-            bad = malformed_lines(lines)
+            bad = _rejected(lines)
             if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(f"{store.rejected}/batch_id={batch_id}")
-            clicks = _without(ads_log_parse(lines), store.listed.before(spark, batch_id))
-            clicks.select(*CLICK_COLUMNS).write.mode("overwrite").parquet(staged)
+                bad.write.mode("overwrite").parquet(f"{store.rejected}/batch_id={number}")
+            clicks = ads_log_parse(lines).where(~_in_future())
+            # Spark knows the size of the list as written and joins accordingly.
+            listed = spark.read.schema("user_id STRING").parquet(users)
+            clicks.join(listed, "user_id", "left_anti").select(*CLICK_COLUMNS).write.mode(
+                "overwrite"
+            ).parquet(staged)
         finally:
             lines.unpersist()
 
         accepted = spark.read.schema(CLICK_SCHEMA).parquet(staged)
-        stored = _of_days(store.counts.before(spark, batch_id), accepted)
         fresh = accepted.groupBy(*COUNT_KEYS).agg(F.count("*").alias("clicks"))
+        days = [row["day"] for row in accepted.select("day").distinct().collect()]
+        stored = store.counts.before(spark, number, days)
         # A key stored at the limit lists the user; every other key is increased.
         prior = F.coalesce("click_count", F.lit(0))
         changed = fresh.join(stored, list(COUNT_KEYS), "left").select(
             *COUNT_KEYS,
-            (prior + F.when(prior < limit, F.col("clicks")).otherwise(0)).alias("click_count"),
-            (prior >= limit).alias("lists_user"),
+            F.when(prior < limit, F.col("clicks")).otherwise(0).alias("click_count"),
+            prior.alias("prior"),
         )
-        over = store.counts.put(changed, batch_id).where("lists_user")
+        over = store.counts.put(changed, number).where(F.col("prior") >= limit)
         store.listed.put(
-            over.groupBy("user_id").agg(F.max("click_count").alias("click_count")), batch_id
+            over.groupBy("user_id").agg(F.max("prior").alias("click_count")), number
         )
+        for report in reports:
+            report(accepted, number)
+        if exists(spark, final):
+            remove(spark, final)
         publish(spark, staged, final)
+        store.complete(spark, number)
 
     return put
 
 
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept in the checkpoint folder: it lives and is lost with the checkpoint."""
+    names = child_names(spark, checkpoint) if exists(spark, checkpoint) else []
+    for name in names:
+        if name.startswith("run-"):
+            return name
+    name = f"run-{os.urandom(8).hex()}"
+    make_dir(spark, f"{checkpoint}/{name}")
+    return name
+
+
 def start_gate(
     lines: DataFrame,
     store: GateStore,
     checkpoint: str,
     limit: int = CLICK_LIMIT,
     trigger: dict | None = None,
+    reports: tuple[Report, ...] = (),
 ) -> StreamingQuery:
-    """Run the gate, by default in micro-batches of five seconds."""
-    make_dir(lines.sparkSession, store.accepted)
+    """Run the gate and its reports, by default in micro-batches of five seconds."""
+    spark = lines.sparkSession
+    make_dir(spark, store.accepted)
+    run = _run_of(spark, checkpoint)
     return (
         lines.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .foreachBatch(gate_batch(store, limit))
+        .foreachBatch(gate_batch(store, limit, reports, run))
         .start()
     )
 
 
-# The partition column is declared too: a stream may start before the first batch.
+# The partition column is declared too: a reader may start before the first batch.
 ACCEPTED_SCHEMA = f"{CLICK_SCHEMA}, batch_id BIGINT"
 
 
@@ -145,12 +210,6 @@ def accepted_clicks(spark: SparkSession, store: GateStore) -> DataFrame:
     return spark.read.schema(ACCEPTED_SCHEMA).parquet(store.accepted).drop("batch_id")
 
 
-def accepted_stream(spark: SparkSession, store: GateStore) -> DataFrame:
-    """The clicks let through, as a stream."""
-    make_dir(spark, store.accepted)
-    return spark.readStream.schema(ACCEPTED_SCHEMA).parquet(store.accepted).drop("batch_id")
-
-
 def blacklist_table(spark: SparkSession, store: GateStore) -> DataFrame:
     """The users listed so far."""
     return store.current(spark, store.listed).select("user_id")

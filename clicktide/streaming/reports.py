@@ -1,143 +1,117 @@
-"""Running reports on the accepted clicks."""
+"""Running reports on the accepted clicks, brought up to date within the gate's micro-batches.
+
+No report waits for a watermark: late clicks, of whatever day, change the counts
+of their day like any other.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from clicktide.functions.columns import DAY_FORMAT, MINUTE_FORMAT
 from clicktide.operators.ads import (
+    ads_minute_counts,
     area_ads_day_count,
     area_city_ads_day_clickcount,
     minutes_json,
     top3_ads_per_day,
 )
-from clicktide.sinks.keyed import keyed_rows, keyed_upsert
+from clicktide.sinks.keyed import keyed_rows, keyed_upsert, put_snapshot
 from clicktide.streaming.batch_table import BatchTable
+from clicktide.streaming.gate import Report
+
+HOUR_PART = "yyyy-MM-dd-HH"
 
 
-def city_count_rows(counts: DataFrame) -> DataFrame:
+def city_count_rows(counts: DataFrame, *more: str) -> DataFrame:
     return keyed_rows(
-        counts, "area_city_ads_day_clickcount", ["area", "city", "ads_id", "day"], "click_count"
+        counts, "area_city_ads_day_clickcount", ["area", "city", "ads_id", "day"], "click_count",
+        *more,
     )
 
 
-def top3_rows(top3: DataFrame) -> DataFrame:
+def top3_rows(top3: DataFrame, *more: str) -> DataFrame:
     key = F.concat(F.lit("top3_ads_per_day:"), F.col("day"))
-    return keyed_rows(top3, key, ["area"], "top_ads")
+    return keyed_rows(top3, key, ["area"], "top_ads", *more)
 
 
 def last_hour_rows(last_hour: DataFrame) -> DataFrame:
     return keyed_rows(last_hour, "last_hour_ads_click", ["ads_id"], "minute_clicks")
 
 
-def start_region_counts(
-    clicks: DataFrame,
-    counts_path: str,
-    top3_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Running clicks per day, area, city and ad, and from them the top ads per day and area.
+def region_table(path: str, every: int = 100) -> BatchTable:
+    schema = "area STRING, city STRING, ads_id STRING, day STRING, click_count BIGINT"
+    keys = ("area", "city", "ads_id", "day")
+    return BatchTable(path, schema, keys, "click_count", "sum", every, "day")
 
-    Totals live in the state store; all of them are put out at each batch, so
-    the ranking always sees the whole day.
-    """
 
-    def put(counts: DataFrame, batch_id: int) -> None:
-        counts.persist()
-        try:
-            keyed_upsert(city_count_rows(counts), counts_path, batch_id)
-            top3 = top3_ads_per_day(area_ads_day_count(counts))
-            keyed_upsert(top3_rows(top3), top3_path, batch_id)
-        finally:
-            counts.unpersist()
-
-    return (
-        area_city_ads_day_clickcount(clicks)
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .foreachBatch(put)
-        .start()
-    )
+def region_counts(
+    table: BatchTable, counts_path: str, top3_path: str, every: int = 100
+) -> Report:
+    """Running clicks per day, area, city and ad, and from them the top ads per day and area.
 
+    Only days with clicks in the batch are read, and only changed keys and the
+    rankings of those days are put out.
+    """
 
-def start_changed_counts(
-    clicks: DataFrame,
-    counts_path: str,
-    checkpoint: str,
-    late_by: str = "1 day",
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """The same running clicks, but only changed keys are put out and old days leave the state.
+    def put(clicks: DataFrame, batch_id: int) -> None:
+        spark = clicks.sparkSession
+        table.fold(spark, batch_id)
+        changed = table.put(area_city_ads_day_clickcount(clicks), batch_id)
+        days = [row["day"] for row in changed.select("day").distinct().collect()]
+        totals = table.after(spark, batch_id, days)
+        fresh = totals.join(changed.drop("click_count"), list(table.keys), "left_semi")
+        part = F.col("day").alias("part")
+        keyed_upsert(city_count_rows(fresh, part), counts_path, batch_id, every)
+        top3 = top3_ads_per_day(area_ads_day_count(totals))
+        keyed_upsert(top3_rows(top3, part), top3_path, batch_id, every)
 
-    A day is closed once clicks later than its end by ``late_by`` have come;
-    clicks for a closed day are dropped and counted in the query progress.
-    """
+    return put
 
-    def put(counts: DataFrame, batch_id: int) -> None:
-        keyed_upsert(city_count_rows(counts), counts_path, batch_id)
 
-    counts = (
-        clicks.withWatermark("logdate", late_by)
-        .groupBy("area", "city", "ads_id", F.window("logdate", "1 day").alias("span"))
-        .agg(F.count("*").alias("click_count"))
-        .withColumn("day", F.date_format("span.start", DAY_FORMAT))
-    )
-    return (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .foreachBatch(put)
-        .start()
-    )
+def moment_table(path: str, every: int = 100) -> BatchTable:
+    """Clicks by ad and millisecond, in parts of one hour."""
+    schema = "ads_id STRING, logdate TIMESTAMP, part STRING, click_count BIGINT"
+    return BatchTable(path, schema, ("ads_id", "logdate", "part"), "click_count", "sum", every, "part")
 
 
-def minute_table(path: str, every: int = 100) -> BatchTable:
-    schema = "ads_id STRING, minute TIMESTAMP, click_count BIGINT"
-    return BatchTable(path, schema, ("ads_id", "minute"), "click_count", every)
+def newest_table(path: str, every: int = 100) -> BatchTable:
+    """The time of the latest click."""
+    return BatchTable(path, "name STRING, latest TIMESTAMP", ("name",), "latest", "max", every)
 
 
-def last_minutes(minutes: DataFrame) -> DataFrame:
-    """The sixty minutes that end with the latest one that has a click."""
-    end = minutes.agg(F.max("minute").alias("latest")).scalar()
-    return minutes.where(F.col("minute") > end - F.expr("INTERVAL 60 MINUTES"))
+def _hours(spark: SparkSession, newest: DataFrame) -> tuple:
+    """The latest time, and the hours that the sixty minutes up to it touch."""
+    row = newest.select(
+        "latest", F.date_format("latest", HOUR_PART),
+        F.date_format(F.col("latest") - F.expr("INTERVAL 60 MINUTES"), HOUR_PART),
+    ).first()
+    return (row[0], sorted({row[1], row[2]})) if row and row[0] is not None else (None, [])
 
 
-def start_last_hour(
-    clicks: DataFrame,
-    minutes: BatchTable,
-    last_hour_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Clicks of the last hour by ad and minute, put out anew every ten seconds.
+def last_hour(moments: BatchTable, newest: BatchTable, last_hour_path: str) -> Report:
+    """Clicks by ad and minute of the exact sixty minutes up to the latest click.
 
-    The stream keeps one count per ad and minute and lets it go two hours after
-    the minute; a sliding window would keep each click once for every slide.
+    Counts are kept by millisecond, so the oldest minute is cut where the hour
+    begins. Only the two hours that the sixty minutes touch are read.
     """
 
-    def put(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        minutes.fold(spark, batch_id, last_minutes)
-        minutes.put(changed, batch_id)
-        recent = last_minutes(minutes.after(spark, batch_id)).withColumn(
-            "hour_min", F.date_format("minute", MINUTE_FORMAT)
+    def put(clicks: DataFrame, batch_id: int) -> None:
+        spark = clicks.sparkSession
+        moments.fold(spark, batch_id)
+        newest.fold(spark, batch_id)
+        counts = clicks.groupBy(
+            "ads_id", "logdate", F.date_format("logdate", HOUR_PART).alias("part")
+        ).agg(F.count("*").alias("click_count"))
+        moments.put(counts, batch_id)
+        top = clicks.agg(F.max("logdate").alias("latest")).select(F.lit("click").alias("name"), "latest")
+        newest.put(top, batch_id)
+        end, hours = _hours(spark, newest.after(spark, batch_id))
+        recent = moments.after(spark, batch_id, hours).where(
+            (F.col("logdate") > F.lit(end) - F.expr("INTERVAL 60 MINUTES"))
+            & (F.col("logdate") <= F.lit(end))
         )
-        keyed_upsert(last_hour_rows(minutes_json(recent)), last_hour_path, batch_id)
+        rows = last_hour_rows(minutes_json(ads_minute_counts(recent, "click_count")))
+        put_snapshot(rows, last_hour_path, batch_id)
 
-    counts = (
-        clicks.withWatermark("logdate", "2 hours")
-        .groupBy("ads_id", F.window("logdate", "1 minute").alias("span"))
-        .agg(F.count("*").alias("click_count"))
-        .select("ads_id", F.col("span.start").alias("minute"), "click_count")
-    )
-    return (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .foreachBatch(put)
-        .start()
-    )
+    return put

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from clicktide.sources.derived import VIEWS_SQL
-
 TASK = "task-1"
 CONDITION = (
     '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"10","endAge":"50",'
@@ -12,7 +10,60 @@ CONDITION = (
 SAMPLE_TARGET = 1000
 SAMPLE_SEED = "7"
 CLICK_LIMIT = 2
-STREAM_SLICES = 4
+STREAM_SLICES = 8
+
+#: The click tables over the test set.
+VIEWS_SQL = """
+WITH ev AS (
+  SELECT event_id, user_id, event_type,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         strftime(ts, '%Y-%m-%d') AS day,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS sec,
+         epoch_us(ts) // 1000 AS ms
+  FROM events
+),
+user_visit_action AS (
+  SELECT day AS date, user_id,
+         user_id || '-' || replace(day, '-', '') AS session_id,
+         k % 10 + 1 AS page_id,
+         sec AS action_time,
+         CASE WHEN event_type = 'view' THEN 'kw_' || (k % 6) END AS search_keyword,
+         CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS click_category_id,
+         CASE WHEN event_type = 'click' THEN k % 40 ELSE -1 END AS click_product_id,
+         CASE WHEN event_type = 'purchase'
+              THEN (k % 20 + 1) || ',' || ((k + 7) % 20 + 1) END AS order_category_ids,
+         CASE WHEN event_type = 'purchase'
+              THEN ((k + 3) % 20 + 1) || ',' || ((k + 11) % 20 + 1) END AS order_product_ids,
+         CASE WHEN event_type = 'signup' THEN CAST(k % 20 + 1 AS VARCHAR) END
+           AS pay_category_ids,
+         CASE WHEN event_type = 'signup' THEN CAST(k % 40 AS VARCHAR) END AS pay_product_ids,
+         event_id % 25 AS city_id,
+         event_id AS seq,
+         CAST(epoch(CAST(sec AS TIMESTAMP)) AS BIGINT) AS t
+  FROM ev
+),
+user_info AS (
+  SELECT c_custkey AS user_id, CAST(10 + c_custkey % 50 AS INTEGER) AS age,
+         c_mktsegment AS professional
+  FROM customer
+),
+product_info AS (SELECT p_partkey AS product_id, p_name AS product_name FROM part),
+city_info AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+),
+ads_log AS (
+  SELECT ev.ms || ' ' || replace(area, ' ', '_') || ' ' || city_name || ' '
+           || user_id || ' ' || (k % 6 + 1) AS value,
+         event_id AS seq
+  FROM ev JOIN city_info ON event_id % 25 = city_id
+),
+ads AS (
+  SELECT seq, CAST(split_part(value, ' ', 1) AS BIGINT) AS ms,
+         split_part(value, ' ', 2) AS area, split_part(value, ' ', 3) AS city,
+         split_part(value, ' ', 4) AS user_id, split_part(value, ' ', 5) AS ads_id
+  FROM ads_log
+)"""
 
 SELECTED = """
 va AS (
@@ -218,10 +269,7 @@ clicks AS (
 )"""
 
 BATCH_OF_CLOCK = "ms // 5000"
-BATCH_OF_SLICE = (
-    f"({STREAM_SLICES} * (ms - (SELECT min(ms) FROM clicks)))"
-    " // ((SELECT max(ms) - min(ms) FROM clicks) + 1)"
-)
+BATCH_OF_SLICE = f"seq % {STREAM_SLICES}"
 
 
 def _gate(batch: str) -> str:
@@ -284,7 +332,6 @@ GROUP BY ads_id"""
 
 
 LAST_HOUR = "ms > (SELECT max(ms) FROM accepted) - 3600000"
-LAST_MINUTES = "minute > (SELECT max(minute) FROM accepted) - INTERVAL 60 MINUTE"
 
 
 def _ads(select: str, batch: str = BATCH_OF_CLOCK) -> str:
@@ -307,10 +354,11 @@ KEYED_CITY_COUNTS = _keyed(
 ORACLES = {
     "load_tables": VIEWS_SQL
     + """
-SELECT 'user_visit_action' AS table_name, count(*) AS n_rows FROM user_visit_action
-UNION ALL SELECT 'user_info', count(*) FROM user_info
-UNION ALL SELECT 'product_info', count(*) FROM product_info
-UNION ALL SELECT 'city_info', count(*) FROM city_info""",
+SELECT 'user_visit_action' AS table_name, count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS id_sum
+FROM user_visit_action
+UNION ALL SELECT 'user_info', count(*), CAST(sum(user_id) AS BIGINT) FROM user_info
+UNION ALL SELECT 'product_info', count(*), CAST(sum(product_id) AS BIGINT) FROM product_info
+UNION ALL SELECT 'city_info', count(*), CAST(sum(city_id) AS BIGINT) FROM city_info""",
     "save_table": VIEWS_SQL
     + """
 SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_category_id,
@@ -340,6 +388,16 @@ FROM va""",
     "session_stat_info": _all(PROFILE, STATS),
     "session_stat_info_selected": _selected(PROFILE, STATS),
     "session_info": _all(INFO, "SELECT * FROM info"),
+    "session_items": _all(
+        INFO,
+        """
+SELECT session_id, kind, item,
+  row_number() OVER (PARTITION BY session_id, kind ORDER BY action_time, seq) AS position
+FROM (SELECT *, CASE kind WHEN 'search' THEN search_keyword
+        WHEN 'click' THEN CAST(click_product_id AS VARCHAR)
+        WHEN 'order' THEN order_product_ids ELSE pay_product_ids END AS item
+      FROM marked WHERE kind IS NOT NULL)""",
+    ),
     "sessions_per_hour": _all(HOURS, "SELECT * FROM hours"),
     "session_sample": _all(
         INFO + "," + HOURS,
@@ -417,7 +475,7 @@ FROM va""",
         _keyed("'top3_ads_per_day:' || day", "area", "top_ads", TOP3), BATCH_OF_SLICE
     ),
     "last_hour_ads_click_stream": _ads(
-        _keyed("'last_hour_ads_click'", "ads_id", "minute_clicks", _minutes(LAST_MINUTES)),
+        _keyed("'last_hour_ads_click'", "ads_id", "minute_clicks", _minutes(LAST_HOUR)),
         BATCH_OF_SLICE,
     ),
 }

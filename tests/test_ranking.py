@@ -5,9 +5,15 @@ from clicktide.operators import ranking
 from clicktide.operators.ranking import first_k
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_first_k_equals_sorting_each_group(spark, monkeypatch, limit):
-    monkeypatch.setattr(ranking, "PRE_CUT_LIMIT", limit)
+@pytest.fixture(params=[1000, 3])
+def pre_cut(spark, request):
+    before = spark.conf.get(ranking.PRE_CUT_SETTING)
+    spark.conf.set(ranking.PRE_CUT_SETTING, request.param)
+    yield
+    spark.conf.set(ranking.PRE_CUT_SETTING, before)
+
+
+def test_first_k_equals_sorting_each_group(spark, pre_cut):
     frame = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 500).alias("v"))
     got = {(r.g, r.rn, r.v) for r in first_k(frame, ["g"], [F.desc("v")], 5).collect()}
     expected = set()

@@ -1,6 +1,7 @@
 import pytest
 from rows import actions, as_tuples, cities, products, users
 
+from clicktide.files import child_names
 from clicktide.params import Condition
 from clicktide.plans import area_top3, offline
 from clicktide.plans.area_top3 import area_top3_report
@@ -15,9 +16,9 @@ from clicktide.schemas import (
 )
 from clicktide.session import new_scratch_dir
 from clicktide.sinks.keyed import (
-    compact_keyed,
     keyed_rows,
     keyed_upsert,
+    put_snapshot,
     read_keyed,
     read_keyed_snapshot,
 )
@@ -107,9 +108,16 @@ def test_keyed_values(spark):
     keyed_upsert(rows(("z", "1", 7)), path, 10)
     latest = [("h", "x:1", "6"), ("h", "y:1", "2"), ("h", "z:1", "7")]
     assert as_tuples(read_keyed(spark, path)) == latest
-    assert as_tuples(read_keyed_snapshot(spark, path)) == [("h", "z:1", "7")]
-    compact_keyed(spark, path, f"{path}-small")
-    assert as_tuples(read_keyed(spark, f"{path}-small")) == latest
+
+
+def test_snapshots_replace_each_other(spark):
+    path = new_scratch_dir(spark, "snapshot")
+    assert read_keyed_snapshot(spark, path).count() == 0
+    for number in range(4):
+        frame = spark.createDataFrame([("x", number)], "a STRING, n BIGINT")
+        put_snapshot(keyed_rows(frame, "h", ["a"], "n"), path, number)
+    assert as_tuples(read_keyed_snapshot(spark, path)) == [("h", "x", "3")]
+    assert sorted(child_names(spark, path)) == ["2", "3"]
 
 
 def test_all_reports_have_their_schema(spark):
@@ -161,7 +169,11 @@ def test_scratch_needs_a_shared_folder():
         conf = Conf()
 
         class sparkContext:
-            master = "yarn"
+            master = "local[2]"
+
+            @staticmethod
+            def getCheckpointDir():  # noqa: N802
+                return None
 
     with pytest.raises(RuntimeError):
         new_scratch_dir(Session(), "x")

@@ -6,16 +6,16 @@ from rows import as_tuples
 from test_ads import random_clicks, replay
 
 from clicktide.plans import realtime
-from clicktide.session import SETTINGS, new_scratch_dir
+from clicktide.session import new_scratch_dir
 from clicktide.sinks.keyed import read_keyed, read_keyed_snapshot
 from clicktide.sources.ads_log import ads_source, kafka_options
+from clicktide.files import child_names
+from clicktide.operators import ads
 from clicktide.streaming import gate as gate_module
-from clicktide.streaming import reports
 from clicktide.streaming.batch_table import BatchTable
 from clicktide.streaming.gate import (
     GateStore,
     accepted_clicks,
-    accepted_stream,
     blacklist_table,
     gate_batch,
     start_gate,
@@ -101,25 +101,104 @@ def test_replay_and_crash_change_nothing(spark, monkeypatch):
     assert _state(spark, store) == _expected(clicks, 4)
 
 
-def test_long_lists_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(gate_module, "BROADCAST_USERS", 0)
-    monkeypatch.setattr(gate_module, "MAX_DAYS", 1)
+def test_new_checkpoint_on_an_old_store_loses_nothing(spark):
     clicks = random_clicks(8, 120, 4)
     root = new_scratch_dir(spark, "test")
-    store = GateStore(f"{root}/gate")
-    put = gate_batch(store, 3)
+    store = GateStore(f"{root}/gate", 2)
     for number, batch in enumerate(_by_batch(clicks)):
-        put(spark.createDataFrame([(v,) for v in batch], "value STRING"), number)
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        frame.coalesce(1).write.text(f"{root}/lines{number}")
+        source = ads_source(spark, "text", path=f"{root}/lines{number}")
+        start_gate(source, store, f"{root}/checkpoint{number}", 3, ONCE).awaitTermination()
     assert _state(spark, store) == _expected(clicks, 3)
 
 
+def test_folders_stay_few(spark):
+    """Over 200 batches, with a replay of each, on tables that fold every 20."""
+    path = new_scratch_dir(spark, "test")
+    table = BatchTable(path, "k STRING, day STRING, n BIGINT", ("k", "day"), "n", "sum", 20, "day")
+    want = Counter()
+    for batch in range(205):
+        rows = [(f"k{batch % 3}", f"2024-01-{1 + batch // 70:02}", 1)]
+        want.update(r[:2] for r in rows)
+        frame = spark.createDataFrame(rows, table.schema).coalesce(1)
+        for _ in range(2 if batch % 20 < 2 else 1):
+            table.fold(spark, batch)
+            table.put(frame, batch)
+    assert len(child_names(spark, f"{path}/changes")) <= 40
+    days = table.parts(spark)
+    assert sorted(days) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for day in days:
+        folds = child_names(spark, f"{path}/full/day={day}")
+        assert len([n for n in folds if n.startswith("upto=")]) <= 2
+    got = {(r["k"], r["day"]): r["n"] for r in table.after(spark, 204).collect()}
+    assert got == dict(want)
+    one = table.after(spark, 204, ["2024-01-02"])
+    assert len(one.inputFiles()) <= 2 * 5 + 1
+    assert {r["day"] for r in one.collect()} == {"2024-01-02"}
+
+
 def test_malformed_lines_are_kept_aside(spark):
     root = new_scratch_dir(spark, "test")
     store = GateStore(f"{root}/gate")
     good = _line(("u", "a", "2024-01-01", 0))
     _feed(spark, root, [[good, "broken"], [good]], store, 5)
     assert accepted_clicks(spark, store).count() == 2
-    assert as_tuples(spark.read.parquet(store.rejected), "value") == [("broken",)]
+    assert as_tuples(spark.read.parquet(store.rejected), "value", "reason") == [
+        ("broken", "malformed"),
+    ]
+
+
+def _at(moment, ad="a"):
+    stamp = datetime.fromisoformat(moment).replace(tzinfo=timezone.utc)
+    return f"{round(stamp.timestamp() * 1000)} north metro u {ad}"
+
+
+def _run_last_hour(spark, root, batches):
+    for number, batch in enumerate(batches):
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        frame.coalesce(1).write.mode("append").text(f"{root}/lines")
+        source = ads_source(spark, "text", path=f"{root}/lines")
+        report = realtime.last_hour_report(root)
+        realtime.run_gate(source, root, 100, ONCE, (report,)).awaitTermination()
+    return as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}"), "field", "value")
+
+
+def test_last_hour_cuts_the_oldest_minute(spark):
+    root = new_scratch_dir(spark, "test")
+    lines = [_at("2024-01-01 10:00:29.999"), _at("2024-01-01 10:00:30.500"),
+             _at("2024-01-01 10:00:30.000"), _at("2024-01-01 11:00:30.000")]
+    got = _run_last_hour(spark, root, [lines[:2], lines[2:]])
+    assert got == [("a", '[{"10:00":1},{"11:00":1}]')]
+    frame = spark.createDataFrame([(v,) for v in lines], "value STRING")
+    batch = ads.last_hour_ads_click(ads.ads_log_parse(frame))
+    assert as_tuples(batch, "ads_id", "minute_clicks") == got
+
+
+def test_a_future_line_is_set_aside(spark):
+    root = new_scratch_dir(spark, "test")
+    future = _at("9990-01-01 00:00:00")
+    lines = [[_at("2024-01-01 10:00:00"), future], [_at("2024-01-01 10:30:00", "b")],
+             [_at("2024-01-01 10:31:00")]]
+    got = _run_last_hour(spark, root, lines)
+    assert got == [("a", '[{"10:00":1},{"10:31":1}]'), ("b", '[{"10:30":1}]')]
+    rejected = spark.read.parquet(realtime.gate_store(root).rejected)
+    assert as_tuples(rejected, "value", "reason") == [(future, "future")]
+    frame = spark.createDataFrame([(v,) for batch in lines for v in batch], "value STRING")
+    batch = ads.last_hour_ads_click(ads.ads_log_parse(frame))
+    assert as_tuples(batch, "ads_id", "minute_clicks") == got
+
+
+def test_late_days_are_counted(spark):
+    root = new_scratch_dir(spark, "test")
+    for day in ["2024-01-01", "2024-01-05", "2024-01-01"]:
+        frame = spark.createDataFrame([(_line(("u", "a", day, 0)),)], "value STRING")
+        frame.write.mode("append").text(f"{root}/lines")
+        source = ads_source(spark, "text", path=f"{root}/lines")
+        report = realtime.region_report(root)
+        realtime.run_gate(source, root, 5, ONCE, (report,)).awaitTermination()
+    rows = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
+    assert rows == [("north:metro:a:2024-01-01", "2"), ("north:metro:a:2024-01-05", "1")]
 
 
 def test_reports_equal_the_accepted_clicks(spark):
@@ -132,9 +211,8 @@ def test_reports_equal_the_accepted_clicks(spark):
             frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
             frame.coalesce(1).write.mode("append").text(f"{root}/lines")
         lines = ads_source(spark, "text", path=f"{root}/lines", maxFilesPerTrigger="1")
-        realtime.run_gate(lines, root, 5, ONCE).awaitTermination()
-        realtime.run_region_counts(spark, root, ONCE).awaitTermination()
-        realtime.run_last_hour(spark, root, ONCE).awaitTermination()
+        reports = (realtime.region_report(root), realtime.last_hour_report(root))
+        realtime.run_gate(lines, root, 5, ONCE, reports).awaitTermination()
 
     totals = Counter((c[1], c[2]) for c in accepted)
     counts = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
@@ -156,23 +234,9 @@ def test_reports_equal_the_accepted_clicks(spark):
     ]
 
 
-def test_changed_counts_drop_late_days(spark):
-    root = new_scratch_dir(spark, "test")
-    store = GateStore(f"{root}/gate")
-    days = ["2024-01-01", "2024-01-05", "2024-01-01"]
-    for day in days:
-        _feed(spark, root, [[_line(("u", "a", day, 0))]], store, 5)
-        reports.start_changed_counts(
-            accepted_stream(spark, store), f"{root}/counts", f"{root}/counts-checkpoint",
-            "1 day", ONCE,
-        ).awaitTermination()
-    rows = as_tuples(read_keyed(spark, f"{root}/counts"), "field", "value")
-    assert rows == [("north:metro:a:2024-01-01", "1"), ("north:metro:a:2024-01-05", "1")]
-
-
 def test_batch_table_folds(spark):
     path = new_scratch_dir(spark, "test")
-    table = BatchTable(path, "k STRING, n BIGINT", ("k",), "n", 2)
+    table = BatchTable(path, "k STRING, n BIGINT", ("k",), "n", "max", 2)
     for batch in range(5):
         table.fold(spark, batch)
         assert table.before(spark, batch).count() == batch
@@ -190,23 +254,16 @@ def test_kafka_options():
     assert options["maxOffsetsPerTrigger"] == "5"
 
 
-def test_whole_job_with_timers_and_rocksdb(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, SETTINGS[key])
+def test_whole_job_with_a_timer(spark):
     root = new_scratch_dir(spark, "test")
     clicks = [("u", "a", "2024-01-01", 0), ("v", "a", "2024-01-01", 1)]
     frame = spark.createDataFrame([(_line(c),) for c in clicks], "value STRING")
     frame.coalesce(1).write.text(f"{root}/lines")
-    lines = ads_source(spark, "text", path=f"{root}/lines")
-    started = realtime.start_all(spark, lines, root, 5)
+    query = realtime.start_all(ads_source(spark, "text", path=f"{root}/lines"), root, 5)
     try:
-        for query in started:
-            query.processAllAvailable()
+        query.processAllAvailable()
     finally:
-        for query in started:
-            query.stop()
-        spark.conf.set(key, before)
+        query.stop()
     hour = as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}"))
     assert hour == [("last_hour_ads_click", "a", '[{"12:00":1},{"12:01":1}]')]
     counts = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
