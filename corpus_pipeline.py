@@ -16,7 +16,7 @@ from clicktide.llm.lines import drop_wide_lines
 from clicktide.llm.packing import pack_documents
 from clicktide.llm.simhash import one_of_each
 from clicktide.llm.toxicity import fit_toxicity, score_toxicity
-from clicktide.session import new_scratch_dir
+from clicktide.session import new_scratch_dir, set_local_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -75,6 +75,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents; each result is written to the shared folder and read again."""
+    set_local_scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = new_scratch_dir(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
