@@ -43,7 +43,8 @@ def differences(frame, sql: str, sf_dir: str) -> str:
             f" only here {list((got - expected).items())[:3]},"
             f" only in SQL {list((expected - got).items())[:3]}"
         )
-    names = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER"}
+    names = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER",
+             "boolean": "BOOLEAN"}
     here = {name: names.get(kind, kind) for name, kind in frame.dtypes}
     wrong = {c: (here[c], t) for c, t in zip(columns, types) if here[c] != t}
     return f"types {wrong}" if wrong else ""
