@@ -107,8 +107,44 @@ QUERIES = {
     "op10_fingerprint": op10_fingerprint,
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _sql_words(column: str) -> str:
+    text = f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+    return f"regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, {_sql_words('text')} AS w FROM documents),
+        items AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_sql_words('text')} AS w
+            FROM benchmark),
+        sized AS (SELECT item, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+        places AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
+        patterns AS (
+            SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM places),
+        spans AS (
+            SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+            FROM docs, (SELECT DISTINCT n FROM patterns) WHERE len(w) >= n),
+        hits AS (
+            SELECT r, i, spans.n, item FROM spans
+            JOIN patterns ON patterns.n = spans.n
+                         AND patterns.p = array_to_string(w[i:i + spans.n - 1], ' ')),
+        hit_words AS (
+            SELECT r, count(DISTINCT j) AS n_hit
+            FROM (SELECT r, unnest(range(i, i + n)) AS j FROM hits) GROUP BY r),
+        hit_items AS (
+            SELECT r, count(DISTINCT item) AS n_items,
+                   string_agg(DISTINCT item, ',' ORDER BY item) AS names
+            FROM hits GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
     "op5_line_sites": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, * FROM documents),
         parts AS (SELECT r, source, string_split(text, chr(10)) AS lines FROM docs),
@@ -141,8 +177,7 @@ ORACLES: dict[str, str] = {
         hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests),
         parts AS (
             SELECT page_id, nth,
-                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-                       AS host,
+                   translate(raw, '{_UPPER}', '{_LOWER}') AS host,
                    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
             FROM hosts),
         fitting AS (

@@ -157,13 +157,16 @@ def sampled_segments(bits: int, width: int, count: int) -> np.ndarray:
     return np.stack(pieces[:count])
 
 
-def _probes(nodes: DataFrame, bits: int, width: int, segments: int) -> DataFrame:
-    """(bucket, node, rank, root): each fingerprint under the value of each of its segments."""
-    places = sampled_segments(bits, width, segments)
+def _probes(nodes: DataFrame, bits: int, places: np.ndarray) -> DataFrame:
+    """Each fingerprint under the value of each segment; ``places`` has the bits of a segment in a row.
+
+    Gives (bucket, node, rank, root, size).
+    """
+    segments, width = places.shape
     weights = np.zeros((bits, segments))
     for s in range(segments):
         weights[places[s], s] = 2.0 ** np.arange(width)
-    carried = ["node", "rank", "root"]
+    carried = ["node", "rank", "root", "size"]
     columns = [nodes.columns.index(n) for n in ("lanes", *carried)]
 
     def probe(batches):
@@ -183,7 +186,23 @@ def _probes(nodes: DataFrame, bits: int, width: int, segments: int) -> DataFrame
                     names=["bucket", *carried],
                 )
 
-    return nodes.mapInArrow(probe, "bucket bigint, node bigint, rank bigint, root bigint")
+    kind = "bucket bigint, node bigint, rank bigint, root bigint, size bigint"
+    return nodes.mapInArrow(probe, kind)
+
+
+def _between_groups(nodes: DataFrame, bits: int, places: np.ndarray) -> DataFrame:
+    """Pairs to compare: in each bucket the lead of a group with the one before, and with the first.
+
+    The first of a bucket is of its largest group.
+    """
+    order = Window.partitionBy("bucket").orderBy(F.desc("size"), "root", "rank", "node")
+    met = _probes(nodes, bits, places).select(
+        F.col("node").alias("a"), "root",
+        F.lag("root").over(order).alias("other"),
+        F.lag("node").over(order).alias("before"),
+        F.first("node").over(order).alias("first"),
+    ).where("root <> other")
+    return met.select("a", F.explode(F.array_distinct(F.array("before", "first"))).alias("b"))
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int) -> DataFrame:
@@ -200,34 +219,31 @@ def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int)
 
 
 def similar_links(
-    nodes: DataFrame, bits: int, max_distance: int, width: int = 26, segments: int = 128
+    nodes: DataFrame, bits: int, max_distance: int, width: int = 26, segments: int = 128,
+    leading: int = 16,
 ) -> DataFrame:
     """Links (a, b) between distinct ``node`` values whose ``lanes`` are within ``max_distance``.
 
-    First every fingerprint is compared with the first of each of its buckets by
-    ``rank``. What is linked then counts as one, and in each bucket the fingerprints
-    of different groups are compared, one with the next; so a bucket gives as many
-    pairs as it has groups, not as it has fingerprints.
+    ``rank`` orders the fingerprints of a bucket. The ``leading`` segments come first;
+    what they link then counts as one group, so that in the buckets of the other
+    segments only fingerprints of different groups are compared.
     """
-    by_rank = Window.partitionBy("bucket").orderBy("rank", "node")
-    probes = _probes(nodes.withColumn("root", F.col("node")), bits, width, segments)
-    firsts = probes.select(
-        F.col("node").alias("a"), F.first("node").over(by_rank).alias("b")
-    ).where("a <> b")
     spark = nodes.sparkSession
     path = new_scratch_dir(spark, "similar-links")
-    _verified(firsts, nodes, bits, max_distance).write.parquet(path)
+    places = sampled_segments(bits, width, segments)
+    alone = nodes.withColumns({"root": F.col("node"), "size": F.lit(1).cast("bigint")})
+    pairs = _between_groups(alone, bits, places[:leading])
+    _verified(pairs, nodes, bits, max_distance).write.parquet(path)
     links = spark.read.parquet(path)
 
-    grouped = nodes.join(connected(links), "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
+    connected(links).write.parquet(f"{path}-roots")
+    roots = spark.read.parquet(f"{path}-roots")
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    grouped = nodes.join(roots.join(sizes, "root"), "node", "left").withColumns(
+        {"root": F.coalesce("root", "node"), "size": F.coalesce("size", F.lit(1))}
     )
-    by_group = Window.partitionBy("bucket").orderBy("root", "rank", "node")
-    between = _probes(grouped, bits, width, segments).select(
-        F.col("node").alias("a"), F.lag("node").over(by_group).alias("b"),
-        "root", F.lag("root").over(by_group).alias("other"),
-    ).where("root <> other").select("a", "b")
-    return links.union(_verified(between, nodes, bits, max_distance))
+    pairs = _between_groups(grouped, bits, places[leading:])
+    return links.union(_verified(pairs, nodes, bits, max_distance))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

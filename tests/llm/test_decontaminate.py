@@ -4,10 +4,11 @@ import hashlib
 import re
 
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
 from clicktide.llm.decontaminate import benchmark_hits
-from clicktide.llm.registry import op1_decontaminate
+from clicktide.llm.registry import ORACLES, op1_decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,3 +88,9 @@ def test_query(spark, data):
         ((d, n, h, len(i), digest(i), h > 0) for d, n, h, i in want), key=str
     )
     assert 0 < sum(r["contaminated"] for r in rows) < len(rows) / 4
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, data, sf):
+    folder = data.replace("sf0.001", sf)
+    assert differences(op1_decontaminate(spark, folder), ORACLES["op1_decontaminate"], folder) == ""
