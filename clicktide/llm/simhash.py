@@ -160,49 +160,101 @@ def sampled_segments(bits: int, width: int, count: int) -> np.ndarray:
 def _probes(nodes: DataFrame, bits: int, places: np.ndarray) -> DataFrame:
     """Each fingerprint under the value of each segment; ``places`` has the bits of a segment in a row.
 
-    Gives (bucket, node, rank, root, size).
+    Gives (bucket, node, root, x, y); x and y are the first two parts of the fingerprint.
     """
     segments, width = places.shape
     weights = np.zeros((bits, segments))
     for s in range(segments):
         weights[places[s], s] = 2.0 ** np.arange(width)
-    carried = ["node", "rank", "root", "size"]
-    columns = [nodes.columns.index(n) for n in ("lanes", *carried)]
+    columns = [nodes.columns.index(n) for n in ("lanes", "node", "root")]
 
     def probe(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
                 flat = batch.column(columns[0]).flatten().to_numpy(zero_copy_only=False)
+                lanes = flat.reshape(batch.num_rows, bits // 64)
                 ones = np.unpackbits(
                     flat.view(np.uint8).reshape(batch.num_rows, bits // 8), axis=1,
                     bitorder="little",
                 )
                 keys = (ones.astype(np.float64) @ weights).astype(np.int64)
                 keys += np.arange(segments, dtype=np.int64) << width
-                every = pa.array(np.repeat(np.arange(batch.num_rows), segments))
+                every = np.repeat(np.arange(batch.num_rows), segments)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), *(batch.column(c).take(every) for c in columns[1:])],
-                    names=["bucket", *carried],
+                    [pa.array(keys.ravel()), *(batch.column(c).take(pa.array(every)) for c in columns[1:]),
+                     *(pa.array(lanes[every, lane]) for lane in (0, 1))],
+                    names=["bucket", "node", "root", "x", "y"],
                 )
 
-    kind = "bucket bigint, node bigint, rank bigint, root bigint, size bigint"
-    return nodes.mapInArrow(probe, kind)
-
-
-def _between_groups(nodes: DataFrame, bits: int, places: np.ndarray) -> DataFrame:
-    """Pairs to compare: in each bucket the lead of a group with the one before, and with the first.
-
-    The first of a bucket is of its largest group.
+    return nodes.mapInArrow(probe, "bucket bigint, node bigint, root bigint, x bigint, y bigint")
+
+
+def _whole_buckets(batches):
+    """Columns of rows sorted by bucket, so that no bucket is divided."""
+    parts: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if parts and (cut or parts[-1][0][-1] != columns[0][-1]):
+            parts.append([c[:cut] for c in columns])
+            yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts = []
+        elif cut:
+            yield [c[:cut] for c in columns]
+        parts.append([c[cut:] for c in columns])
+    if parts:
+        yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def _pair_ranges(first: np.ndarray, last: np.ndarray):
+    """Row numbers (i, j) for every j from first[i] to last[i], some 2^20 at a time."""
+    count = last - first
+    total = np.cumsum(count)
+    low = 0
+    while low < len(count):
+        done = total[low - 1] if low else 0
+        high = max(int(np.searchsorted(total, done + (1 << 20), "right")), low + 1)
+        n = count[low:high]
+        i = np.repeat(np.arange(low, high), n)
+        yield i, first[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        low = high
+
+
+def _met(nodes: DataFrame, bits: int, places: np.ndarray, near: int, neighbours: bool) -> DataFrame:
+    """Pairs (a, b) of different groups in a bucket that are within ``near`` of the first 128 bits.
+
+    All pairs, or with ``neighbours`` each row with the one before in an order of
+    the bucket's own. Rows of one group are never paired, so a hot group costs a
+    bucket only its rows times the rows of other groups.
     """
-    order = Window.partitionBy("bucket").orderBy(F.desc("size"), "root", "rank", "node")
-    met = _probes(nodes, bits, places).select(
-        F.col("node").alias("a"), "root",
-        F.lag("root").over(order).alias("other"),
-        F.lag("node").over(order).alias("before"),
-        F.first("node").over(order).alias("first"),
-    ).where("root <> other")
-    return met.select("a", F.explode(F.array_distinct(F.array("before", "first"))).alias("b"))
+    probes = _probes(nodes, bits, places)
+    order = F.xxhash64("bucket", "node") if neighbours else F.col("root")
+
+    def meet(batches):
+        for bucket, node, root, x, y in _whole_buckets(batches):
+            x, y = x.view(np.uint64), y.view(np.uint64)  # of signed values, numpy counts the bits of the amount
+            rows = np.arange(len(bucket))
+            new = bucket[1:] != bucket[:-1]
+            end = np.append(np.flatnonzero(new) + 1, len(bucket))
+            last = end[np.searchsorted(end, rows, "right")]
+            if neighbours:
+                first, last = rows + 1, np.minimum(rows + 2, last)
+            else:
+                run = np.append(np.flatnonzero(new | (root[1:] != root[:-1])) + 1, len(bucket))
+                first = run[np.searchsorted(run, rows, "right")]
+            for i, j in _pair_ranges(first, last):
+                apart = np.bitwise_count(x[i] ^ x[j]) + np.bitwise_count(y[i] ^ y[j])
+                hit = (apart <= near) & (root[i] != root[j])
+                a, b = node[i[hit]], node[j[hit]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+                )
+
+    dealt = probes.repartition("bucket").sortWithinPartitions("bucket", order)
+    return dealt.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int) -> DataFrame:
@@ -213,7 +265,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int)
         (F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(bits // 64)), F.lit(0)
     )
     return (
-        pairs.distinct().join(left, "a").join(right, "b").where(distance <= max_distance)
+        pairs.join(left, "a").join(right, "b").where(distance <= max_distance)
         .select("a", "b")
     )
 
@@ -224,25 +276,24 @@ def similar_links(
 ) -> DataFrame:
     """Links (a, b) between distinct ``node`` values whose ``lanes`` are within ``max_distance``.
 
-    ``rank`` orders the fingerprints of a bucket. The ``leading`` segments come first;
-    what they link then counts as one group, so that in the buckets of the other
-    segments only fingerprints of different groups are compared.
+    In the buckets of the ``leading`` segments neighbours are compared, which joins
+    most of a large group. Then every pair of different groups in each bucket of
+    the other segments is.
     """
     spark = nodes.sparkSession
     path = new_scratch_dir(spark, "similar-links")
-    places = sampled_segments(bits, width, segments)
-    alone = nodes.withColumns({"root": F.col("node"), "size": F.lit(1).cast("bigint")})
-    pairs = _between_groups(alone, bits, places[:leading])
+    places = sampled_segments(bits, width, leading + segments)
+    # The first 128 bits hold half of the distance; five deviations are added.
+    near = min(128, round(64 * max_distance / (bits / 2) + 5 * math.sqrt(max_distance / 4)))
+    alone = nodes.withColumn("root", F.col("node"))
+    pairs = _met(alone, bits, places[:leading], near, neighbours=True)
     _verified(pairs, nodes, bits, max_distance).write.parquet(path)
     links = spark.read.parquet(path)
 
     connected(links).write.parquet(f"{path}-roots")
     roots = spark.read.parquet(f"{path}-roots")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    grouped = nodes.join(roots.join(sizes, "root"), "node", "left").withColumns(
-        {"root": F.coalesce("root", "node"), "size": F.coalesce("size", F.lit(1))}
-    )
-    pairs = _between_groups(grouped, bits, places[leading:])
+    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    pairs = _met(grouped, bits, places[leading:], near, neighbours=False)
     return links.union(_verified(pairs, nodes, bits, max_distance))
 
 
@@ -318,12 +369,12 @@ def one_of_each(
     choice = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
     nodes = rows.groupBy("node").agg(
         F.any_value("lanes").alias("lanes"), choice.alias("choice")
-    ).withColumn("rank", F.coalesce(F.col("choice._id"), F.lit(2**63 - 1)))
+    )
     node_path = f"{path}-nodes"
     nodes.write.parquet(node_path)
     nodes = spark.read.parquet(node_path)
     links = similar_links(
-        nodes.select("node", "lanes", "rank"), 64 * lanes, distance_at(similarity, 64 * lanes)
+        nodes.select("node", "lanes"), 64 * lanes, distance_at(similarity, 64 * lanes)
     )
     roots = connected(links)
     kept = (

@@ -134,3 +134,26 @@ def test_query(spark, data):
             .select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in op4_simhash(spark, data).collect()), key=str)
     assert got == plain_components(docs)
+
+
+def test_all_groups_of_a_bucket_meet(spark):
+    """A row between two like ones hides no pair, nor does the lead of a group its other members."""
+    rng = random.Random(11)
+    turn = lambda v, n: v ^ sum(1 << b for b in rng.sample(range(64, 256), n))
+    far = [rng.getrandbits(192) << 64 for _ in range(60)]
+    values = far + [turn(v, 3) for v in far]  # all share the bits 0 to 63
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    lanes = [[signed(v >> 64 * k & (2**64 - 1)) for k in range(4)] for v in values]
+    order = rng.sample(range(120), 120)
+    frame = spark.createDataFrame(
+        [(order[i], lane, i % 7) for i, lane in enumerate(lanes)],
+        "node bigint, lanes array<bigint>, root bigint",
+    )
+    places = np.arange(26)[None]
+    got = {tuple(r) for r in sh._met(frame, 256, places, 128, neighbours=False).collect()}
+    want = {tuple(sorted((order[i], order[j]))) for i in range(120) for j in range(i)
+            if i % 7 != j % 7}
+    assert got == want
+    near = {tuple(r) for r in sh._met(frame.withColumn("root", F.col("node")), 256, places, 3,
+                                      neighbours=False).collect()}
+    assert {tuple(sorted((order[i], order[i + 60]))) for i in range(60)} <= near
