@@ -12,8 +12,9 @@ one segment alone, all fingerprints that share a hot value would be compared
 with one another.)
 
 ``similar_links`` is for wide fingerprints and distances beyond any ball that can
-be enumerated: the pairs share one of many sampled segments in full (balls of
-radius 0), and meet in its bucket.
+be enumerated: the pairs share one of many short sampled segments in full (balls
+of radius 0: one of radius 1 would take a row for each of its bits), and meet in
+its bucket. The number of segments follows from the recall.
 """
 
 from __future__ import annotations
@@ -271,29 +272,27 @@ def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int)
 
 
 def similar_links(
-    nodes: DataFrame, bits: int, max_distance: int, width: int = 26, segments: int = 128,
-    leading: int = 16,
+    nodes: DataFrame, bits: int, share: float, width: int = 26, leading: int = 16,
 ) -> DataFrame:
-    """Links (a, b) between distinct ``node`` values whose ``lanes`` are within ``max_distance``.
+    """Links (a, b) between distinct ``node`` values of which a ``share`` of the bits differ, or fewer.
 
-    In the buckets of the ``leading`` segments neighbours are compared, which joins
-    most of a large group. Then every pair of different groups in each bucket of
-    the other segments is.
+    In the buckets of ``leading`` segments of ``width`` bits neighbours are compared,
+    which joins most of a large group. Then every pair of different groups in each
+    bucket of the tables of ``segment_plan`` is.
     """
     spark = nodes.sparkSession
     path = new_scratch_dir(spark, "similar-links")
-    places = sampled_segments(bits, width, leading + segments)
-    # The first 128 bits hold half of the distance; five deviations are added.
-    near = min(128, round(64 * max_distance / (bits / 2) + 5 * math.sqrt(max_distance / 4)))
+    near, max_distance = distance_at(share, 128), distance_at(share, bits, 1)
     alone = nodes.withColumn("root", F.col("node"))
-    pairs = _met(alone, bits, places[:leading], near, neighbours=True)
+    pairs = _met(alone, bits, sampled_segments(bits, width, leading), near, neighbours=True)
     _verified(pairs, nodes, bits, max_distance).write.parquet(path)
     links = spark.read.parquet(path)
 
     connected(links).write.parquet(f"{path}-roots")
     roots = spark.read.parquet(f"{path}-roots")
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    pairs = _met(grouped, bits, places[leading:], near, neighbours=False)
+    places = sampled_segments(bits, *segment_plan(nodes.count(), bits, share))
+    pairs = _met(grouped, bits, places, near, neighbours=False)
     return links.union(_verified(pairs, nodes, bits, max_distance))
 
 
@@ -332,13 +331,26 @@ def hex_digits(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def distance_at(similarity: float, bits: int) -> int:
-    """The distance that two texts of this Jaccard similarity are expected to have.
+def share_at(similarity: float) -> float:
+    """The share of bits in which two texts of this Jaccard similarity are expected to differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
-    One standard deviation is added, so that most pairs at the limit are found.
+
+def distance_at(share: float, bits: int, deviations: float = 4.5) -> int:
+    """A distance that few pairs exceed of which this share of the bits is expected to differ."""
+    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
+
+
+def segment_plan(rows: int, bits: int, share: float, miss: float = 0.01) -> tuple[int, int]:
+    """Width and number of segments.
+
+    A bucket holds some eight rows that meet by chance. A pair two deviations
+    farther apart than expected shares no segment with probability ``miss``.
     """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + math.sqrt(bits * share * (1 - share)))
+    width = max(12, round(math.log2(max(rows, 1))) - 3)
+    apart = distance_at(share, bits, 2)
+    alike = math.comb(bits - apart, width) / math.comb(bits, width)
+    return width, math.ceil(math.log(miss) / math.log(1 - alike))
 
 
 def one_of_each(
@@ -374,7 +386,7 @@ def one_of_each(
     nodes.write.parquet(node_path)
     nodes = spark.read.parquet(node_path)
     links = similar_links(
-        nodes.select("node", "lanes"), 64 * lanes, distance_at(similarity, 64 * lanes)
+        nodes.select("node", "lanes"), 64 * lanes, share_at(similarity)
     )
     roots = connected(links)
     kept = (

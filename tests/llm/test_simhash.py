@@ -157,3 +157,15 @@ def test_all_groups_of_a_bucket_meet(spark):
     near = {tuple(r) for r in sh._met(frame.withColumn("root", F.col("node")), 256, places, 3,
                                       neighbours=False).collect()}
     assert {tuple(sorted((order[i], order[i + 60]))) for i in range(60)} <= near
+
+
+def test_lone_pairs_at_the_limit_share_a_bucket(spark):
+    """Of pairs whose bits differ as at similarity 0.8, nearly all meet, however many rows there are."""
+    draw = np.random.default_rng(3)
+    n, share = 1500, sh.share_at(0.8)
+    for rows in (200, 50_000, 300_000, 10_000_000):
+        width, count = sh.segment_plan(rows, 256, share)
+        places = sh.sampled_segments(256, width, count)
+        differ = draw.random((n, 256)) < share
+        assert np.mean((~differ[:, places].any(2)).any(1)) > 0.99
+    assert np.mean(draw.binomial(256, share, n) <= sh.distance_at(share, 256)) > 0.999
