@@ -20,6 +20,7 @@ its bucket. The number of segments follows from the recall.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,41 @@ def with_fingerprints(docs: DataFrame, text_col: str, ngram: int, lanes: int = 1
     return add_columns(docs, [T.StructField("lanes", LANES)], compute)
 
 
+def with_shingle_sets(docs: DataFrame, text_col: str, ngram: int, lanes: int = 0) -> DataFrame:
+    """Add ``node``, a hash of the set of shingle hashes, and the set or its fingerprint.
+
+    Without ``lanes`` this is the set itself, sorted, as ``shingles``; otherwise
+    ``lanes``, a fingerprint in parts of 64 bits in which every shingle counts once.
+    """
+    column = [n.lower() for n in docs.columns].index(text_col.lower())
+    added = T.StructField("lanes" if lanes else "shingles", LANES)
+
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        buf, offsets = text_buffers(batch.column(column))
+        nodes, values, counts = [], [], []
+        for a, b in row_groups(offsets, GROUP_BYTES):
+            hashes, count = shingle_hashes(
+                buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ngram
+            )
+            ends = np.cumsum(count)
+            sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends, count, strict=True)]
+            nodes += [xxhash.xxh64_intdigest(one.tobytes(), SEED) for one in sets]
+            flat, size = np.concatenate(sets), np.array([len(one) for one in sets])
+            if lanes:
+                turned = [flat] + [mix(flat + np.uint64(i * 0x9E3779B9)) for i in range(1, lanes)]
+                flat = np.stack([majority(h, size) for h in turned], 1).ravel()
+                size = np.full(len(sets), lanes)
+            values.append(flat)
+            counts.append(size)
+        places = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        lists = pa.ListArray.from_arrays(
+            pa.array(places, pa.int32()), pa.array(np.concatenate(values).view(np.int64))
+        )
+        return [pa.array(np.array(nodes, np.uint64).view(np.int64)), lists]
+
+    return add_columns(docs, [T.StructField("node", T.LongType()), added], compute)
+
+
 def segment_balls(bits: int = 64, segments: int = 2) -> list[int]:
     """Masks (as signed 64-bit values) of the balls of radius 1 in each segment."""
     width = bits // segments
@@ -258,34 +294,23 @@ def _met(nodes: DataFrame, bits: int, places: np.ndarray, near: int, neighbours:
     return dealt.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, bits: int, max_distance: int) -> DataFrame:
-    """The pairs (a, b) whose complete fingerprints are within the distance."""
-    left = nodes.select(F.col("node").alias("a"), F.col("lanes").alias("x"))
-    right = nodes.select(F.col("node").alias("b"), F.col("lanes").alias("y"))
-    distance = sum(
-        (F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(bits // 64)), F.lit(0)
-    )
-    return (
-        pairs.join(left, "a").join(right, "b").where(distance <= max_distance)
-        .select("a", "b")
-    )
-
-
 def similar_links(
-    nodes: DataFrame, bits: int, share: float, width: int = 26, leading: int = 16,
+    nodes: DataFrame, bits: int, share: float, verify: Callable[[DataFrame], DataFrame],
+    width: int = 26, leading: int = 16,
 ) -> DataFrame:
-    """Links (a, b) between distinct ``node`` values of which a ``share`` of the bits differ, or fewer.
+    """Links (a, b) between distinct ``node`` values that ``verify`` leaves of the candidates.
 
+    Candidates have ``lanes`` of which about a ``share`` of the bits differ, or fewer.
     In the buckets of ``leading`` segments of ``width`` bits neighbours are compared,
     which joins most of a large group. Then every pair of different groups in each
     bucket of the tables of ``segment_plan`` is.
     """
     spark = nodes.sparkSession
     path = new_scratch_dir(spark, "similar-links")
-    near, max_distance = distance_at(share, 128), distance_at(share, bits, 1)
+    near = distance_at(share, 128)
     alone = nodes.withColumn("root", F.col("node"))
     pairs = _met(alone, bits, sampled_segments(bits, width, leading), near, neighbours=True)
-    _verified(pairs, nodes, bits, max_distance).write.parquet(path)
+    verify(pairs).write.parquet(path)
     links = spark.read.parquet(path)
 
     connected(links).write.parquet(f"{path}-roots")
@@ -293,7 +318,8 @@ def similar_links(
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     places = sampled_segments(bits, *segment_plan(nodes.count(), bits, share))
     pairs = _met(grouped, bits, places, near, neighbours=False)
-    return links.union(_verified(pairs, nodes, bits, max_distance))
+    verify(pairs).write.parquet(f"{path}-others")
+    return links.union(spark.read.parquet(f"{path}-others"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -353,6 +379,33 @@ def segment_plan(rows: int, bits: int, share: float, miss: float = 0.01) -> tupl
     return width, math.ceil(math.log(miss) / math.log(1 - alike))
 
 
+def _alike(
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, ngram: int, similarity: float
+) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have this Jaccard similarity or more.
+
+    ``nodes`` names a ``_row`` of ``texts`` for each node. Sets are made only for
+    the nodes of a pair.
+    """
+    spark = pairs.sparkSession
+    path = new_scratch_dir(spark, "shingle-sets")
+    pairs.write.parquet(f"{path}-pairs")
+    pairs = spark.read.parquet(f"{path}-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = nodes.join(wanted.hint("merge"), "node", "left_semi").select("_row")
+    found = texts.join(chosen.hint("merge"), "_row", "left_semi").dropDuplicates(["_row"])
+    with_shingle_sets(found.select("_text"), "_text", ngram).select("node", "shingles").write.parquet(path)
+    sets = spark.read.parquet(path)
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return (
+        pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+        .where(both / (F.size("x") + F.size("y") - both) >= similarity)
+        .select("a", "b")
+    )
+
+
 def one_of_each(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -363,8 +416,8 @@ def one_of_each(
 ) -> DataFrame:
     """The documents, with one row left of each group of near-duplicates.
 
-    Texts are linked if their wide fingerprints are as close as those of texts of
-    this Jaccard similarity; a group is all that links reach, and the row with
+    Texts are linked if the Jaccard similarity of their shingles, checked exactly, is
+    ``similarity`` or more; a group is all that links reach, and the row with
     the smallest id stays (null ids come last; ties by a hash of the whole row).
     Rows repeated in full count once. Texts without words form one group. All
     columns are returned as they are; an empty table stays empty.
@@ -372,11 +425,9 @@ def one_of_each(
     spark = docs.sparkSession
     path = new_scratch_dir(spark, "near-duplicates")
     whole_row = F.xxhash64(*[docs[c] for c in docs.columns])
-    with_fingerprints(
-        docs.select(F.col(id_col).cast("bigint").alias("_id"), whole_row.alias("_row"),
-                    F.col(text_col).alias("_text")),
-        "_text", ngram, lanes,
-    ).select("_id", "_row", "lanes", F.xxhash64("lanes").alias("node")).write.parquet(path)
+    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), whole_row.alias("_row"),
+                        F.col(text_col).alias("_text"))
+    with_shingle_sets(texts, "_text", ngram, lanes).select("_id", "_row", "lanes", "node").write.parquet(path)
     rows = spark.read.parquet(path)
     choice = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
     nodes = rows.groupBy("node").agg(
@@ -385,8 +436,10 @@ def one_of_each(
     node_path = f"{path}-nodes"
     nodes.write.parquet(node_path)
     nodes = spark.read.parquet(node_path)
+    chosen = nodes.select("node", F.col("choice._row").alias("_row"))
     links = similar_links(
-        nodes.select("node", "lanes"), 64 * lanes, share_at(similarity)
+        nodes.select("node", "lanes"), 64 * lanes, share_at(similarity),
+        lambda pairs: _alike(pairs, chosen, texts.select("_row", "_text"), ngram, similarity),
     )
     roots = connected(links)
     kept = (

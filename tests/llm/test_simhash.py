@@ -169,3 +169,16 @@ def test_lone_pairs_at_the_limit_share_a_bucket(spark):
         differ = draw.random((n, 256)) < share
         assert np.mean((~differ[:, places].any(2)).any(1)) > 0.99
     assert np.mean(draw.binomial(256, share, n) <= sh.distance_at(share, 256)) > 0.999
+
+
+def test_pairs_at_similarity_080(spark):
+    rng = random.Random(13)
+    docs = []
+    for pair in range(150):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(112)]  # 108 shingles, 12 of them changed: 96 of 120
+        docs.append((2 * pair, " ".join(w)))
+        w[9], w[40], w[-2] = "x", "y", "z"
+        docs.append((2 * pair + 1, " ".join(w)))
+    left = sh.one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    odd = left.where("doc_id % 2 = 1").count()
+    assert left.count() == 150 + odd and odd <= 3
