@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.llm.decontaminate import benchmark_hits
 from clicktide.llm.fingerprints import fingerprint_pairs
+from clicktide.llm.jaccard import jaccard_components
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.lines import drop_wide_lines
 from clicktide.llm.packing import pack_documents
@@ -94,6 +95,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_lpt_shards": op9_lpt_shards,
     "op10_fingerprint": op10_fingerprint,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -187,4 +193,28 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule,
                coalesce(v, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
         FROM parts LEFT JOIN fitting USING (nth)""",
+    "op13_jaccard_join": f"""
+        WITH RECURSIVE docs AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                      '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)])
+                END AS s
+            FROM docs),
+        flat AS (SELECT r, unnest(s) AS shingle FROM sets),
+        shared AS (
+            SELECT a.r AS a, b.r AS b, count(*) AS n FROM flat a JOIN flat b USING (shingle)
+            WHERE a.r <> b.r GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sets x ON x.r = a JOIN sets y ON y.r = b
+            WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)),
+        reach AS (
+            SELECT a, b FROM links
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a AS r, min(doc_id) AS reached FROM reach JOIN sets ON sets.r = b GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, least(doc_id, reached) AS component_id
+        FROM sets LEFT JOIN least USING (r)""",
 }
