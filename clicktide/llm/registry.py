@@ -11,6 +11,7 @@ from clicktide.llm.jaccard import jaccard_components
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.lines import drop_wide_lines
 from clicktide.llm.packing import pack_documents
+from clicktide.llm.search import ranked_search
 from clicktide.llm.sharding import assign_shards
 from clicktide.llm.simhash import hex_digits, simhash_components
 from clicktide.llm.substrings import repeated_spans
@@ -95,6 +96,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search(docs, _table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -110,17 +116,20 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_lpt_shards": op9_lpt_shards,
     "op10_fingerprint": op10_fingerprint,
+    "op11_ranked_search": op11_ranked_search,
     "op13_jaccard_join": op13_jaccard_join,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _sql_words(column: str) -> str:
+def _sql_words(column: str, apart: str = "\\x3A-\\x60") -> str:
     text = f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
-    return f"regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"regexp_extract_all({text}, '[^\\x00-\\x2F{apart}\\x7B-\\x7F]+')"
 
 
+#: ASCII that stands in no term of op11, besides what no word has.
+_NOT_TERMS = "\\x3A-\\x40\\x5B-\\x60"
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLES: dict[str, str] = {
     "op1_decontaminate": f"""
@@ -193,6 +202,30 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule,
                coalesce(v, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
         FROM parts LEFT JOIN fitting USING (nth)""",
+    "op11_ranked_search": f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, {_sql_words('text', _NOT_TERMS)} AS w FROM documents),
+        sizes AS (SELECT r, doc_id, len(w) AS n FROM docs WHERE len(w) > 0),
+        sums AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM sizes),
+        flat AS (SELECT r, unnest(w) AS term FROM docs),
+        tfs AS (SELECT r, term, count(*) AS tf FROM flat GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tfs, sums GROUP BY term),
+        items AS (
+            SELECT row_number() OVER () AS i, item_id, list_distinct({_sql_words('text', _NOT_TERMS)}) AS w
+            FROM benchmark),
+        asked AS (SELECT i, item_id, unnest(w) AS term FROM items),
+        scored AS (
+            SELECT i, item_id, r, doc_id, CAST(sum(
+                w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_all)))
+            ) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (r), sums
+            GROUP BY ALL),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS nth
+            FROM scored WHERE score > 0)
+        SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= 50""",
     "op13_jaccard_join": f"""
         WITH RECURSIVE docs AS (
             SELECT row_number() OVER () AS r, doc_id,
