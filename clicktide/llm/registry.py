@@ -10,6 +10,7 @@ from clicktide.llm.fingerprints import fingerprint_pairs
 from clicktide.llm.jaccard import jaccard_components
 from clicktide.llm.licenses import license_scan
 from clicktide.llm.lines import drop_wide_lines
+from clicktide.llm.negatives import hard_negatives
 from clicktide.llm.packing import pack_documents
 from clicktide.llm.search import ranked_search
 from clicktide.llm.sharding import assign_shards
@@ -101,6 +102,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(docs, _table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", turned))
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -117,6 +123,7 @@ QUERIES = {
     "op9_lpt_shards": op9_lpt_shards,
     "op10_fingerprint": op10_fingerprint,
     "op11_ranked_search": op11_ranked_search,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_jaccard_join": op13_jaccard_join,
 }
 
@@ -226,6 +233,28 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS nth
             FROM scored WHERE score > 0)
         SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= 50""",
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT a.r AS a, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT a, anchor_id, r AS p, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= 5),
+        ranked AS (
+            SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id, r) AS nth
+            FROM positives JOIN scored USING (a, anchor_id)
+            WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE nth <= 10""",
     "op13_jaccard_join": f"""
         WITH RECURSIVE docs AS (
             SELECT row_number() OVER () AS r, doc_id,
