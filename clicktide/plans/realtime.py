@@ -1,23 +1,17 @@
-"""The streaming job: gate, region counts with top ads, last hour."""
+"""The streaming job: the gate, and three reports that follow its accepted clicks."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clicktide.operators.ads import CLICK_LIMIT
 from clicktide.session import build_session
 from clicktide.sources.ads_log import TOPIC, ads_source, kafka_options
-from clicktide.streaming.gate import GateStore, Report, start_gate
-from clicktide.streaming.reports import (
-    last_hour,
-    moment_table,
-    newest_table,
-    region_counts,
-    region_table,
-)
+from clicktide.streaming import reports
+from clicktide.streaming.gate import GateStore, accepted_stream, run_name, start_gate
 
 COUNTS = "area_city_ads_day_clickcount"
 TOP3 = "top3_ads_per_day"
@@ -28,27 +22,34 @@ def gate_store(root: str) -> GateStore:
     return GateStore(f"{root}/gate")
 
 
-def region_report(root: str) -> Report:
-    return region_counts(region_table(f"{root}/regions"), f"{root}/{COUNTS}", f"{root}/{TOP3}")
-
-
-def last_hour_report(root: str) -> Report:
-    return last_hour(moment_table(f"{root}/moments"), newest_table(f"{root}/newest"), f"{root}/{LAST_HOUR}")
-
-
 def run_gate(
-    lines: DataFrame,
-    root: str,
-    limit: int = CLICK_LIMIT,
-    trigger: dict | None = None,
-    reports: tuple[Report, ...] = (),
+    lines: DataFrame, root: str, limit: int = CLICK_LIMIT, trigger: dict | None = None
 ) -> StreamingQuery:
-    return start_gate(lines, gate_store(root), f"{root}/checkpoints/gate", limit, trigger, reports)
+    return start_gate(lines, gate_store(root), f"{root}/checkpoints/gate", limit, trigger)
 
 
-def start_all(lines: DataFrame, root: str, limit: int = CLICK_LIMIT) -> StreamingQuery:
-    """Start the gate with both reports, everything below ``root``."""
-    return run_gate(lines, root, limit, reports=(region_report(root), last_hour_report(root)))
+def run_report(
+    spark: SparkSession, root: str, name: str, trigger: dict | None = None, **options: str
+) -> StreamingQuery:
+    """Start the report of this name on the accepted clicks; ``options`` go to their reader."""
+    clicks = accepted_stream(spark, gate_store(root), **options)
+    checkpoint = f"{root}/checkpoints/{name}"
+    run = run_name(spark, checkpoint)
+    if name == COUNTS:
+        return reports.start_city_counts(clicks, f"{root}/{COUNTS}", checkpoint, run, trigger)
+    if name == TOP3:
+        return reports.start_top3(clicks, f"{root}/{TOP3}", checkpoint, run, trigger)
+    if name == LAST_HOUR:
+        return reports.start_last_hour(
+            clicks, f"{root}/last-hour-store", f"{root}/{LAST_HOUR}", checkpoint, run, trigger
+        )
+    raise ValueError(f"no report {name}")
+
+
+def start_all(lines: DataFrame, root: str, limit: int = CLICK_LIMIT) -> list[StreamingQuery]:
+    """Start the gate and all reports, everything below ``root``."""
+    spark = lines.sparkSession
+    return [run_gate(lines, root, limit)] + [run_report(spark, root, n) for n in (COUNTS, TOP3, LAST_HOUR)]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,10 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-offsets-per-trigger", type=int)
     args = parser.parse_args(argv)
     spark = build_session("streaming ad reports")
-    options = kafka_options(
-        args.servers, args.topic, max_offsets_per_trigger=args.max_offsets_per_trigger
-    )
-    start_all(ads_source(spark, **options), args.root.rstrip("/"), args.limit).awaitTermination()
+    root = args.root.rstrip("/")
+    # A run without a checkpoint goes on where the store is, the first of all at the end of the topic.
+    begin = gate_store(root).next_offsets(spark, args.topic) or "latest"
+    options = kafka_options(args.servers, args.topic, begin, args.max_offsets_per_trigger)
+    start_all(ads_source(spark, **options), root, args.limit)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

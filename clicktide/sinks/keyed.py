@@ -2,12 +2,13 @@
 
 A ``KeyedStore`` keeps the latest value of every field; what a micro-batch writes
 again replaces what it wrote, so a replay after a failure changes nothing. Its
-folders are folded and removed as batches go on. A ``Snapshot`` keeps the rows of
-the last micro-batch only.
+manifest names the live folders, and readers use it alone. A snapshot keeps the rows
+of the last micro-batch only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from clicktide.files import child_names, exists, remove
 from clicktide.schemas import KEYED_VALUE
 from clicktide.streaming.batch_table import BatchTable
+from clicktide.streaming.manifest import Manifest, Turn, begin
 
 NO_PART = "all"
+DIRECT = "direct"
 
 
 def keyed_rows(
@@ -35,7 +38,7 @@ def keyed_rows(
 
 @dataclass(frozen=True)
 class KeyedStore:
-    """Latest values below ``path``. Rows may name a ``part``, a day for instance, that closes."""
+    """Latest values below ``path``. Rows may name a ``part``, of which there are a bounded number."""
 
     path: str
     every: int = 100
@@ -46,29 +49,41 @@ class KeyedStore:
         keys = ("part", "hash_key", "field")
         return BatchTable(self.path, schema, keys, "value", "latest", self.every, "part")
 
-    def last(self, spark: SparkSession) -> int:
-        """The number of the last batch, -1 before the first."""
-        folder = f"{self.path}/changes"
-        names = child_names(spark, folder) if exists(spark, folder) else []
-        return max(map(int, names), default=-1)
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.path)
+
+    def begin(self, spark: SparkSession, batch_id: int, run: str = DIRECT) -> Turn:
+        return begin(spark, self.manifest, run, batch_id)
+
+    def read(self, spark: SparkSession, state: dict, parts: Iterable[str] | None = None) -> DataFrame:
+        rows = self.table.read(spark, state.get("table"), parts)
+        return rows.select("hash_key", "field", "value")
+
+    def put(self, df: DataFrame, turn: Turn) -> None:
+        """Put the rows of one micro-batch."""
+        spark = df.sparkSession
+        if "part" not in df.columns:
+            df = df.withColumn("part", F.lit(NO_PART))
+        folded = self.table.fold(spark, turn.base.get("table"), turn.tag)
+        state, _ = self.table.put(df, folded, turn.number, turn.tag)
+        turn.commit(spark, {"table": state})
 
 
-def keyed_upsert(df: DataFrame, path: str, batch_id: int, every: int = 100) -> None:
-    """Put the rows of one micro-batch; batch numbers grow."""
+def keyed_upsert(df: DataFrame, path: str, batch_id: int, every: int = 100, run: str = DIRECT) -> None:
+    """Put the rows of one micro-batch. The batch numbers of a run grow, with any gaps.
+
+    The last batch may be put again and replaces itself. A run of another name, a new
+    checkpoint for instance, goes on after whatever was put before.
+    """
     store = KeyedStore(path.rstrip("/"), every)
-    store.table.fold(df.sparkSession, batch_id)
-    if "part" not in df.columns:
-        df = df.withColumn("part", F.lit(NO_PART))
-    store.table.put(df, batch_id)
+    store.put(df, store.begin(df.sparkSession, batch_id, run))
 
 
-def read_keyed(spark: SparkSession, path: str, every: int = 100) -> DataFrame:
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The latest value of every field."""
-    store = KeyedStore(path.rstrip("/"), every)
-    last = store.last(spark)
-    if last < 0:
-        return spark.createDataFrame([], KEYED_VALUE)
-    return store.table.after(spark, last).select("hash_key", "field", "value")
+    store = KeyedStore(path.rstrip("/"))
+    return store.read(spark, store.manifest.last(spark)[1])
 
 
 def put_snapshot(df: DataFrame, path: str, batch_id: int) -> None:

@@ -26,12 +26,17 @@ def kafka_options(
 
 
 def ads_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
-    """Lines as a stream with one column ``value``.
+    """Lines as a stream: ``value``, where it comes from as ``origin``, and its ``place`` there.
 
-    ``fmt`` is ``kafka`` (options of ``kafka_options``, connector on the
+    Origins are the partitions of the topic, places their offsets; a file is an origin of
+    one place. ``fmt`` is ``kafka`` (options of ``kafka_options``, connector on the
     classpath) or a file format: ``text`` or ``parquet`` with ``path``.
     """
     reader = spark.readStream.format(fmt).options(**options)
-    if fmt != "kafka":
+    if fmt == "kafka":
+        origin, place = F.concat_ws(":", "topic", "partition"), F.col("offset")
+    else:
         reader = reader.schema(ADS_LINE)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+        origin, place = F.col("_metadata.file_path"), F.lit(0).cast("bigint")
+    value = F.col("value").cast("string").alias("value")
+    return reader.load().select(value, origin.alias("origin"), place.alias("place"))

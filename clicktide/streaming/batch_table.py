@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.files import child_names, exists, remove
+from clicktide.files import child_names
 
 #: How the value of a key comes from its changes.
 MERGES = ("sum", "max", "latest")
+NEW = {"changes": [], "full": {}}
 
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Changed rows per micro-batch below ``path``, folded into full copies every ``every`` batches.
+    """Changed rows per micro-batch in ``name`` below ``path``, folded into full copies after ``every`` batches.
 
-    With ``part``, one of the keys, there is a full copy for each value of that key,
-    and a fold rewrites only the parts that changed since the last one. Readers name
-    the parts they need, so neither the files read nor the folders listed grow
-    with parts that are closed.
-
-    Every folder belongs to one batch and is replaced when the batch is run again; a
-    batch reads folders of earlier batches only. A replay after a failure therefore
-    gives the same rows. A fold leaves what a replay of its own batch needs, and
-    removes what was older.
+    What is live is a *state* that the caller keeps in a manifest: the folders of changes
+    since the last fold, and the full copy of each part. Every method takes a state and the
+    writing ones return the next; nothing is read by its place in the file system. With
+    ``part``, one of the keys, files lie in folders by its values: readers name the
+    parts they need, and a fold rewrites only the parts that changed.
     """
 
     path: str
@@ -35,108 +33,70 @@ class BatchTable:
     merge: str = "sum"
     every: int = 100
     part: str | None = None
+    name: str = "rows"
 
-    def _changes(self, batch_id: int) -> str:
-        return f"{self.path}/changes/{batch_id}"
-
-    def _full(self, part: str | None = None) -> str:
-        return f"{self.path}/full/{self.part}={part}" if self.part else f"{self.path}/full"
+    def _where(self, folder: str) -> str:
+        return f"{self.path}/{folder}"
 
-    def _changed(self, spark: SparkSession, low: int, high: int) -> list[str]:
-        folder = f"{self.path}/changes"
-        names = child_names(spark, folder) if exists(spark, folder) else []
-        return [self._changes(n) for n in sorted(map(int, names)) if low <= n < high]
+    def _write(self, rows: DataFrame, kind: str, tag: str) -> tuple[str, list[str]]:
+        """The folder written, and the parts that it holds ("" without parts)."""
+        folder = f"{self.name}/kind={kind}/tag={tag}"
+        writer = rows.write.mode("overwrite")
+        if not self.part:
+            writer.parquet(self._where(folder))
+            return folder, [""]
+        writer.partitionBy(self.part).parquet(self._where(folder))
+        names = child_names(rows.sparkSession, self._where(folder))
+        return folder, sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{self.part}="))
 
-    def put(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Write the changes of a batch and return them as written.
+    def put(self, rows: DataFrame, state: dict | None, number: int, tag: str) -> tuple[dict, DataFrame]:
+        """Write the changes of a batch; the next state, and the changes as written.
 
         Columns beyond the schema are stored for the caller and not merged.
         """
-        path = self._changes(batch_id)
-        rows.withColumn("_at", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(path)
-        return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-    def _folds(self, spark: SparkSession, part: str | None = None) -> list[int]:
-        folder = self._full(part)
-        if not exists(spark, folder):
-            return []
-        return sorted(int(n.split("=")[1]) for n in child_names(spark, folder) if n[:5] == "upto=")
-
-    def parts(self, spark: SparkSession) -> list[str]:
-        """All parts that have a full copy."""
-        folder = f"{self.path}/full"
-        names = child_names(spark, folder) if exists(spark, folder) else []
-        return [n.split("=", 1)[1] for n in names if n.startswith(f"{self.part}=")]
-
-    def _merged(
-        self, spark: SparkSession, base: int, batch_id: int, parts: list[str] | None
-    ) -> DataFrame:
+        state = state or NEW
+        folder, parts = self._write(rows.withColumn("_at", F.lit(number).cast("bigint")), "changes", tag)
+        change = {"folder": folder, "parts": parts}
+        written = rows.sparkSession.read.schema(rows.schema).parquet(self._where(folder))
+        return {**state, "changes": [*state["changes"], change]}, written.select(rows.columns)
+
+    def _paths(self, state: dict, parts: Iterable[str] | None) -> list[str]:
+        wanted = None if parts is None else set(parts)
+        fits = lambda part: wanted is None or part in wanted
+        below = lambda folder, part: self._where(f"{folder}/{self.part}={part}" if self.part else folder)
+        full = [below(copy["folder"], part) for part, copy in state["full"].items() if fits(part)]
+        return full + [below(c["folder"], p) for c in state["changes"] for p in c["parts"] if fits(p)]
+
+    def rows(self, spark: SparkSession, state: dict | None, parts: Iterable[str] | None = None) -> DataFrame:
+        """All stored rows of some parts, not merged, with the number of their batch in ``_at``."""
         schema = f"{self.schema}, _at BIGINT"
-        rows = spark.createDataFrame([], schema)
-        changes = self._changed(spark, base, batch_id)
-        if changes:
-            changed = spark.read.schema(schema).parquet(*changes)
-            if parts is not None:
-                changed = changed.where(F.col(self.part).isin(*parts))
-            rows = rows.unionByName(changed)
-        full = []
-        for part in parts if self.part and parts is not None else [None]:
-            done = [n for n in self._folds(spark, part) if n <= base]
-            full += [f"{self._full(part)}/upto={done[-1]}"] if done else []
-        if full:
-            root = f"{self.path}/full"
-            copies = spark.read.schema(schema).option("basePath", root).parquet(*full)
-            rows = rows.unionByName(copies.select(rows.columns))
+        paths = self._paths(state or NEW, parts)
+        if not paths:
+            return spark.createDataFrame([], schema)
+        stored = spark.read.schema(schema).option("basePath", self._where(self.name)).parquet(*paths)
+        return stored.drop("kind", "tag")
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
         best = {
             "sum": F.sum(self.value), "max": F.max(self.value),
             "latest": F.max_by(self.value, "_at"),
         }[self.merge]
         return rows.groupBy(*self.keys).agg(best.alias(self.value), F.max("_at").alias("_at"))
 
-    def _read(
-        self, spark: SparkSession, base: int, batch_id: int, parts: list[str] | None
-    ) -> DataFrame:
-        if self.part and parts is None:
-            parts = sorted({*self.parts(spark), *self._changed_parts(spark, base, batch_id)})
-        return self._merged(spark, base, batch_id, parts).drop("_at")
+    def read(self, spark: SparkSession, state: dict | None, parts: Iterable[str] | None = None) -> DataFrame:
+        """The table, or some parts of it."""
+        return self._merged(self.rows(spark, state, parts)).drop("_at")
 
-    def _changed_parts(self, spark: SparkSession, low: int, high: int) -> list[str]:
-        paths = self._changed(spark, low, high)
-        if not paths:
-            return []
-        rows = spark.read.schema(self.schema).parquet(*paths).select(self.part).distinct()
-        return [row[0] for row in rows.collect()]
-
-    def before(
-        self, spark: SparkSession, batch_id: int, parts: list[str] | None = None
-    ) -> DataFrame:
-        """The table, or some parts of it, as it stood when the batch began."""
-        return self._read(spark, batch_id - batch_id % self.every, batch_id, parts)
-
-    def after(
-        self, spark: SparkSession, batch_id: int, parts: list[str] | None = None
-    ) -> DataFrame:
-        """The table, or some parts of it, with the changes of the batch."""
-        return self._read(spark, batch_id - batch_id % self.every, batch_id + 1, parts)
-
-    def fold(self, spark: SparkSession, batch_id: int) -> None:
-        """Write the full copies if they are due, at the begin of a batch."""
-        if not batch_id or batch_id % self.every:
-            return
-        low = batch_id - self.every
-        parts = self._changed_parts(spark, low, batch_id) if self.part else None
-        if parts is None or parts:
-            by = [self.part, "upto"] if self.part else ["upto"]
-            self._merged(spark, low, batch_id, parts).withColumn("upto", F.lit(batch_id)).write.mode(
-                "overwrite"
-            ).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
-                f"{self.path}/full"
-            )
-        for part in parts if parts is not None else [None]:
-            older = [n for n in self._folds(spark, part) if n < batch_id]
-            for number in older[:-1]:
-                remove(spark, f"{self._full(part)}/upto={number}")
-        folder = f"{self.path}/changes"
-        for name in child_names(spark, folder):
-            if int(name) < low:
-                remove(spark, f"{folder}/{name}")
+    def fold(self, spark: SparkSession, state: dict | None, tag: str, keep: Column | None = None) -> dict:
+        """The state with full copies of the parts that changed, if they are due.
+
+        With ``keep`` the whole table is rewritten and only the rows that it holds for stay.
+        """
+        state = state or NEW
+        if len(state["changes"]) < self.every:
+            return state
+        changed = None if keep is not None else {p for c in state["changes"] for p in c["parts"]}
+        rows = self._merged(self.rows(spark, state, changed))
+        folder, parts = self._write(rows if keep is None else rows.where(keep), "full", tag)
+        copies = {part: {"folder": folder} for part in parts}
+        return {"changes": [], "full": copies if keep is not None else {**state["full"], **copies}}
