@@ -5,15 +5,15 @@ do not part a corpus: unrelated texts lie at distances of 0.95 to 1 from every p
 a window of twice the radius takes each of them into every Voronoi region. Regions are
 therefore cut first where two texts must meet whatever the data are: the shingles are
 dealt by hash into more slices than two linked sets can differ in, so that at least one
-slice is equal, and a region holds the sets of one such slice. In each region
-
-1. a pivot is chosen and its distance to every member taken; members within the radius
-   are linked to it;
-2. members that the links have not joined are compared with one another where the
-   triangle inequality allows it: their distances to the pivot differ by the radius at most;
-3. a region with too many members for that is cut again, by slices of another hash, and
-   its parts go through the same steps. Linked texts share a slice under every hash, so
-   nothing is lost at any depth.
+slice is equal, and a region holds the sets of one such slice. Then
+
+1. each region has a pivot, whose distance to every member is taken; members within the
+   radius are linked to it. A set belongs to the Voronoi cell of the nearest of its pivots;
+2. the members of regions in which two are still apart go through the same once more, in
+   smaller regions: one around each of a set's rarest shingles, as many as a linked set can
+   lack, and one more. Members that links have joined are not compared, nor those that sizes,
+   the places of the shared shingle or, within a cell, the triangle inequality exclude:
+   distances to one pivot differ by the radius at most. All others are, exactly.
 """
 
 from __future__ import annotations
@@ -23,23 +23,17 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicktide.llm.arrow import MASK, VISIBLE, add_columns, find_words, mix, row_groups, text_buffers
+from clicktide.llm.arrow import VISIBLE, add_columns, find_words, mix, row_groups, text_buffers
 from clicktide.llm.components import connected
 from clicktide.session import new_scratch_dir
 
 GROUP_BYTES = 4 << 20
 #: A size class spans sizes whose ratio is the threshold to this power.
 CLASS_STEPS = 3
-#: A region with more members outside its largest group of linked ones is cut again
-#: instead of being compared pair by pair.
-REGION = 64
-#: A region that so many cuts have not made small is compared in full.
-MAX_DEPTH = 12
-
 _LONGS = T.ArrayType(T.LongType())
 
 
@@ -74,13 +68,12 @@ def size_classes(threshold: Fraction, top: int = 1 << 40) -> tuple[np.ndarray, n
 
 
 def _slices(
-    sets: list[np.ndarray], threshold: Fraction, depth: int,
-    starts: np.ndarray, slices: np.ndarray,
+    sets: list[np.ndarray], threshold: Fraction, starts: np.ndarray, slices: np.ndarray
 ) -> list[np.ndarray]:
     """For each set the hashes of its slices, in its own size class and, near its end, the next."""
     size = np.array([len(one) for one in sets])
     flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    turn = mix(flat + np.uint64((2 * depth + 1) * 0xD6E8FEB86659FD93 & MASK))
+    turn = mix(flat + np.uint64(0xD6E8FEB86659FD93))
     content = mix(flat ^ np.uint64(0xA0761D6478BD642F))
     owner = np.repeat(np.arange(len(sets)), size)
     own = np.searchsorted(starts, size, "right") - 1
@@ -129,7 +122,7 @@ def with_sets(
             digests = np.frombuffer(
                 b"".join(xxhash.xxh3_128_digest(one.tobytes()) for one in sets), np.int64
             ).reshape(-1, 2)
-            last = sets if whole else _slices(sets, threshold, 0, starts, slices)
+            last = sets if whole else _slices(sets, threshold, starts, slices)
             parts.append([pa.array(digests[:, 0]), pa.array(digests[:, 1]),
                           pa.array([len(one) for one in sets], pa.int64()), _lists(last)])
         return [pa.concat_arrays(same) for same in zip(*parts, strict=True)]
@@ -137,24 +130,6 @@ def with_sets(
     return add_columns(docs, added, compute)
 
 
-def _sliced_again(sets: DataFrame, threshold: Fraction, depth: int) -> DataFrame:
-    """(node, slices) of (node, shingles) by the hash of this depth."""
-    starts, slices = size_classes(threshold)
-
-    def run(batches):
-        for batch in batches:
-            lists = batch.column("shingles")
-            places = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            each = [flat[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), _lists(_slices(each, threshold, depth, starts, slices))],
-                names=["node", "slices"],
-            )
-
-    return sets.select("node", "shingles").mapInArrow(run, "node bigint, slices array<bigint>")
-
-
 class _Store:
     """Numbered tables below one scratch folder."""
 
@@ -181,13 +156,6 @@ def _distances(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFr
     return found.select("x", "y", "shared", union.alias("joint"), linked.alias("linked"))
 
 
-def _within(threshold: Fraction) -> Column:
-    """Whether the distances of x and y to their pivot differ by the radius at most, in whole numbers."""
-    part = lambda end: F.col(f"{end}_shared") / F.col(f"{end}_joint")
-    # The quotients are doubles; the margin is far above their rounding and only lets more pairs pass.
-    return F.abs(part("x") - part("y")) <= float(1 - threshold) + 1e-9
-
-
 class _Join:
     """The links between nodes, found region by region."""
 
@@ -217,82 +185,84 @@ class _Join:
 
     def run(self) -> DataFrame:
         members = self.nodes.select(F.explode("slices").alias("region"), "node")
-        for depth in range(MAX_DEPTH + 1):
-            members = self._level(members, depth)
-            if members is None:
-                break
-        return self.links
-
-    def _level(self, members: DataFrame, depth: int) -> DataFrame | None:
-        """Join the regions of one depth; the members of the regions of the next, None if there are none."""
-        sizes = members.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("n_members"))
-        regions = self.store.put(sizes.where("n_members > 1"))
+        sizes = members.groupBy("region").agg(F.count("*").alias("n_members")).where("n_members > 1")
         # A small table of regions joins without moving members; else two plain shuffles, which can be split.
-        placed = self.store.put(members.join(regions, "region"))
+        shared = self.store.put(members.join(self.store.put(sizes), "region"))
+        # A set that meets many others is near the middle of them.
+        met = shared.groupBy("node").agg(F.sum("n_members").alias("met"))
+        best = F.max(F.struct("met", "node"))["node"].alias("pivot")
+        weighed = self.store.put(shared.join(met, "node").drop("n_members"))
+        placed = self.store.put(
+            weighed.drop("met").join(weighed.groupBy("region").agg(best), "region")
+        )
+        # All that is compared later is in a region.
+        self.sets = self.store.put(self._sets(placed.select("node").distinct()))
         stars = placed.where("node <> pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y"))
-        if self.sets is None:
-            # All that any later depth compares is in a region of the first one.
-            self.sets = self.store.put(self._sets(placed.select("node").distinct()))
         tested = self._tested(stars.distinct())
-        roots = self._roots()
-        open_ = self._open(placed, roots)
-        if open_.isEmpty():
-            return None
-        open_ = self._same_members_once(open_)
-        last = depth == MAX_DEPTH
-        small = open_ if last else open_.where(F.col("n_apart") <= REGION)
-        pairs = self._unlike(small, tested)
-        if not pairs.isEmpty():
-            self._tested(pairs)
-        large = open_.where(F.col("n_apart") > REGION)
-        if last or large.isEmpty():
-            return None
-        inside = self.sets.join(large.select("node").distinct(), "node", "left_semi")
-        again = _sliced_again(inside, self.threshold, depth + 1).select(
-            "node", F.explode("slices").alias("slice")
-        )
-        return self.store.put(
-            large.select("region", "node").join(again.hint("merge"), "node")
-            .select(F.xxhash64("region", "slice").alias("region"), "node")
-        )
+        roots = self.store.put(connected(self.links))
+        rest = self._rest(self._open(placed, roots), roots, tested)
+        self._tested(self._unlike(rest).join(tested, ["x", "y"], "left_anti"))
+        return self.links
 
     def _open(self, placed: DataFrame, roots: DataFrame) -> DataFrame:
-        """Members, but for the pivot, of regions in which two of them are still apart.
+        """The nodes of regions in which two members besides the pivot are still apart."""
+        grouped = placed.where("node <> pivot").join(roots, "node", "left")
+        grouped = self.store.put(grouped.select("region", "node", F.coalesce("root", "node").alias("root")))
+        apart = (
+            grouped.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low <> high").select("region")
+        )
+        return grouped.join(apart, "region", "left_semi").select("node").distinct()
+
+    def _rest(self, nodes: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+        """The rarest shingles of each node, as many as decide, with their place in its order.
 
-        ``top`` is the root of the largest group, ``n_apart`` counts the members outside it.
+        Rarity is that among these nodes; any one order of all shingles would be exact.
         """
-        grouped = placed.where("node <> pivot").join(roots, "node", "left")
-        grouped = self.store.put(grouped.withColumn("root", F.coalesce("root", "node")))
-        sizes = grouped.groupBy("region", "root").agg(F.count("*").alias("n")).groupBy("region").agg(
-            F.max_by("root", "n").alias("top"), (F.sum("n") - F.max("n")).alias("n_apart")
+        alike = F.col("shared") / F.col("joint")
+        cells = tested.select(F.col("y").alias("node"), F.col("x").alias("cell"), alike.alias("alike")).union(
+            tested.select("x", "x", F.lit(1.0)).distinct()
+        ).groupBy("node").agg(F.max_by("cell", "alike").alias("cell"), F.max("alike").alias("alike"))
+        flat = self.store.put(
+            self.sets.join(nodes, "node", "left_semi")
+            .select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
         )
-        return self.store.put(grouped.join(sizes.where("n_apart > 0"), "region"))
-
-    def _same_members_once(self, open_: DataFrame) -> DataFrame:
-        """One of all regions that have the same members."""
-        mark = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"m{i}") for i in (0, 1)]
-        kept = (
-            open_.groupBy("region", "n_members").agg(*mark)
-            .groupBy("n_members", "m0", "m1").agg(F.min("region").alias("region"))
+        counts = flat.groupBy("shingle").agg(F.count("*").alias("n_nodes"))
+        order = Window.partitionBy("node").orderBy("n_nodes", "shingle")
+        lacking = F.floor(F.col("n") * (self.threshold.denominator - self.threshold.numerator) / self.threshold.denominator)
+        rare = (
+            flat.join(counts, "shingle").withColumn("place", F.row_number().over(order))
+            .where((F.col("place") <= lacking + 1) & (F.col("n_nodes") > 1)).drop("n_nodes")
         )
-        return self.store.put(open_.join(kept.select("region"), "region", "left_semi"))
+        known = rare.join(roots, "node", "left").join(cells, "node", "left")
+        return self.store.put(known.withColumn("root", F.coalesce("root", "node")))
 
-    def _unlike(self, small: DataFrame, tested: DataFrame) -> DataFrame:
-        """Pairs of a region that are still apart and that the triangle inequality does not exclude."""
-        star = tested.select(F.col("x").alias("pivot"), F.col("y").alias("node"), "shared", "joint")
-        held = self.store.put(small.join(star, ["pivot", "node"]))
+    def _unlike(self, rare: DataFrame) -> DataFrame:
+        """Pairs around a shingle that are still apart and that no bound excludes."""
+        sizes = rare.groupBy("shingle", "root").agg(F.count("*").alias("n_same")).groupBy("shingle").agg(
+            F.max_by("root", "n_same").alias("top"), F.count("*").alias("n_roots")
+        )
+        held = self.store.put(rare.join(sizes.where("n_roots > 1").drop("n_roots"), "shingle"))
         side = lambda end: held.select(
-            "region", "top", F.col("node").alias(end), F.col("root").alias(f"{end}_root"),
-            F.col("shared").alias(f"{end}_shared"), F.col("joint").alias(f"{end}_joint"),
+            "shingle", "top", *[F.col(c).alias(f"{end}_{c}") for c in ("node", "root", "n", "place", "cell", "alike")]
         )
-        # The few members outside the largest group meet all others; within it none are apart.
+        above, below = self.threshold.numerator, self.threshold.denominator
+        x, y = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
+        left = 1 + F.least(x("n") - x("place"), y("n") - y("place"))
+        # The margin is far above the rounding of the quotients and only lets more pairs pass.
+        window = F.abs(x("alike") - y("alike")) <= float(1 - self.threshold) + 1e-9
+        # The few nodes outside the largest group meet all others; within it none are apart.
         few = side("x").where("x_root <> top").drop("top")
-        once = (F.col("y_root") == F.col("top")) | (F.col("x") < F.col("y"))
-        return (
-            few.join(side("y"), "region").where((F.col("x_root") != F.col("y_root")) & once)
-            .where(_within(self.threshold))
-            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        fits = (
+            (F.col("few.shingle") == F.col("all.shingle")) & (x("root") != y("root"))
+            & ((y("root") == F.col("top")) | (x("node") < y("node")))
+            & (x("n") * below >= y("n") * above) & (y("n") * below >= x("n") * above)
+            & (left * (above + below) >= (x("n") + y("n")) * above)
+            & ((x("cell") != y("cell")) | window)
         )
+        return few.alias("few").join(side("y").alias("all"), fits).select(
+            F.least(x("node"), y("node")).alias("x"), F.greatest(x("node"), y("node")).alias("y")
+        ).distinct()
 
 
 def jaccard_components(
