@@ -24,7 +24,7 @@ def page_steps(actions: DataFrame) -> DataFrame:
     """Every action with the page that follows in its session, NULL after the last.
 
     A window over whole sessions would put a session with very many actions into
-    one task. Sessions are cut into chunks of rows instead. Inside a chunk a window
+    one task. Long sessions are cut into chunks of rows instead. Inside a chunk a window
     finds the next page; only the first and last action of each chunk then go
     through a window over the session, which joins the chunks.
     """
@@ -35,11 +35,12 @@ def page_steps(actions: DataFrame) -> DataFrame:
     )
     in_chunk = Window.partitionBy("session_id", "chunk").orderBy("sec", "tie", "page_id")
     in_session = Window.partitionBy("session_id").orderBy("chunk", "is_last")
-    chunked = row_chunks(rows, ["session_id", "sec", "tie", "page_id"]).withColumns(
+    # Any column of an action may be null, so the edges are told by a literal.
+    chunked = row_chunks(rows, "session_id", ["sec", "tie", "page_id"]).withColumn("there", F.lit(True)).withColumns(
         {
             "next_page_id": F.lead("page_id").over(in_chunk),
-            "is_last": F.lead("sec").over(in_chunk).isNull(),
-            "is_first": F.lag("sec").over(in_chunk).isNull(),
+            "is_last": F.lead("there").over(in_chunk).isNull(),
+            "is_first": F.lag("there").over(in_chunk).isNull(),
         }
     )
     columns = ["session_id", "sec", "tie", "page_id", "next_page_id"]

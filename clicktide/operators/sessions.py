@@ -87,7 +87,7 @@ def _session_rows(actions: DataFrame) -> DataFrame:
 def _item_chunks(actions: DataFrame) -> DataFrame:
     """Actions of known kind in chunks by session, time and place; actions of no kind have no item."""
     items = _session_rows(actions).where(F.col("kind").isNotNull())
-    return row_chunks(items, ["session_id", "sec", "tie", "kind", "item"])
+    return row_chunks(items, "session_id", ["sec", "tie", "kind", "item"])
 
 
 def session_items(actions: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def session_info(actions: DataFrame, task_id: str) -> DataFrame:
     """Each session with its start, length and the items it searched, clicked, ordered, paid.
 
     Items stand in order of time. Steps and times are plain aggregates. The items
-    are dealt by ranges of session and time into chunks of about equal rows and
+    of a long session are dealt by ranges of time into chunks of about equal rows and
     joined chunk by chunk, so a session with very many actions, even within one
     second, is spread over many tasks; only finished text meets in the last step.
     """

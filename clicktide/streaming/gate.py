@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -125,7 +125,7 @@ class GateStore:
         """Where a new run goes on in each partition of the topic, as the reader's option; None before the first batch."""
         rows = self.current(spark, self.inputs).where(F.col("origin").startswith(f"{topic}:")).collect()
         places = {row["origin"].rsplit(":", 1)[1]: row["place"] + 1 for row in rows}
-        return json.dumps({topic: places}) if places else None
+        return json.dumps({topic: places}, sort_keys=True) if places else None
 
 
 def _in_future(now: datetime) -> Column:
@@ -178,19 +178,16 @@ class _Batch:
         """Stage the clicks of users not listed, and set odd lines aside; the clicks, and the parts of their days."""
         folder = f"{self.store.path}/staged/{self.tag}"
         clicks = ads_log_parse(lines)
-        read = Observation("read")
-        known = lines.select("value").observe(read, F.count("*").alias("lines"))
-        users = ads_log_parse(known).where(~_in_future(now)).groupBy(bucket_of("user_id").alias("bucket")).count()
+        users = clicks.where(~_in_future(now)).groupBy(bucket_of("user_id").alias("bucket")).count()
         found = {row["bucket"]: row["count"] for row in users.collect()}
-        if sum(found.values()) < read.get["lines"]:
+        if sum(found.values()) < lines.count():
             _rejected(lines, now).write.mode("overwrite").parquet(f"{folder}/bad")
         listed = self.store.listed.rows(self.spark, self.tables["listed"], found).select("user_id").distinct()
-        days = Observation("days")
         passed = clicks.where(~_in_future(now)).join(listed, "user_id", "left_anti").select(*CLICK_COLUMNS)
-        passed.observe(days, F.collect_set(day_part("day")).alias("parts")).write.mode("overwrite").parquet(
-            f"{folder}/clicks"
-        )
-        return self.spark.read.schema(CLICK_SCHEMA).parquet(f"{folder}/clicks"), days.get["parts"]
+        passed.write.mode("overwrite").parquet(f"{folder}/clicks")
+        accepted = self.spark.read.schema(CLICK_SCHEMA).parquet(f"{folder}/clicks")
+        days = accepted.select(day_part("day").alias("part")).distinct()
+        return accepted, [row["part"] for row in days.collect()]
 
     def count(self, accepted: DataFrame, parts: list[str], limit: int) -> None:
         """Add the clicks to the stored counts, and list the users whose count was at the limit before."""
@@ -198,15 +195,13 @@ class _Batch:
         stored = self._stored(self.store.counts, parts)
         # A key stored at the limit lists the user; every other key is increased.
         prior = F.coalesce("click_count", F.lit(0))
-        over = Observation("over")
         changed = fresh.join(stored, [*COUNT_KEYS, "part"], "left").select(
             *COUNT_KEYS, F.when(prior < limit, F.col("clicks")).otherwise(0).alias("click_count"),
             "part", prior.alias("prior"),
-        ).observe(over, F.count_if(F.col("prior") >= limit).alias("n"))
-        written = self._put(self.store.counts, changed)
-        if over.get["n"]:
-            users = written.where(F.col("prior") >= limit).groupBy("user_id")
-            users = users.agg(F.max("prior").alias("click_count"))
+        )
+        over = self._put(self.store.counts, changed).where(F.col("prior") >= limit)
+        if not over.isEmpty():
+            users = over.groupBy("user_id").agg(F.max("prior").alias("click_count"))
             self._put(self.store.listed, users.withColumn("part", bucket_of("user_id")))
 
 

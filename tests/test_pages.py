@@ -3,6 +3,7 @@ import random
 import pytest
 from rows import actions, as_tuples
 
+from clicktide.operators import skew
 from clicktide.operators.pages import (
     page_convert_rate,
     page_jump_counts,
@@ -49,7 +50,11 @@ def test_jump_that_never_occurs_has_no_row(spark):
 
 
 @pytest.fixture(params=[1, 3, 40])
-def chunks(spark, request):
+def chunks(spark, request, monkeypatch):
+    """More cuts with each value; nothing may rest on one shuffle being used twice."""
+    monkeypatch.setattr(skew, "ROWS_PER_SAMPLE", 64 // request.param)
+    monkeypatch.setattr(skew, "CHUNK", 40 // request.param)
+    spark.conf.set("spark.sql.exchange.reuse", False)
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, request.param)
@@ -57,6 +62,7 @@ def chunks(spark, request):
     yield
     spark.conf.set(key, before)
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.unset("spark.sql.exchange.reuse")
 
 
 def test_chunks_do_not_change_the_steps(spark, chunks):
@@ -83,3 +89,20 @@ def test_chunks_do_not_change_the_steps(spark, chunks):
     steps = page_steps(actions(spark, *rows))
     got = as_tuples(steps, "session_id", "tie", "page_id", "next_page_id")
     assert got == sorted(expected, key=repr)
+
+
+def test_actions_without_a_readable_time_are_steps(spark, chunks):
+    """They come first, in the order of the table, and end nothing."""
+    times = ["no time", "", "2024-01-01 00:00:03", "2024-01-01 00:00:04", "2024-01-01 00:00:05"]
+    frame = actions(spark, *[{"page_id": i + 1, "action_time": t, "date": "2024-01-01"} for i, t in enumerate(times)])
+    assert as_tuples(page_jumps(frame), "page_jump") == [("1-2",), ("2-3",), ("3-4",), ("4-5",)]
+    none = actions(spark, *[{"page_id": p, "action_time": "x", "date": "2024-01-01"} for p in (1, 2, 1, 2)])
+    assert as_tuples(page_jump_counts(none, FLOW)) == [("1-2", 2)]
+    assert as_tuples(page_convert_rate(none, FLOW, "t")) == [("t", "1-2", 100.0)]
+
+
+def test_a_session_within_one_second(spark, chunks):
+    frame = actions(spark, *[{"page_id": i % 7 + 1} for i in range(500)])
+    want = [f"{i % 7 + 1}-{(i + 1) % 7 + 1}" for i in range(499)]
+    jumps = dict(as_tuples(page_jumps(frame), "seq", "page_jump"))
+    assert [jumps[i] for i in range(499)] == want

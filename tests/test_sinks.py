@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from rows import actions, as_tuples, cities, products, users
 
 from clicktide.files import child_names
@@ -10,6 +12,7 @@ from clicktide.schemas import (
     AREA_TOP3_PRODUCT,
     CATEGORY_TOP10,
     CATEGORY_TOP10_SESSION_COUNT,
+    KEYED_VALUE,
     PAGE_CONVERT_RATE,
     RANDOM_SESSION_INFO,
     SESSION_STAT_INFO,
@@ -110,6 +113,34 @@ def test_keyed_values(spark):
     assert as_tuples(read_keyed(spark, path)) == latest
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.integers(1, 60), st.integers(0, 3), st.booleans()), min_size=3, max_size=9),
+    st.sampled_from([1, 2, 100]),
+)
+def test_keyed_values_with_gaps(spark, batches, every):
+    """Whatever the numbers of the batches, the folds and the replays: the last value of every field."""
+    path = new_scratch_dir(spark, "keyed")
+    number, want = 0, {}
+    for value, (step, field, again) in enumerate(batches):
+        number += step
+        for v in ([value + 1000, value] if again else [value]):
+            keyed_upsert(spark.createDataFrame([("h", str(field), str(v))], KEYED_VALUE), path, number, every)
+        want[str(field)] = str(value)
+    assert dict(as_tuples(read_keyed(spark, path), "field", "value")) == want
+    with pytest.raises(ValueError):
+        keyed_upsert(spark.createDataFrame([("h", "0", "0")], KEYED_VALUE), path, number - 1, every)
+    keyed_upsert(spark.createDataFrame([("h", "0", "new")], KEYED_VALUE), path, 0, every, run="new checkpoint")
+    assert dict(as_tuples(read_keyed(spark, path), "field", "value")) == {**want, "0": "new"}
+
+
+def test_batches_99_and_101_both_stay(spark):
+    path = new_scratch_dir(spark, "keyed")
+    for number in (99, 101, 205):
+        keyed_upsert(spark.createDataFrame([("h", f"f{number}", "1")], KEYED_VALUE), path, number)
+    assert as_tuples(read_keyed(spark, path), "field") == [("f101",), ("f205",), ("f99",)]
+
+
 def test_snapshots_replace_each_other(spark):
     path = new_scratch_dir(spark, "snapshot")
     assert read_keyed_snapshot(spark, path).count() == 0

@@ -12,15 +12,17 @@ from clicktide.sources.ads_log import ads_source, kafka_options
 from clicktide.files import child_names
 from clicktide.operators import ads
 from clicktide.streaming import gate as gate_module
-from clicktide.streaming.batch_table import BatchTable
+from clicktide.streaming.batch_table import NEW, BatchTable
 from clicktide.streaming.gate import (
     GateStore,
     accepted_clicks,
     blacklist_table,
+    bucket_of,
     gate_batch,
     start_gate,
     stored_counts,
 )
+from clicktide.streaming.manifest import Fenced, Manifest, begin
 
 ONCE = {"availableNow": True}
 
@@ -79,28 +81,92 @@ def test_batches_of_one_run_equal_replay(spark):
     assert _state(spark, store) == _expected(clicks, 4)
 
 
-def test_replay_and_crash_change_nothing(spark, monkeypatch):
-    clicks = random_clicks(7, 150, 5)
+@pytest.mark.parametrize("where", ["publish", "commit"])
+@pytest.mark.parametrize("origins", [False, True])
+def test_replay_and_crash_change_nothing(spark, monkeypatch, where, origins):
+    """Each batch is lost once before or after its commit, run again, and run once more."""
+    clicks = random_clicks(7, 120, 4)
     root = new_scratch_dir(spark, "test")
     store = GateStore(f"{root}/gate", 2)
     put = gate_batch(store, 4)
     gate_module.make_dir(spark, store.accepted)
-    real = gate_module.publish
 
     def crash(*_):
         raise RuntimeError("lost")
 
     for number, batch in enumerate(_by_batch(clicks)):
-        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
-        monkeypatch.setattr(gate_module, "publish", crash)
-        with pytest.raises(RuntimeError):
-            put(frame, number)
-        monkeypatch.setattr(gate_module, "publish", real)
+        rows = [(v, f"file{number}", 0) for v in batch]
+        frame = spark.createDataFrame(rows, "value STRING, origin STRING, place BIGINT")
+        frame = frame if origins else frame.select("value")
+        with monkeypatch.context() as patch:
+            target = gate_module if where == "publish" else Manifest
+            patch.setattr(target, where, crash)
+            with pytest.raises(RuntimeError):
+                put(frame, number)
         put(frame, number)
         put(frame, number)
     assert _state(spark, store) == _expected(clicks, 4)
 
 
+def test_runs_that_take_turns_lose_and_double_nothing(spark):
+    """Two checkpoints over one growing folder, in turns: each line is counted once."""
+    clicks = random_clicks(11, 140, 5)
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate", 3)
+    for number, batch in enumerate(_by_batch(clicks)):
+        frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
+        frame.coalesce(1).write.mode("append").text(f"{root}/lines")
+        source = ads_source(spark, "text", path=f"{root}/lines")
+        for checkpoint in ("ab"[number % 2], "new") if number == 3 else ("ab"[number % 2],):
+            start_gate(source, store, f"{root}/{checkpoint}", 4, ONCE).awaitTermination()
+    assert _state(spark, store) == _expected(clicks, 4)
+
+
+def test_a_run_that_was_taken_over_fails(spark):
+    store = GateStore(new_scratch_dir(spark, "test"))
+    frame = spark.createDataFrame([(_line(("u", "a", "2024-01-01", 0)), "t:0", 5)], "value STRING, origin STRING, place BIGINT")
+    old = gate_batch(store, 4, "a", store.open(spark))
+    old(frame, 0)
+    new = gate_batch(store, 4, "b", store.open(spark))
+    with pytest.raises(Fenced):
+        old(frame, 1)
+    new(frame, 0)
+    assert accepted_clicks(spark, store).count() == 1
+    log = Manifest(new_scratch_dir(spark, "test"))
+    log.commit(spark, 0, {"by": 1})
+    with pytest.raises(Fenced):
+        log.commit(spark, 0, {"by": 2})
+    assert log.last(spark) == (0, {"by": 1})
+
+
+def test_a_new_run_goes_on_at_the_stored_offsets(spark):
+    store = GateStore(new_scratch_dir(spark, "test"), 2)
+    assert store.next_offsets(spark, "ads") is None
+    put, schema = gate_batch(store, 9), "value STRING, origin STRING, place BIGINT"
+    line = _line(("u", "a", "2024-01-01", 0))
+    for number in range(5):
+        rows = [(line, "ads:0", 2 * number), (line, "ads:0", 2 * number + 1), (line, f"ads:{1 + number % 2}", number)]
+        put(spark.createDataFrame([*rows, ("broken", "other:7", number)], schema), number)
+    assert store.next_offsets(spark, "ads") == '{"ads": {"0": 10, "1": 5, "2": 4}}'
+    # Offsets that overlap what was read: only the new ones count.
+    gate_batch(store, 9, "lost checkpoint")(
+        spark.createDataFrame([(line, "ads:0", at) for at in range(6, 13)], schema), 0
+    )
+    assert accepted_clicks(spark, store).count() == 15 + 3
+
+
+def test_a_batch_of_one_user_reads_one_bucket(spark):
+    store = GateStore(new_scratch_dir(spark, "test"))
+    users = spark.range(200).selectExpr("CONCAT('u', id) AS user_id", "id AS click_count")
+    rows = users.withColumn("part", bucket_of("user_id"))
+    state, _ = store.listed.put(rows, None, 0, "t")
+    bucket = rows.where("user_id = 'u7'").first()["part"]
+    one = store.listed.rows(spark, state, [bucket])
+    assert len(one.inputFiles()) < len(store.listed.rows(spark, state).inputFiles()) / 10
+    assert {f.split("part=")[1].split("/")[0] for f in one.inputFiles()} == {bucket}
+    assert "u7" in {r["user_id"] for r in one.collect()}
+
+
 def test_new_checkpoint_on_an_old_store_loses_nothing(spark):
     clicks = random_clicks(8, 120, 4)
     root = new_scratch_dir(spark, "test")
@@ -114,27 +180,27 @@ def test_new_checkpoint_on_an_old_store_loses_nothing(spark):
 
 
 def test_folders_stay_few(spark):
-    """Over 200 batches, with a replay of each, on tables that fold every 20."""
+    """Over 70 batches, with a replay of some, on a table that folds every 10."""
     path = new_scratch_dir(spark, "test")
-    table = BatchTable(path, "k STRING, day STRING, n BIGINT", ("k", "day"), "n", "sum", 20, "day")
+    log = Manifest(path)
+    table = BatchTable(path, "k STRING, day STRING, n BIGINT", ("k", "day"), "n", "sum", 10, "day")
     want = Counter()
-    for batch in range(205):
-        rows = [(f"k{batch % 3}", f"2024-01-{1 + batch // 70:02}", 1)]
+    for batch in range(0, 140, 2):
+        rows = [(f"k{batch % 3}", f"2024-01-{1 + batch // 50:02}", 1)]
         want.update(r[:2] for r in rows)
         frame = spark.createDataFrame(rows, table.schema).coalesce(1)
-        for _ in range(2 if batch % 20 < 2 else 1):
-            table.fold(spark, batch)
-            table.put(frame, batch)
-    assert len(child_names(spark, f"{path}/changes")) <= 40
-    days = table.parts(spark)
-    assert sorted(days) == ["2024-01-01", "2024-01-02", "2024-01-03"]
-    for day in days:
-        folds = child_names(spark, f"{path}/full/day={day}")
-        assert len([n for n in folds if n.startswith("upto=")]) <= 2
-    got = {(r["k"], r["day"]): r["n"] for r in table.after(spark, 204).collect()}
-    assert got == dict(want)
-    one = table.after(spark, 204, ["2024-01-02"])
-    assert len(one.inputFiles()) <= 2 * 5 + 1
+        for _ in range(2 if batch % 20 < 4 else 1):
+            turn = begin(spark, log, "run", batch)
+            state = table.fold(spark, turn.base.get("t"), turn.tag)
+            state, _ = table.put(frame, state, turn.number, turn.tag)
+            turn.commit(spark, {"t": state})
+    state = log.last(spark)[1]["t"]
+    assert len(child_names(spark, f"{path}/rows/kind=changes")) <= 12
+    assert sorted(state["full"]) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert len(child_names(spark, f"{path}/states")) <= 4
+    assert {(r["k"], r["day"]): r["n"] for r in table.read(spark, state).collect()} == dict(want)
+    one = table.read(spark, state, ["2024-01-02"])
+    assert len(one.inputFiles()) <= 5
     assert {r["day"] for r in one.collect()} == {"2024-01-02"}
 
 
@@ -159,8 +225,8 @@ def _run_last_hour(spark, root, batches):
         frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
         frame.coalesce(1).write.mode("append").text(f"{root}/lines")
         source = ads_source(spark, "text", path=f"{root}/lines")
-        report = realtime.last_hour_report(root)
-        realtime.run_gate(source, root, 100, ONCE, (report,)).awaitTermination()
+        realtime.run_gate(source, root, 100, ONCE).awaitTermination()
+        realtime.run_report(spark, root, realtime.LAST_HOUR, ONCE).awaitTermination()
     return as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}"), "field", "value")
 
 
@@ -195,8 +261,8 @@ def test_late_days_are_counted(spark):
         frame = spark.createDataFrame([(_line(("u", "a", day, 0)),)], "value STRING")
         frame.write.mode("append").text(f"{root}/lines")
         source = ads_source(spark, "text", path=f"{root}/lines")
-        report = realtime.region_report(root)
-        realtime.run_gate(source, root, 5, ONCE, (report,)).awaitTermination()
+        realtime.run_gate(source, root, 5, ONCE).awaitTermination()
+        realtime.run_report(spark, root, realtime.COUNTS, ONCE).awaitTermination()
     rows = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
     assert rows == [("north:metro:a:2024-01-01", "2"), ("north:metro:a:2024-01-05", "1")]
 
@@ -211,8 +277,9 @@ def test_reports_equal_the_accepted_clicks(spark):
             frame = spark.createDataFrame([(v,) for v in batch], "value STRING")
             frame.coalesce(1).write.mode("append").text(f"{root}/lines")
         lines = ads_source(spark, "text", path=f"{root}/lines", maxFilesPerTrigger="1")
-        reports = (realtime.region_report(root), realtime.last_hour_report(root))
-        realtime.run_gate(lines, root, 5, ONCE, reports).awaitTermination()
+        realtime.run_gate(lines, root, 5, ONCE).awaitTermination()
+        for name in (realtime.COUNTS, realtime.TOP3, realtime.LAST_HOUR):
+            realtime.run_report(spark, root, name, ONCE, maxFilesPerTrigger="1").awaitTermination()
 
     totals = Counter((c[1], c[2]) for c in accepted)
     counts = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
@@ -234,15 +301,81 @@ def test_reports_equal_the_accepted_clicks(spark):
     ]
 
 
+def test_a_report_with_a_new_checkpoint_puts_the_same(spark):
+    """Counts start anew from all accepted clicks; what is read stays right at any time."""
+    clicks = random_clicks(12, 90, 3)
+    root = new_scratch_dir(spark, "test")
+    frame = spark.createDataFrame([(_line(c),) for c in clicks], "value STRING")
+    frame.coalesce(1).write.text(f"{root}/lines")
+    realtime.run_gate(ads_source(spark, "text", path=f"{root}/lines"), root, 50, ONCE).awaitTermination()
+    seen = []
+    for turn in range(2):
+        for name in (realtime.COUNTS, realtime.TOP3, realtime.LAST_HOUR):
+            if turn:
+                gate_module.remove(spark, f"{root}/checkpoints/{name}")
+            realtime.run_report(spark, root, name, ONCE, maxFilesPerTrigger="1").awaitTermination()
+        seen.append([as_tuples(read_keyed(spark, f"{root}/{n}")) for n in (realtime.COUNTS, realtime.TOP3)])
+        seen[-1].append(as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}")))
+    assert seen[0] == seen[1] and all(seen[0])
+
+
+def test_last_hour_reads_minutes_and_one_minute_of_moments(spark, monkeypatch):
+    """The rows read do not grow with the clicks of the hour."""
+    from clicktide.streaming import reports
+    from clicktide.streaming.gate import CLICK_SCHEMA
+
+    root = new_scratch_dir(spark, "test")
+    put = reports.put_last_hour(f"{root}/store", f"{root}/out", "run", every=3)
+    read, sizes = BatchTable.read, {}
+
+    def counted(table, session, state, parts=None):
+        sizes.setdefault(table.name, []).append(table.rows(session, state, parts).count())
+        return read(table, session, state, parts)
+
+    monkeypatch.setattr(BatchTable, "read", counted)
+    want = Counter()
+    start = datetime(2024, 1, 1, 9, 0, 20, tzinfo=timezone.utc)
+    for batch in range(8):
+        # 900 moments of one ad, 20 minutes a batch.
+        first = round(start.timestamp() * 1000) + batch * 1_200_000
+        frame = spark.range(900).selectExpr(
+            f"timestamp_millis({first} + id * 1333) AS logdate", "'n' AS area", "'c' AS city", "'u' AS user_id",
+            "'a' AS ads_id", "'d' AS day", "'m' AS hour_min",
+        )
+        want.update(first + i * 1333 for i in range(900))
+        put(frame.select(*[c.split()[0] for c in CLICK_SCHEMA.split(",")]), batch)
+    assert max(sizes["moments"]) <= 50 and max(sizes["minutes"]) <= 3 * 22 + 61
+    last = max(want)
+    minutes = Counter(t // 60_000 for t in want if last - 3_600_000 < t <= last)
+    text = ",".join(
+        f'{{"{datetime.fromtimestamp(m * 60, timezone.utc):%H:%M}":{n}}}' for m, n in sorted(minutes.items())
+    )
+    assert as_tuples(read_keyed_snapshot(spark, f"{root}/out"), "field", "value") == [("a", f"[{text}]")]
+
+
+def test_counts_are_kept_by_the_state_store(spark):
+    root = new_scratch_dir(spark, "test")
+    spark.createDataFrame([(_line(("u", "a", "2024-01-01", 0)),)], "value STRING").write.text(f"{root}/lines")
+    realtime.run_gate(ads_source(spark, "text", path=f"{root}/lines"), root, 5, ONCE).awaitTermination()
+    query = realtime.run_report(spark, root, realtime.COUNTS, ONCE)
+    query.awaitTermination()
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 1 and any("rocksdb" in name for name in state["customMetrics"])
+
+
 def test_batch_table_folds(spark):
     path = new_scratch_dir(spark, "test")
     table = BatchTable(path, "k STRING, n BIGINT", ("k",), "n", "max", 2)
+    state = NEW
     for batch in range(5):
-        table.fold(spark, batch)
-        assert table.before(spark, batch).count() == batch
+        state = table.fold(spark, state, f"f{batch}")
+        assert table.read(spark, state).count() == batch
         rows = [(f"k{batch}", batch), ("k0", 10 * batch)]
-        table.put(spark.createDataFrame(rows, "k STRING, n BIGINT").dropDuplicates(["k"]), batch)
-    assert as_tuples(table.after(spark, 4)) == [
+        frame = spark.createDataFrame(rows, "k STRING, n BIGINT").dropDuplicates(["k"])
+        state, written = table.put(frame, state, batch, f"c{batch}")
+        assert written.columns == ["k", "n"]
+        assert len(state["changes"]) <= 2
+    assert as_tuples(table.read(spark, state)) == [
         ("k0", 40), ("k1", 1), ("k2", 2), ("k3", 3), ("k4", 4),
     ]
 
@@ -259,11 +392,13 @@ def test_whole_job_with_a_timer(spark):
     clicks = [("u", "a", "2024-01-01", 0), ("v", "a", "2024-01-01", 1)]
     frame = spark.createDataFrame([(_line(c),) for c in clicks], "value STRING")
     frame.coalesce(1).write.text(f"{root}/lines")
-    query = realtime.start_all(ads_source(spark, "text", path=f"{root}/lines"), root, 5)
+    queries = realtime.start_all(ads_source(spark, "text", path=f"{root}/lines"), root, 5)
     try:
-        query.processAllAvailable()
+        for query in queries:
+            query.processAllAvailable()
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
     hour = as_tuples(read_keyed_snapshot(spark, f"{root}/{realtime.LAST_HOUR}"))
     assert hour == [("last_hour_ads_click", "a", '[{"12:00":1},{"12:01":1}]')]
     counts = as_tuples(read_keyed(spark, f"{root}/{realtime.COUNTS}"), "field", "value")
