@@ -23,7 +23,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,11 @@ from clicktide.session import new_scratch_dir
 GROUP_BYTES = 4 << 20
 #: A size class spans sizes whose ratio is the threshold to this power.
 CLASS_STEPS = 3
+#: Texts are chosen by a broadcast of so many hashes (32 bytes each) at most, and by a shuffle beyond.
+BROADCAST_MARKS = 1 << 20
+#: The shingles that are set apart as frequent, and the share of the sets that they are counted in.
+FREQUENT, COUNTED = 1 << 17, 8
+
 _LONGS = T.ArrayType(T.LongType())
 
 
@@ -130,6 +135,39 @@ def with_sets(
     return add_columns(docs, added, compute)
 
 
+def _rarest(sets: DataFrame, frequent: list[int], counts: list[int], threshold: Fraction) -> DataFrame:
+    """Rows (node, n, shingle, place): the first shingles of each set, frequent ones last.
+
+    Two linked sets of which the larger has n shingles lack at most (1 - t) n of each other's,
+    so the first ones, one more than that, have one in common.
+    """
+    order = np.argsort(np.array(frequent, np.int64))
+    values, amount = np.array(frequent, np.int64)[order], np.array(counts, np.int64)[order]
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("shingles")
+            places = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(values, flat), max(len(values) - 1, 0))
+            often = np.where(values[at] == flat, amount[at], 0) if len(values) else np.zeros(len(flat), np.int64)
+            size = np.diff(places)
+            owner = np.repeat(np.arange(len(size)), size)
+            inside = slice(places[0], places[-1])
+            ranked = np.lexsort((flat[inside], often[inside], owner))
+            nth = np.arange(len(ranked)) - np.repeat(places[:-1] - places[0], size) + 1
+            lacking = size * (threshold.denominator - threshold.numerator) // threshold.denominator
+            first = nth <= (lacking + 1)[owner]
+            nodes = batch.column("node").take(pa.array(owner[first]))
+            yield pa.RecordBatch.from_arrays(
+                [nodes, pa.array(size[owner[first]].astype(np.int64)), pa.array(flat[inside][ranked[first]]),
+                 pa.array(nth[first])],
+                names=["node", "n", "shingle", "place"],
+            )
+
+    return sets.select("node", "shingles").mapInArrow(run, "node bigint, n bigint, shingle bigint, place bigint")
+
+
 class _Store:
     """Numbered tables below one scratch folder."""
 
@@ -167,14 +205,18 @@ class _Join:
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
         """(node, shingles) of the wanted nodes, made anew from one text of each."""
-        chosen = self.nodes.select("node", "a", "b", "mark").join(wanted, "node", "left_semi")
-        chosen = self.store.put(chosen)
-        found = self.texts.join(chosen.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
-        made = with_sets(found.select("text"), "text", self.ngram, self.threshold, whole=True)
-        return made.join(chosen.select("node", "a", "b"), ["a", "b"]).select("node", "shingles")
-
-    def _roots(self) -> DataFrame:
-        return self.store.put(connected(self.links))
+        chosen = self.store.put(
+            self.nodes.select("node", "a", "b", "mark").join(wanted, "node", "left_semi")
+        )
+        whole, marks = chosen.select("node", "a", "b"), chosen.select("mark").distinct()
+        if chosen.count() <= BROADCAST_MARKS:
+            whole, marks = F.broadcast(whole), F.broadcast(marks)
+        # Different texts of one mark give sets of their own, of which the wanted are told by 128 bits.
+        made = with_sets(
+            self.texts.join(marks, "mark", "left_semi").select("text"), "text", self.ngram, self.threshold, True
+        )
+        wanted_sets = made.select("a", "b", "shingles").join(whole, ["a", "b"])
+        return wanted_sets.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
     def _tested(self, pairs: DataFrame) -> DataFrame:
         """The distances of all pairs; links among them join the others."""
@@ -217,24 +259,18 @@ class _Join:
     def _rest(self, nodes: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
         """The rarest shingles of each node, as many as decide, with their place in its order.
 
-        Rarity is that among these nodes; any one order of all shingles would be exact.
+        Rarity is that in a share of these nodes; any one order of all shingles would be exact.
         """
         alike = F.col("shared") / F.col("joint")
         cells = tested.select(F.col("y").alias("node"), F.col("x").alias("cell"), alike.alias("alike")).union(
             tested.select("x", "x", F.lit(1.0)).distinct()
         ).groupBy("node").agg(F.max_by("cell", "alike").alias("cell"), F.max("alike").alias("alike"))
-        flat = self.store.put(
-            self.sets.join(nodes, "node", "left_semi")
-            .select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-        )
-        counts = flat.groupBy("shingle").agg(F.count("*").alias("n_nodes"))
-        order = Window.partitionBy("node").orderBy("n_nodes", "shingle")
-        lacking = F.floor(F.col("n") * (self.threshold.denominator - self.threshold.numerator) / self.threshold.denominator)
-        rare = (
-            flat.join(counts, "shingle").withColumn("place", F.row_number().over(order))
-            .where((F.col("place") <= lacking + 1) & (F.col("n_nodes") > 1)).drop("n_nodes")
-        )
-        known = rare.join(roots, "node", "left").join(cells, "node", "left")
+        sets = self.store.put(self.sets.join(nodes, "node", "left_semi"))
+        counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(COUNTED)) == 0)
+        counts = counted.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count()
+        top = counts.where("count > 1").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+        known = _rarest(sets, [r["shingle"] for r in top], [r["count"] for r in top], self.threshold)
+        known = known.join(roots, "node", "left").join(cells, "node", "left")
         return self.store.put(known.withColumn("root", F.coalesce("root", "node")))
 
     def _unlike(self, rare: DataFrame) -> DataFrame:
@@ -282,7 +318,7 @@ def jaccard_components(
     """
     store = _Store(docs, "jaccard")
     texts = docs.select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.md5(text_col).alias("mark")
+        F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark")
     )
     rows = store.put(with_sets(texts, "text", ngram, threshold, whole=False).drop("text"))
     distinct = rows.where("n > 0").groupBy("a", "b").agg(
