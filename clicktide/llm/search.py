@@ -2,7 +2,7 @@
 
 ``build_index`` cuts the documents into shards of bounded text and writes, for each shard
 and term, a postings list in blocks of 256 neighbouring documents: a byte for the place in
-the block, and the frequency. Every block carries the pairs (frequency, document length)
+the block, and the frequency in as few bytes as the shard allows. Every block carries the pairs (frequency, document length)
 that no other of its pairs dominates, so its greatest score is exact for any corpus
 statistics, which are sums over the finished index.
 
@@ -43,6 +43,8 @@ INDEX_SCHEMA = (
     "blocks binary, sizes binary, places binary, tfs binary, "
     "front_sizes binary, front_tfs binary, front_lengths binary"
 )
+#: Types of the frequencies of a shard by their bytes.
+_WIDTHS = {1: np.uint8, 2: np.uint16, 8: np.int64}
 _NAMES = [column.split()[0] for column in INDEX_SCHEMA.split(", ")]
 
 
@@ -54,7 +56,7 @@ def _terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array,
     before[offsets[:-1][offsets[:-1] < len(buf)]] = False
     starts = np.flatnonzero(inside & ~before)
     ends_of_rows = np.searchsorted(starts, offsets)
-    at = np.append(np.cumsum(inside)[starts] - 1, int(inside.sum())) if len(starts) else np.zeros(1, np.int64)
+    at = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, int(inside.sum())) if len(starts) else np.zeros(1, np.int64)
     data = LOWER[buf[inside]]
     words = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())
@@ -73,8 +75,12 @@ def _front(tf: np.ndarray, length: np.ndarray, block: np.ndarray) -> np.ndarray:
     return order[keep]
 
 
-def _bytes(values: np.ndarray, kind: type) -> bytes:
-    return values.astype(kind).tobytes()
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary value for each list, of the bytes of its values."""
+    places = np.concatenate([[0], ends]).astype(np.int32) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(values.tobytes())]
+    )
 
 
 def _index_rows(shard: int, ids: pa.Array, buf: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
@@ -98,31 +104,24 @@ def _index_rows(shard: int, ids: pa.Array, buf: np.ndarray, offsets: np.ndarray)
     posting_ends = np.searchsorted(term, lists, "right")
     front_ends = np.cumsum(front_sizes)[cell_ends - 1] if len(lists) else lists
     front_tf, front_length = tf[front], length[doc[front]]
-    columns: list[list] = [[] for _ in _NAMES]
-
-    def put(*values) -> None:
-        for column, value in zip(columns, values, strict=True):
-            column.append(value)
-
-    put(shard, None, int((length > 0).sum()), int(length.sum()), ids.to_pylist(), None,
-        _bytes(length, np.int64), None, None, None, None, None)
-    c0 = p0 = f0 = 0
-    place = (doc % BLOCK).astype(np.uint8)
-    block = cells % n_blocks
-    for name, c1, p1, f1 in zip(
-        names.take(pa.array(order)).to_pylist(), cell_ends.tolist(), posting_ends.tolist(),
-        front_ends.tolist(), strict=True,
-    ):
-        frequencies = tf[p0:p1]
-        wide = np.uint8 if frequencies.max() < 256 else np.int64
-        put(shard, name, p1 - p0, None, None, _bytes(block[c0:c1], np.int32),
-            _bytes(sizes[c0:c1], np.int32), place[p0:p1].tobytes(), _bytes(frequencies, wide),
-            _bytes(front_sizes[c0:c1], np.int32), _bytes(front_tf[f0:f1], np.int64),
-            _bytes(front_length[f0:f1], np.int64))
-        c0, p0, f0 = c1, p1, f1
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7]
+    width = next(w for w in (np.uint8, np.uint16, np.int64) if tf.max(initial=0) <= np.iinfo(w).max)
+    none = pa.nulls(len(order), pa.int64())
+    lists_of = lambda values, kind, ends: _binary(values.astype(kind), ends)
+    columns = [
+        pa.array(np.full(len(order), shard)), names.take(pa.array(order)).cast(pa.string()),
+        pa.array(np.diff(posting_ends, prepend=0)), none, pa.nulls(len(order), pa.list_(pa.int64())),
+        lists_of(cells % n_blocks, np.int32, cell_ends), lists_of(sizes, np.int32, cell_ends),
+        lists_of(doc % BLOCK, np.uint8, posting_ends), lists_of(tf, width, posting_ends),
+        lists_of(front_sizes, np.int32, cell_ends), lists_of(front_tf, np.int64, front_ends),
+        lists_of(front_length, np.int64, front_ends),
+    ]
+    of_docs = [
+        pa.array([shard]), pa.nulls(1, pa.string()), pa.array([int((length > 0).sum())]), pa.array([int(length.sum())]),
+        pa.ListArray.from_arrays(pa.array([0, n_rows], pa.int32()), ids.cast(pa.int64())), pa.nulls(1, pa.binary()),
+        pa.array([length.astype(np.int64).tobytes()]), *[pa.nulls(1, pa.binary())] * 5,
+    ]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_NAMES
+        [pa.concat_arrays(pair) for pair in zip(of_docs, columns, strict=True)], names=_NAMES
     )
 
 
@@ -214,8 +213,8 @@ class Shard:
         sizes = read("sizes", np.int32).astype(np.int64)
         self.places = read("places", np.uint8)
         self.tfs = np.concatenate(
-            [np.frombuffer(one["tfs"], np.uint8 if len(one["tfs"]) == len(one["places"]) else np.int64)
-             for one in lists] or [np.empty(0, np.uint8)]
+            [np.frombuffer(one["tfs"], _WIDTHS[len(one["tfs"]) // len(one["places"])]) for one in lists]
+            or [np.empty(0, np.uint8)]
         )
         #: Where the postings of a block of a list begin, how many there are and their greatest score.
         self.first = np.zeros((len(lists), self.n_blocks), np.int64)
