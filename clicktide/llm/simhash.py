@@ -1,31 +1,27 @@
 """Operator 4, SimHash near-duplicates by multi-index hashing.
 
 A fingerprint takes the majority of the hashes of a text's word shingles, bit by
-bit. Equal fingerprints are one node. Two ways to find links, both with index
-tables over segments of the fingerprint and a check of the complete distance:
-
-``close_links`` finds every pair within 2 of 64 bits. It enumerates the balls of
-radius 1 in each of two segments; the index keeps the other segment beside the
-probed one, so fingerprints at distance 2 meet in the bucket that lies one bit
-from either, and no bucket can hold more than 65 fingerprints. (With an index on
-one segment alone, all fingerprints that share a hot value would be compared
-with one another.)
-
-``similar_links`` is for wide fingerprints and distances beyond any ball that can
-be enumerated: the pairs share one of many short sampled segments in full (balls
-of radius 0: one of radius 1 would take a row for each of its bits), and meet in
-its bucket. The number of segments follows from the recall.
+bit. Equal fingerprints are one node. The bits are cut into segments, and a table for
+each segment holds every fingerprint under its value there. Two fingerprints at most d
+bits apart are at most d // m apart in one of m segments, so a fingerprint looks into each
+table under all values of the small Hamming ball of that radius around its own, and
+the complete distance of what it meets is verified.
+
+A value that many fingerprints share is split by further segments: what agrees in one
+agrees in one of d + 1 pieces of the remaining bits too, so the bucket of such a value is cut
+into buckets of a value and a piece, and these again while they are large. Fingerprints are
+distinct, so a bucket in which few bits are left free is small.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +31,9 @@ from clicktide.session import new_scratch_dir
 
 SEED = 42
 GROUP_BYTES = 4 << 20
+BITS = 64
+#: A bucket of more fingerprints is split by further bits.
+BUCKET = 256
 LANES = T.ArrayType(T.LongType())
 
 #: For each byte value, a 64-bit word whose byte j is bit j of the value.
@@ -113,243 +112,128 @@ def with_fingerprints(docs: DataFrame, text_col: str, ngram: int, lanes: int = 1
     return add_columns(docs, [T.StructField("lanes", LANES)], compute)
 
 
-def with_shingle_sets(docs: DataFrame, text_col: str, ngram: int, lanes: int = 0) -> DataFrame:
-    """Add ``node``, a hash of the set of shingle hashes, and the set or its fingerprint.
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
-    Without ``lanes`` this is the set itself, sorted, as ``shingles``; otherwise
-    ``lanes``, a fingerprint in parts of 64 bits in which every shingle counts once.
-    """
-    column = [n.lower() for n in docs.columns].index(text_col.lower())
-    added = T.StructField("lanes" if lanes else "shingles", LANES)
 
-    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        buf, offsets = text_buffers(batch.column(column))
-        nodes, values, counts = [], [], []
-        for a, b in row_groups(offsets, GROUP_BYTES):
-            hashes, count = shingle_hashes(
-                buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ngram
-            )
-            ends = np.cumsum(count)
-            sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends, count, strict=True)]
-            nodes += [xxhash.xxh64_intdigest(one.tobytes(), SEED) for one in sets]
-            flat, size = np.concatenate(sets), np.array([len(one) for one in sets])
-            if lanes:
-                turned = [flat] + [mix(flat + np.uint64(i * 0x9E3779B9)) for i in range(1, lanes)]
-                flat = np.stack([majority(h, size) for h in turned], 1).ravel()
-                size = np.full(len(sets), lanes)
-            values.append(flat)
-            counts.append(size)
-        places = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        lists = pa.ListArray.from_arrays(
-            pa.array(places, pa.int32()), pa.array(np.concatenate(values).view(np.int64))
-        )
-        return [pa.array(np.array(nodes, np.uint64).view(np.int64)), lists]
+def pieces_of(mask: int, count: int) -> list[int]:
+    """The bits of a mask as masks of ``count`` runs of about equal length; fewer where bits are few."""
+    places = [b for b in range(BITS) if mask >> b & 1]
+    edges = [len(places) * i // count for i in range(count + 1)]
+    return [sum(1 << b for b in places[x:y]) for x, y in itertools.pairwise(edges) if x < y]
 
-    return add_columns(docs, [T.StructField("node", T.LongType()), added], compute)
 
+def ball(mask: int, radius: int) -> list[int]:
+    """All ways to turn up to ``radius`` of the bits of a mask."""
+    places = [b for b in range(BITS) if mask >> b & 1]
+    chosen = itertools.chain.from_iterable(itertools.combinations(places, n) for n in range(radius + 1))
+    return [sum(1 << b for b in some) for some in chosen]
 
-def segment_balls(bits: int = 64, segments: int = 2) -> list[int]:
-    """Masks (as signed 64-bit values) of the balls of radius 1 in each segment."""
-    width = bits // segments
-    masks = {0}
-    for segment in range(segments):
-        masks |= {1 << bit for bit in range(segment * width, (segment + 1) * width)}
-    return sorted(m - (1 << 64) if m >> 63 else m for m in masks)
 
+def segment_count(rows: int, max_distance: int) -> int:
+    """Segments about as wide as the logarithm of the rows, so that a value has few fingerprints by chance.
 
-def close_links(fingerprints: DataFrame, max_distance: int = 2) -> DataFrame:
-    """Links (a, b) that join all distinct values of ``fingerprint`` within 0 to 2 bits.
-
-    Any two fingerprints within ``max_distance`` share a bucket; each is linked to
-    the one before it there, so all of a bucket are joined.
+    One more than the distance is enough: then the balls have radius 0.
     """
-    if not 0 <= max_distance <= 2:
-        raise ValueError("balls of radius 1 reach distances up to 2")
-    probes = fingerprints.select(
-        "fingerprint", F.explode(F.array(*[F.lit(m).cast("bigint") for m in segment_balls()])).alias("m")
-    ).select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("m")).alias("bucket"))
-    if max_distance < 2:
-        # At distance 1 the bucket is one of the two, so each probe is compared with it alone.
-        pairs = probes.where("fingerprint <> bucket").join(
-            fingerprints.select(F.col("fingerprint").alias("bucket")), "bucket"
-        )
-        return pairs.where(F.lit(max_distance == 1)).select(
-            F.col("fingerprint").alias("a"), F.col("bucket").alias("b")
-        )
-    before = F.lag("fingerprint").over(Window.partitionBy("bucket").orderBy("fingerprint"))
-    return (
-        probes.select(F.col("fingerprint").alias("a"), before.alias("b"))
-        .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
-        .distinct()
-    )
-
+    width = max(1, math.ceil(math.log2(max(rows, 2))))
+    return max(1, min(BITS // width, max_distance + 1))
 
-def sampled_segments(bits: int, width: int, count: int) -> np.ndarray:
-    """Bit places of ``count`` segments: permutations of all bits, cut into pieces of ``width``."""
-    draw = np.random.default_rng(SEED)
-    pieces: list[np.ndarray] = []
-    while len(pieces) < count:
-        order = draw.permutation(bits)
-        pieces += [order[i : i + width] for i in range(0, bits - width + 1, width)]
-    return np.stack(pieces[:count])
 
+def _keyed(rows: DataFrame, masks: list[int], turns: dict[int, list[int]]) -> DataFrame:
+    """Rows (mask, value, fingerprint): under each mask, with each way to turn its bits."""
+    ways = [
+        F.struct(F.lit(_signed(m)).cast("bigint").alias("mask"), F.lit(_signed(t)).cast("bigint").alias("turn"))
+        for m in masks for t in turns[m]
+    ]
+    probes = rows.select("fingerprint", F.explode(F.array(*ways)).alias("way"))
+    turned = F.col("fingerprint").bitwiseXOR(F.col("way.turn"))
+    return probes.select(
+        F.col("way.mask").alias("mask"), turned.bitwiseAND(F.col("way.mask")).alias("value"),
+        turned.alias("turned"), "fingerprint",
+    )
 
-def _probes(nodes: DataFrame, bits: int, places: np.ndarray) -> DataFrame:
-    """Each fingerprint under the value of each segment; ``places`` has the bits of a segment in a row.
-
-    Gives (bucket, node, root, x, y); x and y are the first two parts of the fingerprint.
-    """
-    segments, width = places.shape
-    weights = np.zeros((bits, segments))
-    for s in range(segments):
-        weights[places[s], s] = 2.0 ** np.arange(width)
-    columns = [nodes.columns.index(n) for n in ("lanes", "node", "root")]
-
-    def probe(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                flat = batch.column(columns[0]).flatten().to_numpy(zero_copy_only=False)
-                lanes = flat.reshape(batch.num_rows, bits // 64)
-                ones = np.unpackbits(
-                    flat.view(np.uint8).reshape(batch.num_rows, bits // 8), axis=1,
-                    bitorder="little",
-                )
-                keys = (ones.astype(np.float64) @ weights).astype(np.int64)
-                keys += np.arange(segments, dtype=np.int64) << width
-                every = np.repeat(np.arange(batch.num_rows), segments)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), *(batch.column(c).take(pa.array(every)) for c in columns[1:]),
-                     *(pa.array(lanes[every, lane]) for lane in (0, 1))],
-                    names=["bucket", "node", "root", "x", "y"],
-                )
-
-    return nodes.mapInArrow(probe, "bucket bigint, node bigint, root bigint, x bigint, y bigint")
-
-
-def _whole_buckets(batches):
-    """Columns of rows sorted by bucket, so that no bucket is divided."""
-    parts: list[list[np.ndarray]] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
-        if parts and (cut or parts[-1][0][-1] != columns[0][-1]):
-            parts.append([c[:cut] for c in columns])
-            yield [np.concatenate(c) for c in zip(*parts, strict=True)]
-            parts = []
-        elif cut:
-            yield [c[:cut] for c in columns]
-        parts.append([c[cut:] for c in columns])
-    if parts:
-        yield [np.concatenate(c) for c in zip(*parts, strict=True)]
-
-
-def _pair_ranges(first: np.ndarray, last: np.ndarray):
-    """Row numbers (i, j) for every j from first[i] to last[i], some 2^20 at a time."""
-    count = last - first
-    total = np.cumsum(count)
-    low = 0
-    while low < len(count):
-        done = total[low - 1] if low else 0
-        high = max(int(np.searchsorted(total, done + (1 << 20), "right")), low + 1)
-        n = count[low:high]
-        i = np.repeat(np.arange(low, high), n)
-        yield i, first[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-        low = high
-
-
-def _met(nodes: DataFrame, bits: int, places: np.ndarray, near: int, neighbours: bool) -> DataFrame:
-    """Pairs (a, b) of different groups in a bucket that are within ``near`` of the first 128 bits.
-
-    All pairs, or with ``neighbours`` each row with the one before in an order of
-    the bucket's own. Rows of one group are never paired, so a hot group costs a
-    bucket only its rows times the rows of other groups.
-    """
-    probes = _probes(nodes, bits, places)
-    order = F.xxhash64("bucket", "node") if neighbours else F.col("root")
-
-    def meet(batches):
-        for bucket, node, root, x, y in _whole_buckets(batches):
-            x, y = x.view(np.uint64), y.view(np.uint64)  # of signed values, numpy counts the bits of the amount
-            rows = np.arange(len(bucket))
-            new = bucket[1:] != bucket[:-1]
-            end = np.append(np.flatnonzero(new) + 1, len(bucket))
-            last = end[np.searchsorted(end, rows, "right")]
-            if neighbours:
-                first, last = rows + 1, np.minimum(rows + 2, last)
-            else:
-                run = np.append(np.flatnonzero(new | (root[1:] != root[:-1])) + 1, len(bucket))
-                first = run[np.searchsorted(run, rows, "right")]
-            for i, j in _pair_ranges(first, last):
-                apart = np.bitwise_count(x[i] ^ x[j]) + np.bitwise_count(y[i] ^ y[j])
-                hit = (apart <= near) & (root[i] != root[j])
-                a, b = node[i[hit]], node[j[hit]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-                )
-
-    dealt = probes.repartition("bucket").sortWithinPartitions("bucket", order)
-    return dealt.mapInArrow(meet, "a bigint, b bigint").distinct()
-
-
-def similar_links(
-    nodes: DataFrame, bits: int, share: float, verify: Callable[[DataFrame], DataFrame],
-    width: int = 26, leading: int = 16,
-) -> DataFrame:
-    """Links (a, b) between distinct ``node`` values that ``verify`` leaves of the candidates.
 
-    Candidates have ``lanes`` of which about a ``share`` of the bits differ, or fewer.
-    In the buckets of ``leading`` segments of ``width`` bits neighbours are compared,
-    which joins most of a large group. Then every pair of different groups in each
-    bucket of the tables of ``segment_plan`` is.
-    """
-    spark = nodes.sparkSession
-    path = new_scratch_dir(spark, "similar-links")
-    near = distance_at(share, 128)
-    alone = nodes.withColumn("root", F.col("node"))
-    pairs = _met(alone, bits, sampled_segments(bits, width, leading), near, neighbours=True)
-    verify(pairs).write.parquet(path)
-    links = spark.read.parquet(path)
-
-    connected(links).write.parquet(f"{path}-roots")
-    roots = spark.read.parquet(f"{path}-roots")
-    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    places = sampled_segments(bits, *segment_plan(nodes.count(), bits, share))
-    pairs = _met(grouped, bits, places, near, neighbours=False)
-    verify(pairs).write.parquet(f"{path}-others")
-    return links.union(spark.read.parquet(f"{path}-others"))
+def _split(rows: DataFrame, finer: list[tuple[int, int]]) -> DataFrame:
+    """The rows under each of their masks with each piece of its free bits; ``finer`` has (mask, finer mask)."""
+    pairs = [(_signed(m), _signed(f)) for m, f in finer]
+    wider = rows.sparkSession.createDataFrame(pairs, "mask bigint, finer bigint")
+    cut = rows.join(F.broadcast(wider), "mask")  # a few masks at each depth, whatever the rows
+    value = F.col("turned").bitwiseAND(F.col("finer")).alias("value")
+    return cut.select(F.col("finer").alias("mask"), value, "turned", "fingerprint")
+
+
+def close_links(fingerprints: DataFrame, max_distance: int = 2, segments: int | None = None) -> DataFrame:
+    """All pairs (a, b) of distinct values of ``fingerprint`` that differ in ``max_distance`` bits or fewer."""
+    if not 0 <= max_distance < BITS:
+        raise ValueError("a distance is from 0 to 63 bits")
+    spark = fingerprints.sparkSession
+    path = new_scratch_dir(spark, "close-links")
+    m = segments or segment_count(fingerprints.count(), max_distance)
+    masks = pieces_of((1 << BITS) - 1, m)
+    table = _keyed(fingerprints, masks, {mask: [0] for mask in masks})
+    probes = _keyed(fingerprints, masks, {mask: ball(mask, max_distance // m) for mask in masks})
+    # Without turned bits a fingerprint alone in its bucket meets none.
+    least = 1 if max_distance // m else 2
+    bucket, apart = ["mask", "value"], F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    depth = 0
+    while True:
+        sizes = table.groupBy(*bucket).agg(F.count("*").alias("n"))
+        sizes.where(F.col("n") >= least).write.parquet(f"{path}/{depth}/sizes")
+        sizes = spark.read.parquet(f"{path}/{depth}/sizes")
+        # With so few free bits a bucket holds no more distinct fingerprints than that.
+        few_bits = F.bit_count("mask") >= BITS - int(math.log2(BUCKET))
+        small = (F.col("n") <= BUCKET) | few_bits
+        index = table.join(sizes.where(small).select(*bucket), bucket).select(*bucket, F.col("fingerprint").alias("b"))
+        seen = probes.select(*bucket, F.col("fingerprint").alias("a")).join(index, bucket)
+        pairs = seen.where((F.col("a") < F.col("b")) & (apart <= max_distance)).select("a", "b").distinct()
+        pairs.write.parquet(f"{path}/links/depth={depth}")
+        large = sizes.where(~small).select(*bucket)
+        if large.isEmpty():
+            break
+        table.join(large, bucket).write.parquet(f"{path}/{depth}/table")
+        probes.join(large, bucket).write.parquet(f"{path}/{depth}/probes")
+        left = [r["mask"] % (1 << BITS) for r in large.select("mask").distinct().collect()]
+        finer = [(m, m | p) for m in left for p in pieces_of(((1 << BITS) - 1) & ~m, max_distance + 1)]
+        table, probes = (
+            _split(spark.read.parquet(f"{path}/{depth}/{kind}"), finer) for kind in ("table", "probes")
+        )
+        depth += 1
+    return spark.read.parquet(f"{path}/links").select("a", "b").distinct()
+
+
+def _roots(rows: DataFrame, max_distance: int) -> DataFrame:
+    """Each distinct ``fingerprint`` of the rows (id, fingerprint) with ``root`` and ``component_id``."""
+    spark = rows.sparkSession
+    path = new_scratch_dir(spark, "simhash-roots")
+    nodes = rows.groupBy("fingerprint").agg(F.min("id").alias("first"))
+    nodes.write.parquet(f"{path}/nodes")
+    nodes = spark.read.parquet(f"{path}/nodes")
+    linked = connected(close_links(nodes.select("fingerprint"), max_distance))
+    known = nodes.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    known = known.withColumn("root", F.coalesce("root", "fingerprint"))
+    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Read from a table, a later join meets two plain shuffles and Spark can split a hot fingerprint.
+    known.join(least, "root").select("fingerprint", "root", "component_id").write.parquet(f"{path}/roots")
+    return spark.read.parquet(f"{path}/roots")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       ngram: int = 3) -> DataFrame:
+                       ngram: int = 3, max_distance: int = 2) -> DataFrame:
     """``id_col`` of each row with ``fingerprint`` (bigint) and ``component_id``.
 
-    Rows whose fingerprints are within 2 bits are linked; ``component_id`` is the
-    smallest id that links reach, null if all of them are null. Texts that are
+    Rows whose fingerprints are within ``max_distance`` bits are linked; ``component_id`` is
+    the smallest id that links reach, null if all of them are null. Texts that are
     null, empty or blank have fingerprint 0 and link like any other. Repeated
     rows and ids give a row each. Other columns are not returned.
     """
     spark = docs.sparkSession
     path = new_scratch_dir(spark, "simhash")
     with_fingerprints(
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", ngram
-    ).select("_id", F.col("lanes")[0].alias("fingerprint")).write.parquet(path)
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", ngram
+    ).select("id", F.col("lanes")[0].alias("fingerprint")).write.parquet(path)
     rows = spark.read.parquet(path)
-    nodes = rows.groupBy("fingerprint").agg(F.min("_id").alias("first"))
-    roots = connected(close_links(nodes.select("fingerprint")))
-    linked = roots.join(nodes, roots["node"] == nodes["fingerprint"])
-    least = linked.groupBy("root").agg(F.min("first").alias("reached"))
-    reached = linked.join(least, "root").select("node", "reached")
-    component = nodes.join(reached, nodes["fingerprint"] == reached["node"], "left").select(
-        "fingerprint", F.coalesce("reached", "first").alias("component_id")
-    )
-    # Read from a table, the join meets two plain shuffles and Spark can split a hot fingerprint.
-    component.write.parquet(f"{path}-components")
-    component = spark.read.parquet(f"{path}-components")
-    return rows.join(component, "fingerprint").select(
-        F.col("_id").alias(id_col), "fingerprint", "component_id"
+    return rows.join(_roots(rows, max_distance), "fingerprint").select(
+        F.col("id").alias(id_col), "fingerprint", "component_id"
     )
 
 
@@ -357,100 +241,31 @@ def hex_digits(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def share_at(similarity: float) -> float:
-    """The share of bits in which two texts of this Jaccard similarity are expected to differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def distance_at(share: float, bits: int, deviations: float = 4.5) -> int:
-    """A distance that few pairs exceed of which this share of the bits is expected to differ."""
-    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
-
-
-def segment_plan(rows: int, bits: int, share: float, miss: float = 0.01) -> tuple[int, int]:
-    """Width and number of segments.
-
-    A bucket holds some eight rows that meet by chance. A pair two deviations
-    farther apart than expected shares no segment with probability ``miss``.
-    """
-    width = max(12, round(math.log2(max(rows, 1))) - 3)
-    apart = distance_at(share, bits, 2)
-    alike = math.comb(bits - apart, width) / math.comb(bits, width)
-    return width, math.ceil(math.log(miss) / math.log(1 - alike))
-
-
-def _alike(
-    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, ngram: int, similarity: float
-) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles have this Jaccard similarity or more.
-
-    ``nodes`` names a ``_row`` of ``texts`` for each node. Sets are made only for
-    the nodes of a pair.
-    """
-    spark = pairs.sparkSession
-    path = new_scratch_dir(spark, "shingle-sets")
-    pairs.write.parquet(f"{path}-pairs")
-    pairs = spark.read.parquet(f"{path}-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = nodes.join(wanted.hint("merge"), "node", "left_semi").select("_row")
-    found = texts.join(chosen.hint("merge"), "_row", "left_semi").dropDuplicates(["_row"])
-    with_shingle_sets(found.select("_text"), "_text", ngram).select("node", "shingles").write.parquet(path)
-    sets = spark.read.parquet(path)
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-        .where(both / (F.size("x") + F.size("y") - both) >= similarity)
-        .select("a", "b")
-    )
-
-
 def one_of_each(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    ngram: int = 5,
-    similarity: float = 0.8,
-    lanes: int = 4,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 3, max_distance: int = 2
 ) -> DataFrame:
-    """The documents, with one row left of each group of near-duplicates.
+    """The documents, with one row left of each component of ``simhash_components``.
 
-    Texts are linked if the Jaccard similarity of their shingles, checked exactly, is
-    ``similarity`` or more; a group is all that links reach, and the row with
-    the smallest id stays (null ids come last; ties by a hash of the whole row).
-    Rows repeated in full count once. Texts without words form one group. All
-    columns are returned as they are; an empty table stays empty.
+    The row with the smallest id stays; null ids come last, and of rows of one id the one that
+    stands first in the input. Texts without words are one component. All columns are
+    returned as they are, whatever their names; an empty table stays empty.
     """
     spark = docs.sparkSession
     path = new_scratch_dir(spark, "near-duplicates")
-    whole_row = F.xxhash64(*[docs[c] for c in docs.columns])
-    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), whole_row.alias("_row"),
-                        F.col(text_col).alias("_text"))
-    with_shingle_sets(texts, "_text", ngram, lanes).select("_id", "_row", "lanes", "node").write.parquet(path)
-    rows = spark.read.parquet(path)
-    choice = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
-    nodes = rows.groupBy("node").agg(
-        F.any_value("lanes").alias("lanes"), choice.alias("choice")
-    )
-    node_path = f"{path}-nodes"
-    nodes.write.parquet(node_path)
-    nodes = spark.read.parquet(node_path)
-    chosen = nodes.select("node", F.col("choice._row").alias("_row"))
-    links = similar_links(
-        nodes.select("node", "lanes"), 64 * lanes, share_at(similarity),
-        lambda pairs: _alike(pairs, chosen, texts.select("_row", "_text"), ngram, similarity),
-    )
-    roots = connected(links)
-    kept = (
-        nodes.join(roots, "node", "left")
-        .groupBy(F.coalesce("root", "node").alias("root"))
-        .agg(F.min("choice").alias("choice"))
-        .select(F.col("choice._row").alias("_row"))
-    )
-    marked = docs.select("*", whole_row.alias("_row"))
-    # Always a sort-merge join, on which the last step needs no further shuffle.
-    return (
-        marked.join(kept.hint("merge"), "_row", "left_semi")
-        .dropDuplicates(["_row"]).select(docs.columns)
-    )
+    lower = [c.lower() for c in docs.columns]
+    names = [f"c{i}" for i in range(len(lower))]
+    id_, text = (names[lower.index(c.lower())] for c in (id_col, text_col))
+    with_fingerprints(docs.toDF(*names), text, ngram).select(
+        *names, F.col("lanes")[0].alias("fingerprint"), F.monotonically_increasing_id().alias("row")
+    ).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    ids = rows.select(F.col(id_).alias("id"), "fingerprint", "row")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    grouped = ids.join(_roots(ids, max_distance), "fingerprint").select("root", "row", order.alias("place"))
+    grouped.write.parquet(f"{path}/groups")
+    grouped = spark.read.parquet(f"{path}/groups")
+    chosen = grouped.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row").alias("row"))
+    # The rows that go are few beside those that stay, so these move only where the former are many.
+    gone = grouped.select("row").join(chosen, "row", "left_anti")
+    gone.write.parquet(f"{path}/gone")
+    return rows.join(spark.read.parquet(f"{path}/gone"), "row", "left_anti").select(*names).toDF(*docs.columns)

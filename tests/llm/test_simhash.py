@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -69,23 +70,32 @@ def test_against_all_pairs(spark):
     assert sh.simhash_components(frame.limit(0)).count() == 0
 
 
-def test_close_links_find_every_pair(spark):
+@pytest.mark.parametrize("segments, bucket", [(None, 256), (1, 256), (2, 16), (None, 16)])
+def test_close_links_are_all_pairs_in_reach(spark, monkeypatch, segments, bucket):
+    """Whatever the number of segments, and also where many share the value of one."""
+    monkeypatch.setattr(sh, "BUCKET", bucket)
     rng = random.Random(5)
     values = {rng.getrandbits(64) for _ in range(30)}
     for v in list(values):
         for _ in range(8):
-            flips = rng.sample(range(64), rng.randrange(1, 4))
+            flips = rng.sample(range(64), rng.randrange(1, 5))
             values.add(v ^ sum(1 << f for f in flips))
+    values |= {0xFFFF_FFFF_FFFF_0000 | rng.getrandbits(16) for _ in range(60)}
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     frame = spark.createDataFrame([(signed(v),) for v in values], "fingerprint bigint")
-    for most in (0, 1, 2):
-        links = {(a, b) for a, b in sh.close_links(frame, most).collect()}
-        assert all(((a ^ b) & (2**64 - 1)).bit_count() <= most for a, b in links)
-        roots = {r["node"]: r["root"] for r in connected(sh.close_links(frame, most)).collect()}
-        for a in values:
-            for b in values:
-                if a != b and (a ^ b).bit_count() <= most:
-                    assert roots[signed(a)] == roots[signed(b)]
+    for most in (0, 2, 3) if bucket == 256 and not segments else (2,):
+        want = {(signed(a), signed(b)) for a in values for b in values
+                if signed(a) < signed(b) and (a ^ b).bit_count() <= most}
+        got = [tuple(r) for r in sh.close_links(frame, most, segments).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_balls_and_segments():
+    masks = sh.pieces_of((1 << 64) - 1, 3)
+    assert sum(masks) == (1 << 64) - 1 and [m.bit_count() for m in masks] == [21, 21, 22]
+    assert len(sh.ball(masks[0], 2)) == 1 + 21 + 21 * 20 // 2
+    assert {b & ~masks[1] for b in sh.ball(masks[1], 1)} == {0}
+    assert [sh.segment_count(n, 2) for n in (0, 10**6, 10**8, 10**10, 10**12)] == [3, 3, 2, 1, 1]
 
 
 def test_components(spark):
@@ -108,25 +118,20 @@ def test_majority():
 
 
 def test_one_of_each(spark):
-    rng = random.Random(7)
-    docs = []
-    for base in range(12):
-        w = [f"w{rng.randrange(4000)}" for _ in range(300)]
-        docs.append((100 * base, " ".join(w)))
-        for copy in range(1, 8):
-            v = list(w)
-            for _ in range(copy % 3 * 2):
-                v[rng.randrange(len(v))] = "zz"
-            docs.append((100 * base + copy, " ".join(v)))
-    docs += [(5000, None), (5001, ""), (None, None), (5002, "a b"), (5002, "a b"), (None, "c d")]
+    docs = texts()
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").withColumns(
-        {"node": F.lit(1), "Rank": F.lit(2), "lanes": F.lit("x")}
+        {"node": F.lit(1), "Rank": F.lit(2), "lanes": F.lit("x"), "_row": F.lit(1), "fingerprint": F.lit(0), "c0": F.lit(0)}
     )
     out = sh.one_of_each(frame)
     assert out.columns == frame.columns
-    ids = sorted((r["doc_id"] for r in out.collect()), key=str)
-    assert ids == sorted([*(100 * b for b in range(12)), 5000, 5002, None], key=str)
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted((d for d, _ in got), key=str) == sorted({c for *_, c in plain_components(docs)}, key=str)
+    assert set(got) <= set(docs)
     assert sh.one_of_each(frame.limit(0)).count() == 0
+    ids = spark.createDataFrame([(None, "a"), (None, "a"), (7, "b b"), (7, "B B"), (3, None)], "doc_id bigint, text string")
+    assert sorted((tuple(r) for r in sh.one_of_each(ids.coalesce(1)).collect()), key=str) == [
+        (3, None), (7, "b b"), (None, "a"),
+    ]
 
 
 def test_query(spark, data):
@@ -134,51 +139,3 @@ def test_query(spark, data):
             .select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in op4_simhash(spark, data).collect()), key=str)
     assert got == plain_components(docs)
-
-
-def test_all_groups_of_a_bucket_meet(spark):
-    """A row between two like ones hides no pair, nor does the lead of a group its other members."""
-    rng = random.Random(11)
-    turn = lambda v, n: v ^ sum(1 << b for b in rng.sample(range(64, 256), n))
-    far = [rng.getrandbits(192) << 64 for _ in range(60)]
-    values = far + [turn(v, 3) for v in far]  # all share the bits 0 to 63
-    signed = lambda v: v - (1 << 64) if v >> 63 else v
-    lanes = [[signed(v >> 64 * k & (2**64 - 1)) for k in range(4)] for v in values]
-    order = rng.sample(range(120), 120)
-    frame = spark.createDataFrame(
-        [(order[i], lane, i % 7) for i, lane in enumerate(lanes)],
-        "node bigint, lanes array<bigint>, root bigint",
-    )
-    places = np.arange(26)[None]
-    got = {tuple(r) for r in sh._met(frame, 256, places, 128, neighbours=False).collect()}
-    want = {tuple(sorted((order[i], order[j]))) for i in range(120) for j in range(i)
-            if i % 7 != j % 7}
-    assert got == want
-    near = {tuple(r) for r in sh._met(frame.withColumn("root", F.col("node")), 256, places, 3,
-                                      neighbours=False).collect()}
-    assert {tuple(sorted((order[i], order[i + 60]))) for i in range(60)} <= near
-
-
-def test_lone_pairs_at_the_limit_share_a_bucket(spark):
-    """Of pairs whose bits differ as at similarity 0.8, nearly all meet, however many rows there are."""
-    draw = np.random.default_rng(3)
-    n, share = 1500, sh.share_at(0.8)
-    for rows in (200, 50_000, 300_000, 10_000_000):
-        width, count = sh.segment_plan(rows, 256, share)
-        places = sh.sampled_segments(256, width, count)
-        differ = draw.random((n, 256)) < share
-        assert np.mean((~differ[:, places].any(2)).any(1)) > 0.99
-    assert np.mean(draw.binomial(256, share, n) <= sh.distance_at(share, 256)) > 0.999
-
-
-def test_pairs_at_similarity_080(spark):
-    rng = random.Random(13)
-    docs = []
-    for pair in range(150):
-        w = [f"w{rng.randrange(10**6)}" for _ in range(112)]  # 108 shingles, 12 of them changed: 96 of 120
-        docs.append((2 * pair, " ".join(w)))
-        w[9], w[40], w[-2] = "x", "y", "z"
-        docs.append((2 * pair + 1, " ".join(w)))
-    left = sh.one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string"))
-    odd = left.where("doc_id % 2 = 1").count()
-    assert left.count() == 150 + odd and odd <= 3
