@@ -2,8 +2,12 @@
 
 Native: DataFrame functions only. Each line is hashed after trimming and lower
 case; a HyperLogLog sketch of the sites is kept for each line hash and merged by
-aggregation. A line whose estimate is well below ``min_sites`` stays, one well
-above goes; for lines near the threshold the sites are counted exactly.
+aggregation. A line whose estimate is well below ``min_sites`` stays; of one well above only
+the different texts that hold it are still counted; for lines near the threshold the sites
+are counted exactly.
+
+Copies of one text on many sites are one text and make none of its lines boilerplate: a line
+goes if it stands on ``min_sites`` sites and in as many different texts.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def wide_lines(docs: DataFrame, min_sites: int) -> DataFrame:
-    """(hash, doc) of lines on ``min_sites`` sites or more, once for each text that has one."""
+    """(hash, doc) of lines on ``min_sites`` sites, in as many texts, once for each text that has one."""
     spark = docs.sparkSession
     path = new_scratch_dir(spark, "line-sites")
     lines = _lines(docs)
@@ -57,11 +61,14 @@ def wide_lines(docs: DataFrame, min_sites: int) -> DataFrame:
         places.where(F.col("estimate") < high).select("hash", "site").distinct()
         .groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
     )
-    sure = places.where(F.col("estimate") >= high)
-    found = sure.select("hash", "doc").union(
-        places.where(F.col("estimate") < high).join(exact, "hash", "left_semi").select("hash", "doc")
+    held = places.select("hash", "doc", (F.col("estimate") >= high).alias("sure")).distinct()
+    held.write.parquet(f"{path}/held")
+    held = spark.read.parquet(f"{path}/held")
+    texts = held.groupBy("hash", "sure").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
+    wide = texts.where("sure").select("hash").union(
+        texts.where("NOT sure").join(exact, "hash", "left_semi").select("hash")
     )
-    return found.distinct()
+    return held.join(wide, "hash", "left_semi").select("hash", "doc")
 
 
 def drop_wide_lines(
@@ -69,14 +76,13 @@ def drop_wide_lines(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = 8,
-    max_share: float = 0.5,
 ) -> DataFrame:
     """Documents without the lines that stand on ``min_sites`` sites or more.
 
     Lines are equal after trimming, joining white space and lower case. All their
-    occurrences go. A text of which more than ``max_share`` (in characters of its
-    lines) would go is a copy of others rather than a carrier of boilerplate; it is
-    left whole for the near-duplicate stages. Adds ``n_lines`` and ``n_removed``;
+    occurrences go, however much of a text that is; a text may become empty. Lines that stand
+    in fewer than ``min_sites`` different texts stay, on however many sites these are copied.
+    Adds ``n_lines`` and ``n_removed``;
     a column with the name of an added one is replaced. Empty lines are never
     removed; a null site counts as one site, a null text stays null with no lines,
     an empty one has one line; repeated rows are treated alike.
@@ -87,7 +93,7 @@ def drop_wide_lines(
     row = F.struct(*others, F.lit(0).alias("_"))
     named = docs.select(
         row.alias("_row"), F.col(text_col).alias("_text"), F.col(site_col).cast("string").alias("_site"),
-        F.xxhash64(text_col).alias("_doc"),
+        F.struct(F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit("text"), text_col).alias("b")).alias("_doc"),
     )
     path = new_scratch_dir(docs.sparkSession, "line-removals")
     wide_lines(named.select("_text", "_site", "_doc"), min_sites).groupBy(
@@ -99,19 +105,14 @@ def drop_wide_lines(
         parts,
         lambda line: (_normal(line) == "") | ~F.array_contains("_gone", _hash(_normal(line))),
     )
-    size = lambda lines: F.length(F.array_join(lines, ""))
     # Always a sort-merge join: one plan, whether few texts carry wide lines or most do.
     joined = named.join(removals.hint("merge"), "_doc", "left").withColumn(
         "_kept", F.when(F.col("_gone").isNotNull(), kept)
     )
-    carrier = F.col("_kept").isNotNull() & (
-        size(parts) - size(F.col("_kept")) <= F.lit(max_share) * size(parts)
-    )
-    text = F.when(carrier, F.array_join("_kept", "\n")).otherwise(F.col("_text"))
-    total = F.when(
-        F.col("_text").isNull(), 0
-    ).otherwise(F.size(parts))
-    removed = F.when(carrier, F.size(parts) - F.size("_kept")).otherwise(0)
+    changed = F.col("_kept").isNotNull()
+    text = F.when(changed, F.array_join("_kept", "\n")).otherwise(F.col("_text"))
+    total = F.when(F.col("_text").isNull(), 0).otherwise(F.size(parts))
+    removed = F.when(changed, F.size(parts) - F.size("_kept")).otherwise(0)
     return joined.select(
         *[(text if c.lower() == text_col.lower() else F.col("_row")[c]).alias(c) for c in names],
         total.cast("bigint").alias("n_lines"), removed.cast("bigint").alias("n_removed"),

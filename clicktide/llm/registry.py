@@ -23,8 +23,8 @@ URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"),
 ]
-#: A line on so many sites is boilerplate, unless it would take more of a text than this share.
-MIN_SITES, MAX_SHARE = 8, 0.5
+#: A line on so many sites, in as many different texts, is boilerplate.
+MIN_SITES = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return drop_wide_lines(docs, min_sites=MIN_SITES, max_share=MAX_SHARE).drop("source")
+    return drop_wide_lines(docs, min_sites=MIN_SITES).drop("source")
 
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,25 +169,24 @@ ORACLES: dict[str, str] = {
         FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
     "op5_line_sites": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, * FROM documents),
-        parts AS (SELECT r, source, string_split(text, chr(10)) AS lines FROM docs),
+        parts AS (SELECT r, source, text, string_split(text, chr(10)) AS lines FROM docs),
         lines AS (
-            SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS nth FROM parts),
+            SELECT r, source, text, unnest(lines) AS line, unnest(range(len(lines))) AS nth FROM parts),
         normal AS (
             SELECT *, lower(trim(regexp_replace(line, '\\s+', ' ', 'g'))) AS norm FROM lines),
         wide AS (
             SELECT norm FROM normal WHERE norm <> ''
-            GROUP BY norm HAVING count(DISTINCT coalesce(source, chr(0))) >= {MIN_SITES}),
+            GROUP BY norm HAVING count(DISTINCT coalesce(source, chr(0))) >= {MIN_SITES}
+               AND count(DISTINCT text) >= {MIN_SITES}),
         marked AS (SELECT normal.*, wide.norm IS NOT NULL AS gone
                    FROM normal LEFT JOIN wide ON normal.norm = wide.norm),
         sums AS (
             SELECT r, count(*) AS n, count(*) FILTER (gone) AS n_gone,
-                   coalesce(sum(length(line)) FILTER (gone), 0) <= {MAX_SHARE} * sum(length(line))
-                       AS carrier,
                    string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone) AS rest
             FROM marked GROUP BY r)
         SELECT doc_id, coalesce(n, 0) AS n_lines,
-               coalesce(CASE WHEN carrier THEN n_gone END, 0) AS n_removed,
-               CASE WHEN carrier AND n_gone > 0 THEN coalesce(rest, '') ELSE text END AS text
+               coalesce(n_gone, 0) AS n_removed,
+               CASE WHEN n_gone > 0 THEN coalesce(rest, '') ELSE text END AS text
         FROM docs LEFT JOIN sums USING (r)""",
     "op7_url_filter": f"""
         WITH rules(h, p, v) AS (VALUES {_RULE_ROWS}),

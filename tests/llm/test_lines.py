@@ -15,22 +15,18 @@ def normal(line):
     return re.sub(r"[ \t\n\x0b\f\r]+", " ", line).strip(" ").lower()
 
 
-def plain(docs, min_sites, max_share=0.5):
-    sites = defaultdict(set)
+def plain(docs, min_sites):
+    sites, texts = defaultdict(set), defaultdict(set)
     for _, text, site in docs:
         for line in (text or "").split("\n"):
             sites[normal(line)].add(site)
-    wide = {n for n, s in sites.items() if n and len(s) >= min_sites}
+            texts[normal(line)].add(text)
+    wide = {n for n, s in sites.items() if n and len(s) >= min_sites and len(texts[n]) >= min_sites}
     out = []
     for doc, text, site in docs:
         lines = [] if text is None else text.split("\n")
         kept = [x for x in lines if normal(x) not in wide]
-        size = sum(map(len, lines))
-        if size - sum(map(len, kept)) <= max_share * size:
-            out.append((doc, site, None if text is None else "\n".join(kept), len(lines),
-                        len(lines) - len(kept)))
-        else:
-            out.append((doc, site, text, len(lines), 0))
+        out.append((doc, site, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=str)
 
 
@@ -58,6 +54,16 @@ def test_against_plain(spark, min_sites):
     assert sorted((tuple(r) for r in out.collect()), key=str) == plain(docs, min_sites)
 
 
+def test_a_notice_longer_than_the_own_text_goes(spark):
+    notice = "We and our partners use cookies and similar methods; read on and agree to all of them."
+    docs = [(i, f"Own words {i} of a short page.\n{notice}", f"s{i}") for i in range(12)]
+    docs += [(100 + i, "one text\nof two lines", f"s{i}") for i in range(12)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in drop_wide_lines(frame).collect()}
+    assert all(out[i] == (f"Own words {i} of a short page.", 1) for i in range(12))
+    assert all(out[100 + i] == ("one text\nof two lines", 0) for i in range(12))
+
+
 def test_edges(spark):
     frame = spark.createDataFrame(corpus(), "doc_id bigint, text string, source string").withColumns(
         {"N_Lines": F.lit("x"), "hash": F.lit(1), "_doc": F.lit(2), "site": F.lit(3), "line": F.lit(4)}
