@@ -21,8 +21,7 @@ from clicktide.session import new_scratch_dir, set_local_scratch
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 MIN_SITES = 8
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
+SHINGLE_WORDS, MAX_DISTANCE = 3, 2
 SEQUENCE_TOKENS = 1024
 
 
@@ -46,8 +45,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return one_of_each(docs, ngram=SHINGLE_WORDS, similarity=SIMILARITY)
+    """One document of each group of near-duplicates by SimHash stays."""
+    return one_of_each(docs, ngram=SHINGLE_WORDS, max_distance=MAX_DISTANCE)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
