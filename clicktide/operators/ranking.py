@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Up to this k Spark cuts every input partition to k rows per group before the shuffle.
-PRE_CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Hexadecimal digits of a draw that tell its bucket.
+BUCKET_DIGITS = 3
 
 
 def first_k(
@@ -14,21 +14,27 @@ def first_k(
 ) -> DataFrame:
     """Rows of rank 1..k in each group, with the rank in ``rank_col``.
 
-    A group may hold most of the input. For small k the map-side cut of Spark
-    keeps the shuffle at k rows per group and task. Beyond the k up to which this
-    session has that cut, the rows of a group are first ranked in as many shares
-    as there are shuffle partitions, and the k best of all shares contain the k
-    best of the group.
+    A group may hold most of the input; Spark keeps the shuffle at k rows per group and
+    task for small k.
     """
-    conf = df.sparkSession.conf
-    if k > int(conf.get(PRE_CUT_SETTING)):
-        share = F.pmod(F.xxhash64(*df.columns), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
-        in_share = Window.partitionBy(*keys, "_share").orderBy(*order)
-        df = (
-            df.withColumn("_share", share)
-            .withColumn("_share_rank", F.row_number().over(in_share))
-            .where(F.col("_share_rank") <= k)
-            .drop("_share", "_share_rank")
-        )
     in_group = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(in_group)).where(F.col(rank_col) <= k)
+
+
+def least_draws(df: DataFrame, quotas: DataFrame, key: str, draw: str, tie: str) -> DataFrame:
+    """The rows of each group with the least draws, as many as its ``quota``.
+
+    ``draw`` is a hash as hexadecimal text, so draws are spread evenly. They are counted by their
+    first digits; only rows up to the bucket in which the quota is reached are ranked, some
+    quota and a 4096th of the group. Groups without a quota, or of less than 1, have none.
+    """
+    placed = df.withColumn("_bucket", F.substring(draw, 1, BUCKET_DIGITS))
+    up_to = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(up_to), F.lit(0)))
+    bound = before.join(quotas, key).where(F.col("_before") < F.col("quota")).groupBy(key).agg(
+        F.max("_bucket").alias("_last"), F.max("quota").alias("quota")
+    )
+    near = placed.join(bound, key).where(F.col("_bucket") <= F.col("_last"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(draw, tie))
+    return near.withColumn("rn", rank).where(F.col("rn") <= F.col("quota")).select(df.columns)

@@ -13,7 +13,7 @@ from clicktide.functions.columns import (
     percent_1dp,
     session_action_kind,
 )
-from clicktide.operators.ranking import first_k
+from clicktide.operators.ranking import least_draws
 from clicktide.operators.skew import row_chunks
 
 
@@ -183,15 +183,10 @@ def sampled_session_ids(actions: DataFrame, target: int = 1000, seed: str = "0")
     has exactly the quota of each hour and is the same in every run.
     """
     hours = _session_hours(actions)
-    quotas = _quotas(hours, target).where(F.col("quota") >= 1)
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id")))
-    # No quota exceeds the target.
-    drawn = first_k(hours, ["day_hour"], [draw.asc(), F.col("session_id").asc()], target)
-    return (
-        drawn.join(quotas, "day_hour")
-        .where(F.col("rn") <= F.col("quota"))
-        .select("session_id")
-    )
+    quotas = _quotas(hours, target).select("day_hour", "quota")
+    chosen = least_draws(hours.withColumn("draw", draw), quotas, "day_hour", "draw", "session_id")
+    return chosen.select("session_id")
 
 
 def session_sample(

@@ -5,6 +5,7 @@ from math import floor
 import pytest
 from rows import actions, as_tuples, cities, products
 
+from clicktide.functions.sql import register_functions
 from clicktide.operators.areas import (
     area_product_click_count,
     area_product_click_detail,
@@ -101,3 +102,18 @@ def test_ties_at_the_edge_are_all_kept(spark):
         "area STRING, product_id BIGINT, product_name STRING, clickcount BIGINT, cityremark STRING",
     )
     assert [r[1] for r in as_tuples(area_top3_product(frame))] == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("rows", [
+    [("a", 1), ("b", 2), ("c", 3)], [("a", 5)], [("a", 1), ("b", 1)], [("", 4), (None, 2), ("x", 3), ("y", 3)],
+    [("", 4)], [(None, 1)], [("a", 7), ("b", 7), ("c", 7), ("d", 1)],
+])
+def test_city_remark_in_sql_equals_the_operator(spark, rows):
+    register_functions(spark)
+    frame = spark.createDataFrame([("n", *r) for r in rows], COUNTED)
+    frame.createOrReplaceTempView("counted")
+    found = spark.sql(
+        "SELECT area, sum(clicks) AS clickcount, city_remark(collect_list(struct(city_name, clicks))) AS cityremark"
+        " FROM counted GROUP BY area"
+    )
+    assert as_tuples(found) == as_tuples(city_remark(frame, ["area"]))
