@@ -9,6 +9,10 @@ together; what is rare in either class is therefore rated alike by both. An
 expression's value is the difference of its two log-likelihoods beyond
 ``MARGIN``; a text's is the mean over its words. A logistic fit on labelled rows
 that gave no counts turns it into a probability.
+
+The models are of order 1: the word before an expression makes its count, but no
+probability depends on it. All labelled rows outside the held-out fold give counts; only the
+rows of the logistic fit are bounded.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +36,8 @@ HELD_OUT, CALIBRATION = 0, 4
 GROUP_BYTES = 4 << 20
 MAX_ROWS = 10_000
 MAX_UNITS = 1 << 20
+#: Labels go to all tasks up to so many rows (some 50 bytes each); beyond, texts are shuffled to them.
+BROADCAST_LABELS = 1 << 20
 ADDED = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 
 
@@ -45,10 +51,19 @@ class Table(NamedTuple):
 
 
 class Model(NamedTuple):
-    table: Table
+    """Values of expressions below ``path``, in ``blocks`` of which each fits a table, and the scale."""
+
+    path: str
+    blocks: int
     slope: float
     intercept: float
 
+    def table(self, spark: SparkSession, block: int) -> Table:
+        rows = spark.read.parquet(self.path).where(F.col("block") == block).select("unit", "value").toPandas()
+        return make_table(
+            rows["unit"].to_numpy(np.int64).view(np.uint64), rows["value"].to_numpy(np.float64)
+        )
+
 
 def _place(keys: np.ndarray, bits: int) -> np.ndarray:
     return (mix(keys) >> np.uint64(64 - bits)).astype(np.int64)
@@ -95,7 +110,7 @@ def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def mean_values(table: Table, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean value over the words of each row; 0 for a row without words."""
+    """Sum of the values of the words of each row over their number; 0 for a row without words."""
     word, start, first = expressions(buf, offsets)
     total = np.concatenate([[0.0], np.cumsum(look_up(table, word) + look_up(table, start),
                                              dtype=np.float64)])
@@ -130,8 +145,9 @@ def fold_of(id_col: str) -> Column:
 def _sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> DataFrame:
     """Labelled ids that may be learnt from: (_id, toxic, calibrates, weight).
 
-    An id labelled more than once is toxic if any label says so. Of each class and
-    use about ``max_rows`` rows are drawn by a hash of their id; ``weight`` undoes it.
+    An id labelled more than once is toxic if any label says so. All rows that do not
+    calibrate are kept; of those that do, about ``max_rows`` of each class are
+    drawn by a hash of their id, and ``weight`` undoes it.
     """
     rows = (
         labels.where(F.col(label_col).isNotNull() & (fold_of(id_col) != HELD_OUT))
@@ -139,12 +155,10 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> Da
         .withColumn("calibrates", fold_of("_id") == CALIBRATION)
     )
     draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / float(1 << 30)
-    parts = []
-    for found in rows.groupBy("toxic", "calibrates").count().collect():
+    weight = F.when(~F.col("calibrates"), F.lit(1.0))
+    for found in rows.where("calibrates").groupBy("toxic").count().collect():
         share = min(1.0, max_rows / found["count"])
-        mine = (F.col("toxic") == found["toxic"]) & (F.col("calibrates") == found["calibrates"])
-        parts.append(F.when(mine & (draw < share), F.lit(1 / share)))
-    weight = F.coalesce(*parts) if parts else F.lit(None).cast("double")
+        weight = weight.when((F.col("toxic") == found["toxic"]) & (draw < share), F.lit(1 / share))
     return rows.withColumn("weight", weight).where("weight IS NOT NULL")
 
 
@@ -170,7 +184,7 @@ def _contexts(batches):
                 )
 
 
-def _values(counted: DataFrame, max_units: int) -> DataFrame:
+def _values(counted: DataFrame) -> DataFrame:
     """Units whose two log-likelihoods differ by more than the margin, with that difference."""
     kind = F.col("unit").bitwiseAND(1)
     totals = counted.groupBy(kind.alias("kind")).agg(
@@ -189,8 +203,7 @@ def _values(counted: DataFrame, max_units: int) -> DataFrame:
     return (
         counted.join(F.broadcast(totals), kind == F.col("kind"))
         .where("all_t > 0 AND all_o > 0")
-        .select("unit", value.alias("value"), (F.col("t") + F.col("o")).alias("n"))
-        .where("value <> 0").orderBy(F.desc("n"), "unit").limit(max_units)
+        .select("unit", value.alias("value")).where("value <> 0")
     )
 
 
@@ -206,39 +219,55 @@ def fit_toxicity(
     """Learn from the labelled rows outside the held-out fold.
 
     Rows whose crc32 of the id modulo 5 is 4 fit the logistic scale, 1 to 3 give the
-    counts, 0 gives nothing. ``max_rows`` bounds the rows of each class and use (as
-    drawn by hash), ``max_units`` the expressions that the model keeps: the most
-    frequent of those that differ at all. Labels with a null, and ids without a
-    document, teach nothing.
+    counts, 0 gives nothing. ``max_rows`` bounds the rows of each class that fit the scale (as
+    drawn by hash), ``max_units`` the expressions of one block of the model; a
+    larger model has more blocks. Labels with a null, and ids without a document, teach
+    nothing.
     """
-    chosen = _sample(labels, id_col, label_col, max_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(chosen), "_id"
-    )
+    spark = docs.sparkSession
+    path = new_scratch_dir(spark, "toxicity")
+    _sample(labels, id_col, label_col, max_rows).write.parquet(f"{path}/labels")
+    chosen = spark.read.parquet(f"{path}/labels")
+    if chosen.count() <= BROADCAST_LABELS:
+        chosen = F.broadcast(chosen)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id")
     pairs = rows.where("NOT calibrates").select("_text", "toxic").mapInArrow(
         _contexts, "unit bigint, before bigint, toxic int"
     ).distinct()
     counted = pairs.groupBy("unit").agg(
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")
-    ).where("t + o > 1")
-    # Read twice: for the sums of all, and for each unit.
-    path = new_scratch_dir(docs.sparkSession, "toxicity-counts")
-    counted.write.parquet(path)
-    counted = docs.sparkSession.read.parquet(path)
-    units = _values(counted, max_units).select("unit", "value").toPandas()
-    table = make_table(
-        units["unit"].to_numpy(np.int64).view(np.uint64), units["value"].to_numpy(np.float64)
     )
-    held = _with_means(rows.where("calibrates").select("_text", "toxic", "weight"), "_text", table)
+    # Read twice: for the sums of all, and for each unit.
+    counted.write.parquet(f"{path}/counts")
+    values = _values(spark.read.parquet(f"{path}/counts"))
+    values.write.parquet(f"{path}/values")
+    values = spark.read.parquet(f"{path}/values")
+    blocks = max(1, -(-values.count() // max_units))
+    # A few more expressions than the bound may fall to a block by chance.
+    block = F.pmod(F.xxhash64("unit"), F.lit(blocks)).alias("block")
+    values.select("unit", "value", block).write.parquet(f"{path}/units")
+    model = Model(f"{path}/units", blocks, 0.0, 0.0)
+    held = _with_means(rows.where("calibrates").select("_text", "toxic", "weight"), "_text", model)
     seen = held.select("mean", "toxic", "weight").toPandas()
     slope, intercept = fit_logistic(
         seen["mean"].to_numpy(np.float64), seen["toxic"].to_numpy(np.float64),
         seen["weight"].to_numpy(np.float64),
     )
-    return Model(table, slope, intercept)
+    return model._replace(slope=slope, intercept=intercept)
+
+
+def _with_means(docs: DataFrame, text_col: str, model: Model, name: str = "mean") -> DataFrame:
+    """The rows with the mean value of their words: each block of the model adds its part."""
+    kept = docs.columns
+    parts = []
+    for i in range(model.blocks):
+        parts.append(f"{name}_{i}_of_{model.blocks}")
+        docs = _with_part(docs, text_col, model.table(docs.sparkSession, i), parts[-1])
+    total = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
+    return docs.select(*[F.col(f"`{c}`") for c in kept], total.alias(name))
 
 
-def _with_means(docs: DataFrame, text_col: str, table: Table, name: str = "mean") -> DataFrame:
+def _with_part(docs: DataFrame, text_col: str, table: Table, name: str) -> DataFrame:
     column = [n.lower() for n in docs.columns].index(text_col.lower())
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -261,10 +290,13 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     added one is replaced.
     """
     clear = docs.select(*[c for c in docs.columns if c.lower() not in ("score", "predicted")])
-    means = _with_means(clear, text_col, model.table, "_mean")
-    score = 1 / (1 + F.exp(-(F.lit(model.slope) * F.col("_mean") + F.lit(model.intercept))))
+    mean = "_mean"
+    while mean in {c.lower() for c in clear.columns}:
+        mean += "_"
+    means = _with_means(clear, text_col, model, mean)
+    score = 1 / (1 + F.exp(-(F.lit(model.slope) * F.col(mean) + F.lit(model.intercept))))
     return (
         means.withColumn("score", score)
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-        .drop("_mean")
+        .drop(mean)
     )

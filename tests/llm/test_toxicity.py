@@ -60,7 +60,25 @@ def test_held_out_labels_are_not_used(spark):
     turned = [(i, 1 - t if fold(i) == 0 else t) for i, t in labels]
     two = tox.fit_toxicity(frame, spark.createDataFrame(turned, "doc_id bigint, toxic int"))
     assert (one.slope, one.intercept) == (two.slope, two.intercept)
-    assert (one.table.keys == two.table.keys).all() and (one.table.values == two.table.values).all()
+    a, b = one.table(spark, 0), two.table(spark, 0)
+    assert (a.keys == b.keys).all() and (a.values == b.values).all()
+
+
+def test_all_labelled_rows_are_counted_and_blocks_add_up(spark):
+    """A bound on the rows of the fit leaves the counts alone; many blocks score as one."""
+    docs, labels = corpus()
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("_mean", F.lit("kept"))
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    one, few = tox.fit_toxicity(frame, marks), tox.fit_toxicity(frame, marks, max_rows=10, max_units=2)
+    assert one.blocks == 1 < few.blocks
+    values = [
+        {r["unit"]: r["value"] for r in spark.read.parquet(m.path).collect()} for m in (one, few)
+    ]
+    assert values[0] == values[1]
+    few = few._replace(slope=one.slope, intercept=one.intercept)
+    a, b = ({r["doc_id"]: r["score"] for r in tox.score_toxicity(frame, m).collect()} for m in (one, few))
+    assert a == pytest.approx(b)
+    assert "_mean" in tox.score_toxicity(frame, one).columns
 
 
 @pytest.mark.parametrize("kept", [[], [0], [1]])
@@ -83,9 +101,9 @@ def test_table():
 
 def test_values_follow_the_formula(spark):
     counts = [(2 * i + i % 2, int(t), int(o)) for i, (t, o) in enumerate(
-        np.random.default_rng(4).integers(0, 60, (40, 2)) ** 2 // 40) if t + o > 1]
+        np.random.default_rng(4).integers(0, 60, (40, 2)) ** 2 // 40) if t + o]
     frame = spark.createDataFrame(counts, "unit bigint, t bigint, o bigint")
-    got = {r["unit"]: r["value"] for r in tox._values(frame, 1000).collect()}
+    got = {r["unit"]: r["value"] for r in tox._values(frame).collect()}
     want = {}
     for kind in (0, 1):
         mine = [c for c in counts if c[0] & 1 == kind]
