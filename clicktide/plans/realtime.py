@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clicktide.operators.ads import CLICK_LIMIT
 from clicktide.session import build_session
+from clicktide.sinks.keyed import KeyedStore
 from clicktide.sources.ads_log import TOPIC, ads_source, kafka_options
 from clicktide.streaming import reports
 from clicktide.streaming.gate import GateStore, accepted_stream, run_name, start_gate
@@ -35,6 +36,9 @@ def run_report(
     clicks = accepted_stream(spark, gate_store(root), **options)
     checkpoint = f"{root}/checkpoints/{name}"
     run = run_name(spark, checkpoint)
+    if name in (COUNTS, TOP3):
+        store = KeyedStore(f"{root}/{name}")
+        store.manifest.sweep(spark, "staged", *store.table.folders)
     if name == COUNTS:
         return reports.start_city_counts(clicks, f"{root}/{COUNTS}", checkpoint, run, trigger)
     if name == TOP3:

@@ -35,6 +35,11 @@ class BatchTable:
     part: str | None = None
     name: str = "rows"
 
+    @property
+    def folders(self) -> tuple[str, str]:
+        """Where the folders that states name lie."""
+        return f"{self.name}/kind=changes", f"{self.name}/kind=full"
+
     def _where(self, folder: str) -> str:
         return f"{self.path}/{folder}"
 

@@ -95,13 +95,18 @@ class GateStore:
         return sorted(int(n) for n in names if n.isdigit())
 
     def open(self, spark: SparkSession) -> int:
-        """Take over the store: the next epoch, which no other run has."""
+        """Take over the store: the next epoch, which no other run has. What a failed run left goes."""
         while True:
             epochs = self._epochs(spark)
             epoch = max(epochs, default=0) + 1
             if put_text(spark, f"{self.path}/epochs/{epoch}", ""):
                 for older in epochs[:-1]:
                     remove(spark, f"{self.path}/epochs/{older}")
+                last, state = self.log.last(spark)
+                if last >= 0:
+                    self.publish(spark, last, state)
+                tables = (self.counts, self.listed, self.inputs)
+                self.log.sweep(spark, "staged", *(f for table in tables for f in table.folders))
                 return epoch
 
     def check(self, spark: SparkSession, epoch: int) -> None:

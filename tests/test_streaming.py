@@ -142,19 +142,39 @@ def test_a_run_that_was_taken_over_fails(spark):
 def test_a_new_run_goes_on_at_the_stored_offsets(spark):
     store = GateStore(new_scratch_dir(spark, "test"), 2)
     assert store.next_offsets(spark, "ads") is None
-    put, schema = gate_batch(store, 9), "value STRING, origin STRING, place BIGINT"
+    put, schema = gate_batch(store, 100), "value STRING, origin STRING, place BIGINT"
     line = _line(("u", "a", "2024-01-01", 0))
     for number in range(5):
         rows = [(line, "ads:0", 2 * number), (line, "ads:0", 2 * number + 1), (line, f"ads:{1 + number % 2}", number)]
         put(spark.createDataFrame([*rows, ("broken", "other:7", number)], schema), number)
     assert store.next_offsets(spark, "ads") == '{"ads": {"0": 10, "1": 5, "2": 4}}'
     # Offsets that overlap what was read: only the new ones count.
-    gate_batch(store, 9, "lost checkpoint")(
+    gate_batch(store, 100, "lost checkpoint")(
         spark.createDataFrame([(line, "ads:0", at) for at in range(6, 13)], schema), 0
     )
     assert accepted_clicks(spark, store).count() == 15 + 3
 
 
+def test_what_failed_batches_leave_goes(spark, monkeypatch):
+    root = new_scratch_dir(spark, "test")
+    store = GateStore(f"{root}/gate")
+    frame = spark.createDataFrame([(_line(("u", "a", "2024-01-01", 0)),)], "value STRING")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    gate_batch(store, 4, "a")(frame, 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "commit", crash)
+        with pytest.raises(RuntimeError):
+            gate_batch(store, 4, "a")(frame, 1)
+    assert len(child_names(spark, f"{store.path}/counts/kind=changes")) == 2
+    gate_batch(store, 4, "a")(frame, 1)
+    assert len(child_names(spark, f"{store.path}/counts/kind=changes")) == 2
+    assert child_names(spark, f"{store.path}/staged") == []
+    assert as_tuples(stored_counts(spark, store)) == [("u", "a", "2024-01-01", 2)]
+
+
 def test_a_batch_of_one_user_reads_one_bucket(spark):
     store = GateStore(new_scratch_dir(spark, "test"))
     users = spark.range(200).selectExpr("CONCAT('u', id) AS user_id", "id AS click_count")
