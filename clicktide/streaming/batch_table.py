@@ -81,7 +81,8 @@ class BatchTable:
         stored = spark.read.schema(schema).option("basePath", self._where(self.name)).parquet(*paths)
         return stored.drop("kind", "tag")
 
-    def _merged(self, rows: DataFrame) -> DataFrame:
+    def merged(self, rows: DataFrame) -> DataFrame:
+        """One row for each key, with the number of its last batch in ``_at``."""
         best = {
             "sum": F.sum(self.value), "max": F.max(self.value),
             "latest": F.max_by(self.value, "_at"),
@@ -90,7 +91,7 @@ class BatchTable:
 
     def read(self, spark: SparkSession, state: dict | None, parts: Iterable[str] | None = None) -> DataFrame:
         """The table, or some parts of it."""
-        return self._merged(self.rows(spark, state, parts)).drop("_at")
+        return self.merged(self.rows(spark, state, parts)).drop("_at")
 
     def fold(self, spark: SparkSession, state: dict | None, tag: str, keep: Column | None = None) -> dict:
         """The state with full copies of the parts that changed, if they are due.
@@ -101,7 +102,7 @@ class BatchTable:
         if len(state["changes"]) < self.every:
             return state
         changed = None if keep is not None else {p for c in state["changes"] for p in c["parts"]}
-        rows = self._merged(self.rows(spark, state, changed))
+        rows = self.merged(self.rows(spark, state, changed))
         folder, parts = self._write(rows if keep is None else rows.where(keep), "full", tag)
         copies = {part: {"folder": folder} for part in parts}
         return {"changes": [], "full": copies if keep is not None else {**state["full"], **copies}}

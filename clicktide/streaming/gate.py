@@ -156,8 +156,16 @@ class _Batch:
             for table in (store.counts, store.listed, store.inputs)
         }
 
-    def _stored(self, table: BatchTable, parts: list[str]) -> DataFrame:
-        return table.read(self.spark, self.tables[table.name], parts)
+    def stored(self, fresh: DataFrame, parts: list[str]) -> DataFrame:
+        """The stored counts of the keys in ``fresh``.
+
+        ``fresh`` is read from a table, so Spark knows its size. The keys of a batch go to the
+        tasks that scan the stored counts, of which only the rows of these keys are shuffled; a
+        batch too large for that meets them in a shuffled join.
+        """
+        counts, keys = self.store.counts, list(self.store.counts.keys)
+        rows = counts.rows(self.spark, self.tables["counts"], parts)
+        return counts.merged(rows.join(fresh.select(*keys), keys, "left_semi")).drop("_at")
 
     def _put(self, table: BatchTable, rows: DataFrame) -> DataFrame:
         self.tables[table.name], written = table.put(rows, self.tables[table.name], self.number, self.tag)
@@ -196,8 +204,11 @@ class _Batch:
 
     def count(self, accepted: DataFrame, parts: list[str], limit: int) -> None:
         """Add the clicks to the stored counts, and list the users whose count was at the limit before."""
-        fresh = accepted.groupBy(*COUNT_KEYS, day_part("day").alias("part")).agg(F.count("*").alias("clicks"))
-        stored = self._stored(self.store.counts, parts)
+        path = f"{self.store.path}/staged/{self.tag}/fresh"
+        counted = accepted.groupBy(*COUNT_KEYS, day_part("day").alias("part")).agg(F.count("*").alias("clicks"))
+        counted.write.mode("overwrite").parquet(path)
+        fresh = self.spark.read.schema(counted.schema).parquet(path)
+        stored = self.stored(fresh, parts)
         # A key stored at the limit lists the user; every other key is increased.
         prior = F.coalesce("click_count", F.lit(0))
         changed = fresh.join(stored, [*COUNT_KEYS, "part"], "left").select(

@@ -155,6 +155,23 @@ def test_a_new_run_goes_on_at_the_stored_offsets(spark):
     assert accepted_clicks(spark, store).count() == 15 + 3
 
 
+def test_stored_counts_are_not_shuffled(spark):
+    """The keys of a batch meet the stored rows where these are scanned."""
+    store = GateStore(new_scratch_dir(spark, "test"))
+    rows = spark.range(5000).selectExpr(
+        "CONCAT('u', id) AS user_id", "'a' AS ads_id", "'2024-01-01' AS day", "id AS click_count", "'7' AS part"
+    )
+    state, _ = store.counts.put(rows, None, 0, "t")
+    work = gate_module._Batch(spark, store, 1, {"tables": {"counts": state}}, 1)
+    rows.where("user_id IN ('u7', 'u9')").drop("click_count").write.parquet(f"{store.path}/fresh")
+    found = work.stored(spark.read.parquet(f"{store.path}/fresh"), ["7"])
+    assert as_tuples(found, "user_id", "click_count") == [("u7", 7), ("u9", 9)]
+    plan = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line and "LeftSemi" in line)
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+    assert joined < scan and not any("Exchange" in line and "Broadcast" not in line for line in plan[joined:scan])
+
+
 def test_what_failed_batches_leave_goes(spark, monkeypatch):
     root = new_scratch_dir(spark, "test")
     store = GateStore(f"{root}/gate")
