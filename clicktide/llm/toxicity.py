@@ -98,7 +98,10 @@ def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
 
 
 def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all words and of their beginnings, and the first word of each row."""
+    """Keys of all words and of their beginnings, and the first word of each row.
+
+    A word shorter than a beginning has none (key 0): it would count the word twice.
+    """
     words = find_words(buf, offsets, ALNUM)
     start = np.zeros(len(words.starts), np.uint64)
     for i in range(BEGINNING):
@@ -106,7 +109,9 @@ def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         inside = at < words.ends
         start = start << np.uint64(8)
         start[inside] |= LOWER[buf[at[inside]]]
-    return words.hashes | np.uint64(1), mix(start) & ~np.uint64(1) | np.uint64(2), words.first
+    begins = mix(start) & ~np.uint64(1) | np.uint64(2)
+    begins[words.ends - words.starts < BEGINNING] = 0
+    return words.hashes | np.uint64(1), begins, words.first
 
 
 def mean_values(table: Table, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -163,7 +168,10 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> Da
 
 
 def _contexts(batches):
-    """Distinct pairs of an expression and the word before it, for each batch of labelled texts."""
+    """Distinct pairs of an expression and the word before it, for each batch of labelled texts.
+
+    ``seen`` has 31 bits of the word before and the label in the last, so that a pair takes 12 bytes.
+    """
     for batch in batches:
         buf, offsets = text_buffers(batch.column(0))
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
@@ -174,13 +182,15 @@ def _contexts(batches):
             before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])
             before[first[:-1][np.diff(first) > 0]] = 0
             label = np.repeat(toxic[a:b], np.diff(first)).astype(np.uint64)
+            seen = (mix(before + np.uint64(77)) >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1)
+            seen |= label.astype(np.uint32)
             for keys in (word, start):
-                pair = mix(keys ^ mix(before + np.uint64(77)))
-                _, at = np.unique(mix(pair + label), return_index=True)
+                there = np.flatnonzero(keys)
+                _, at = np.unique(mix(keys[there] ^ mix(seen[there].astype(np.uint64))), return_index=True)
+                at = there[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at].view(np.int64)), pa.array(before[at].view(np.int64)),
-                     pa.array(label[at].astype(np.int32))],
-                    names=["unit", "before", "toxic"],
+                    [pa.array(keys[at].view(np.int64)), pa.array(seen[at].view(np.int32))],
+                    names=["unit", "seen"],
                 )
 
 
@@ -232,11 +242,10 @@ def fit_toxicity(
         chosen = F.broadcast(chosen)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id")
     pairs = rows.where("NOT calibrates").select("_text", "toxic").mapInArrow(
-        _contexts, "unit bigint, before bigint, toxic int"
+        _contexts, "unit bigint, seen int"
     ).distinct()
-    counted = pairs.groupBy("unit").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")
-    )
+    toxic = F.col("seen").bitwiseAND(1)
+    counted = pairs.groupBy("unit").agg(F.sum(toxic).alias("t"), F.sum(1 - toxic).alias("o"))
     # Read twice: for the sums of all, and for each unit.
     counted.write.parquet(f"{path}/counts")
     values = _values(spark.read.parquet(f"{path}/counts"))
