@@ -152,6 +152,8 @@ def put_last_hour(root: str, snapshot: str, run: str, every: int = 100) -> Put:
         spark = clicks.sparkSession
         turn = begin(spark, manifest, run, batch_id)
         newest = clicks.agg(F.max(F.unix_millis("logdate"))).first()[0]
+        # A new checkpoint reads all accepted clicks again, so its run starts from empty tables.
+        base = turn.base if turn.base.get("run") == run else {}
         known = [t for t in (newest, turn.base.get("latest")) if t is not None]
         if not known:
             return
@@ -160,9 +162,9 @@ def put_last_hour(root: str, snapshot: str, run: str, every: int = 100) -> Put:
         live = clicks.where(F.col("logdate") > first).groupBy(
             "ads_id", "logdate", _minute_part("logdate").alias("part")
         ).agg(F.count("*").alias("click_count"))
-        singles = moments.fold(spark, turn.base.get("moments"), turn.tag, F.col("logdate") > first)
+        singles = moments.fold(spark, base.get("moments"), turn.tag, F.col("logdate") > first)
         singles, fresh = moments.put(live, singles, turn.number, turn.tag)
-        whole = minutes.fold(spark, turn.base.get("minutes"), turn.tag, F.col("minute") > first)
+        whole = minutes.fold(spark, base.get("minutes"), turn.tag, F.col("minute") > first)
         counted = ads_minute_counts(fresh, "click_count").drop("hour_min")
         whole, _ = minutes.put(counted, whole, turn.number, turn.tag)
 
