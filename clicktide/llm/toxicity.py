@@ -179,7 +179,7 @@ def _contexts(batches):
             word, start, first = expressions(
                 buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             )
-            before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])
+            before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])[: len(word)]
             before[first[:-1][np.diff(first) > 0]] = 0
             label = np.repeat(toxic[a:b], np.diff(first)).astype(np.uint64)
             seen = (mix(before + np.uint64(77)) >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1)

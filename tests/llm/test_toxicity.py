@@ -90,6 +90,14 @@ def test_missing_classes(spark, kept):
     assert {r["predicted"] for r in tox.score_toxicity(frame, model).collect()} == {int(kept == [1])}
 
 
+def test_labelled_texts_without_words(spark):
+    frame = spark.createDataFrame([(1, ""), (2, None), (3, " .,")], "doc_id bigint, text string")
+    model = tox.fit_toxicity(frame, spark.createDataFrame([(i, i % 2) for i in (1, 2, 3)], "doc_id bigint, toxic int"))
+    assert {r["score"] for r in tox.score_toxicity(frame, model).collect()} == {
+        tox.score_toxicity(frame, model).first()["score"]
+    }
+
+
 def test_table():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(1, 2**63, 5000).astype(np.uint64))
