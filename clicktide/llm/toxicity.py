@@ -1,18 +1,23 @@
 """Operator 8, toxicity by class-conditional Kneser-Ney models.
 
-Toxic and ordinary text have a model each, over words and over beginnings of
-words. As Kneser and Ney have it, an expression counts as often as it follows a
-different word, so a word repeated in one text, or a text copied a thousand
-times, adds little. Each class takes ``DISCOUNT`` off its counts and hands what
+Toxic and ordinary text have a model each, over pairs of words, words and beginnings of
+words. A pair counts once for each different text that holds it. As Kneser and Ney have it, a
+word or a beginning counts as often as it follows a different word, so a word repeated in one text, or a
+text copied a thousand times, adds little. Each class takes ``DISCOUNT`` off its counts and hands what
 it took to one backoff distribution shared by both, the counts of both classes
-together; what is rare in either class is therefore rated alike by both. An
-expression's value is the difference of its two log-likelihoods beyond
-``MARGIN``; a text's is the mean over its words. A logistic fit on labelled rows
-that gave no counts turns it into a probability.
+together; what is rare in either class is therefore rated alike by both. What the
+shared counts of pairs were discounted goes to the words of each class:
+
+    p(w | v, class) = (1 - b(v)) q(w | v, class) + b(v) p(w | class)
 
-The models are of order 1: the word before an expression makes its count, but no
-probability depends on it. All labelled rows outside the held-out fold give counts; only the
-rows of the logistic fit are bounded.
+with q the discounted counts of the class behind v, smoothed by the shared ones, and b(v) the
+discounted part of the shared counts behind v. So a pair that is rare in both classes
+adds nothing to what its word says alone, and a phrase of ordinary words is rated as a phrase.
+
+An expression's value is the difference of its two log-likelihoods beyond
+``MARGIN``; a text's is the mean over its words. A logistic fit on labelled rows
+that gave no counts turns it into a probability. All labelled rows outside the held-out fold give counts;
+only the rows of the logistic fit are bounded.
 """
 
 from __future__ import annotations
@@ -97,10 +102,13 @@ def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
     return values
 
 
-def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all words and of their beginnings, and the first word of each row.
+def expressions(
+    buf: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all words and of their beginnings, 32 bits of the word before, the first word of each row.
 
     A word shorter than a beginning has none (key 0): it would count the word twice.
+    The first word of a row follows the row's edge.
     """
     words = find_words(buf, offsets, ALNUM)
     start = np.zeros(len(words.starts), np.uint64)
@@ -111,14 +119,24 @@ def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         start[inside] |= LOWER[buf[at[inside]]]
     begins = mix(start) & ~np.uint64(1) | np.uint64(2)
     begins[words.ends - words.starts < BEGINNING] = 0
-    return words.hashes | np.uint64(1), begins, words.first
+    word = words.hashes | np.uint64(1)
+    before = np.zeros(len(word), np.uint64)
+    before[1:] = word[:-1]
+    before[words.first[:-1][np.diff(words.first) > 0]] = 0
+    before = (mix(before + np.uint64(77)) >> np.uint64(32)).astype(np.uint32)
+    return word, begins, before, words.first
+
+
+def pair_keys(units: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Keys of units with the word before them; no word and no beginning has such a key."""
+    return mix(units ^ mix(before.astype(np.uint64))) & ~np.uint64(3) | np.uint64(4)
 
 
 def mean_values(table: Table, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of the words of each row over their number; 0 for a row without words."""
-    word, start, first = expressions(buf, offsets)
-    total = np.concatenate([[0.0], np.cumsum(look_up(table, word) + look_up(table, start),
-                                             dtype=np.float64)])
+    word, start, before, first = expressions(buf, offsets)
+    value = look_up(table, word) + look_up(table, start) + look_up(table, pair_keys(word, before))
+    total = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
     return (total[first[1:]] - total[first[:-1]]) / np.maximum(1, np.diff(first))
 
 
@@ -167,35 +185,60 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> Da
     return rows.withColumn("weight", weight).where("weight IS NOT NULL")
 
 
+def _once(rows: DataFrame, path: str) -> DataFrame:
+    """One of the ``rows`` (_id, _text, toxic) for each different text of a class.
+
+    Ids and digests choose the row, so texts are only shuffled where one row is there more than once.
+    """
+    text = F.coalesce("_text", F.lit(""))
+    keyed = rows.withColumns({"_a": F.xxhash64(text), "_b": F.xxhash64(F.lit("text"), text)})
+    named = keyed.groupBy("_a", "_b", "toxic", "_id").agg(F.count("*").alias("n"))
+    least = named.groupBy("_a", "_b", "toxic").agg(F.min(F.struct("_id", "n")).alias("least"))
+    least.select("_a", "_b", "toxic", "least.*").write.parquet(path)
+    chosen = rows.sparkSession.read.parquet(path)
+    if chosen.count() <= BROADCAST_LABELS:
+        chosen = F.broadcast(chosen)
+    key = ["_id", "_a", "_b", "toxic"]
+    single = keyed.join(chosen.where("n = 1"), key)
+    repeated = keyed.join(chosen.where("n > 1"), key).dropDuplicates(key)
+    return single.select("_text", "toxic").union(repeated.select("_text", "toxic"))
+
+
 def _contexts(batches):
-    """Distinct pairs of an expression and the word before it, for each batch of labelled texts.
+    """Pairs of an expression and the word before it, with the texts of each class that hold them.
 
-    ``seen`` has 31 bits of the word before and the label in the last, so that a pair takes 12 bytes.
+    Summed over each group of a batch's texts.
     """
     for batch in batches:
         buf, offsets = text_buffers(batch.column(0))
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for a, b in row_groups(offsets, GROUP_BYTES):
-            word, start, first = expressions(
+            word, start, before, first = expressions(
                 buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             )
-            before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])[: len(word)]
-            before[first[:-1][np.diff(first) > 0]] = 0
-            label = np.repeat(toxic[a:b], np.diff(first)).astype(np.uint64)
-            seen = (mix(before + np.uint64(77)) >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1)
-            seen |= label.astype(np.uint32)
+            row = np.repeat(np.arange(a, b), np.diff(first))
             for keys in (word, start):
                 there = np.flatnonzero(keys)
-                _, at = np.unique(mix(keys[there] ^ mix(seen[there].astype(np.uint64))), return_index=True)
+                pair = pair_keys(keys[there], before[there])
+                _, once = np.unique(mix(pair ^ mix(row[there].astype(np.uint64))), return_index=True)
+                there = there[once]
+                _, at, which = np.unique(pair[once], return_index=True, return_inverse=True)
+                t = np.bincount(which, toxic[row[there]], len(at)).astype(np.int32)
+                o = np.bincount(which, minlength=len(at)).astype(np.int32) - t
                 at = there[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at].view(np.int64)), pa.array(seen[at].view(np.int32))],
-                    names=["unit", "seen"],
+                    [pa.array(keys[at].view(np.int64)), pa.array(before[at].view(np.int32)),
+                     pa.array(t), pa.array(o)],
+                    names=["unit", "before", "t", "o"],
                 )
 
 
-def _values(counted: DataFrame) -> DataFrame:
-    """Units whose two log-likelihoods differ by more than the margin, with that difference."""
+def _beyond_margin(differs: Column) -> Column:
+    return F.signum(differs) * F.greatest(F.abs(differs) - MARGIN, F.lit(0.0))
+
+
+def _chances(counted: DataFrame) -> DataFrame:
+    """Units with their probabilities ``p_t`` and ``p_o`` in the two classes; none if a class has no units."""
     kind = F.col("unit").bitwiseAND(1)
     totals = counted.groupBy(kind.alias("kind")).agg(
         *[F.sum(c).cast("double").alias(f"all_{c}") for c in ("t", "o")],
@@ -208,13 +251,51 @@ def _values(counted: DataFrame) -> DataFrame:
         / F.col(f"all_{c}")
         for c in ("t", "o")
     }
-    differs = F.log(chance["t"] / chance["o"])
-    value = F.signum(differs) * F.greatest(F.abs(differs) - MARGIN, F.lit(0.0))
     return (
         counted.join(F.broadcast(totals), kind == F.col("kind"))
         .where("all_t > 0 AND all_o > 0")
-        .select("unit", value.alias("value")).where("value <> 0")
+        .select("unit", chance["t"].alias("p_t"), chance["o"].alias("p_o"))
+    )
+
+
+def _values(counted: DataFrame) -> DataFrame:
+    """Units whose two log-likelihoods differ by more than the margin, with that difference."""
+    value = _beyond_margin(F.log(F.col("p_t") / F.col("p_o")))
+    return _chances(counted).select("unit", value.alias("value")).where("value <> 0")
+
+
+def _pair_values(pairs: DataFrame, chances: DataFrame) -> DataFrame:
+    """Pairs (unit, before) with what they add to the value of the unit alone.
+
+    Pairs whose shared count is within the discount add nothing, by the formula above.
+    """
+    spare = lambda count: F.sum(F.least(count, F.lit(DISCOUNT)))
+    both = F.col("t") + F.col("o")
+    contexts = pairs.groupBy("before").agg(
+        *[F.sum(c).alias(f"all_{c}") for c in ("t", "o")],
+        *[spare(F.col(c)).alias(f"spare_{c}") for c in ("t", "o")],
+        (spare(both) / F.sum(both)).alias("backoff"), (F.sum(both) - spare(both)).alias("mass"),
     )
+    # A backoff of 1 means that no pair behind this word is beyond the discount.
+    known = pairs.where(both > DISCOUNT).join(contexts, "before").join(chances, "unit")
+    shared = (both - DISCOUNT) / F.col("mass")
+    chance = {}
+    for c in ("t", "o"):
+        held = (F.greatest(F.col(c) - DISCOUNT, F.lit(0)) + F.col(f"spare_{c}") * shared) / F.col(f"all_{c}")
+        behind = F.when(F.col(f"all_{c}") > 0, held).otherwise(shared)
+        chance[c] = (1 - F.col("backoff")) * behind + F.col("backoff") * F.col(f"p_{c}")
+    value = _beyond_margin(F.log(chance["t"] / chance["o"])) - _beyond_margin(F.log(F.col("p_t") / F.col("p_o")))
+    return known.select("unit", "before", value.alias("value")).where("value <> 0")
+
+
+def _keyed(batches):
+    """(unit, before, value) as (unit, value), the unit now the key of the pair."""
+    for batch in batches:
+        unit, before = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        keys = pair_keys(unit.view(np.uint64), before.view(np.uint32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), batch.column(2)], names=["unit", "value"]
+        )
 
 
 def fit_toxicity(
@@ -225,14 +306,15 @@ def fit_toxicity(
     label_col: str = "toxic",
     max_rows: int = MAX_ROWS,
     max_units: int = MAX_UNITS,
+    order: int = 2,
 ) -> Model:
     """Learn from the labelled rows outside the held-out fold.
 
     Rows whose crc32 of the id modulo 5 is 4 fit the logistic scale, 1 to 3 give the
     counts, 0 gives nothing. ``max_rows`` bounds the rows of each class that fit the scale (as
     drawn by hash), ``max_units`` the expressions of one block of the model; a
-    larger model has more blocks. Labels with a null, and ids without a document, teach
-    nothing.
+    larger model has more blocks. ``order`` 1 leaves the pairs of words out. Labels with a null, and
+    ids without a document, teach nothing.
     """
     spark = docs.sparkSession
     path = new_scratch_dir(spark, "toxicity")
@@ -241,14 +323,22 @@ def fit_toxicity(
     if chosen.count() <= BROADCAST_LABELS:
         chosen = F.broadcast(chosen)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id")
-    pairs = rows.where("NOT calibrates").select("_text", "toxic").mapInArrow(
-        _contexts, "unit bigint, seen int"
-    ).distinct()
-    toxic = F.col("seen").bitwiseAND(1)
-    counted = pairs.groupBy("unit").agg(F.sum(toxic).alias("t"), F.sum(1 - toxic).alias("o"))
-    # Read twice: for the sums of all, and for each unit.
-    counted.write.parquet(f"{path}/counts")
-    values = _values(spark.read.parquet(f"{path}/counts"))
+    texts = _once(rows.where("NOT calibrates").select("_id", "_text", "toxic"), f"{path}/texts")
+    found = texts.mapInArrow(_contexts, "unit bigint, before int, t int, o int")
+    # Read three times: for the counts of words, for what follows a word, and for the pairs.
+    found.groupBy("unit", "before").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).write.parquet(
+        f"{path}/pairs"
+    )
+    pairs = spark.read.parquet(f"{path}/pairs")
+    follows = [F.sum((F.col(c) > 0).cast("int")).alias(c) for c in ("t", "o")]
+    # Read again: for the sums of all, and for each unit.
+    pairs.groupBy("unit").agg(*follows).write.parquet(f"{path}/counts")
+    counted = spark.read.parquet(f"{path}/counts")
+    values = _values(counted)
+    if order > 1:
+        of_words = pairs.where(F.col("unit").bitwiseAND(1) == 1)
+        added = _pair_values(of_words, _chances(counted)).mapInArrow(_keyed, "unit bigint, value double")
+        values = values.union(added)
     values.write.parquet(f"{path}/values")
     values = spark.read.parquet(f"{path}/values")
     blocks = max(1, -(-values.count() // max_units))

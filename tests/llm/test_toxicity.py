@@ -1,6 +1,9 @@
 """Operator 8: held-out accuracy, a plain version of the model, and edge cases."""
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -126,6 +129,98 @@ def test_values_follow_the_formula(spark):
     assert want and got == pytest.approx(want)
 
 
+def plain_means(docs, labels):
+    """Mean value of each text by counting in plain Python."""
+    split = lambda text: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    toxic = {}
+    for i, t in labels:
+        toxic[i] = max(t, toxic.get(i, 0))
+    texts = {(text, toxic[i]) for i, text in docs if i in toxic and fold(i) in (1, 2, 3)}
+    kinds = {"word": lambda w: w, "start": lambda w: w.encode()[:5] if len(w.encode()) >= 5 else None}
+    pairs = {k: [Counter(), Counter()] for k in kinds}
+    for text, t in texts:
+        words = split(text)
+        for kind, key in kinds.items():
+            pairs[kind][t].update({(v, key(w)) for v, w in zip([""] + words, words) if key(w)})
+    d = tox.DISCOUNT
+    beyond = lambda x: math.copysign(max(abs(x) - tox.MARGIN, 0), x)
+    chance = {}
+    for kind in kinds:
+        n = [Counter(w for _, w in pairs[kind][c]) for c in (0, 1)]
+        total, spare = [sum(c.values()) for c in n], [sum(min(x, d) for x in c.values()) for c in n]
+        for w in n[0] | n[1]:
+            shared = (n[0][w] + n[1][w]) / sum(total)
+            chance[kind, w] = [(max(n[c][w] - d, 0) + spare[c] * shared) / total[c] for c in (0, 1)]
+    of, both = pairs["word"], pairs["word"][0] + pairs["word"][1]
+    behind = {}
+    for v, w in both:
+        behind.setdefault(v, []).append((v, w))
+
+    def value(v, w):
+        p = chance.get(("word", w))
+        if p is None:
+            return 0.0
+        mass = sum(max(both[x] - d, 0) for x in behind.get(v, []))
+        if mass:
+            backoff, q = 1 - mass / sum(both[x] for x in behind[v]), []
+            for c in (0, 1):
+                total, spare = (sum(f(of[c][x]) for x in behind[v]) for f in (int, lambda n: min(n, d)))
+                s = max(both[v, w] - d, 0) / mass
+                q.append((max(of[c][v, w] - d, 0) + spare * s) / total if total else s)
+            p = [(1 - backoff) * q[c] + backoff * p[c] for c in (0, 1)]
+        return beyond(math.log(p[1] / p[0]))
+
+    means = {}
+    for i, text in docs:
+        words = split(text)
+        starts = [chance.get(("start", kinds["start"](w))) for w in words]
+        total = sum(value(v, w) for v, w in zip([""] + words, words))
+        total += sum(beyond(math.log(p[1] / p[0])) for p in starts if p)
+        means[i] = total / max(1, len(words))
+    return means
+
+
+def test_as_counted_plainly(spark):
+    """Also with copies under other ids and repeated rows, and a phrase of words that are ordinary alone."""
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for i in range(500):
+        words = [f"w{min(rng.integers(40), rng.integers(40))}" for _ in range(40)] + ["common", "évident"]
+        words[7:7] = ["Nasty, WORD", "thing"] if i % 4 == 0 else []
+        words[3:3] = ["go", "jump"] if i % 4 == 0 else ["go", "w1", "jump"]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs += [(1000 + i, docs[12][1]) for i in range(60)]
+    labels += [(1000 + i, 1) for i in range(60)]
+    frame = spark.createDataFrame([*docs, *docs[20:40], *docs[20:40]], "doc_id bigint, text string")
+    model = tox.fit_toxicity(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    got = {r["doc_id"]: r["mean"] for r in tox._with_means(frame, "text", model).collect()}
+    want = plain_means(docs, labels)
+    assert len({round(x, 6) for x in want.values()}) > 10
+    assert got == pytest.approx(want, abs=1e-5)
+
+
+def test_phrase_of_ordinary_words(spark):
+    """Words that every text has are toxic only as one phrase, which order 1 can't see."""
+    rng = np.random.default_rng(6)
+    docs, labels = [], []
+    for i in range(800):
+        words = [f"w{rng.integers(100)}" for _ in range(30)]
+        for _ in range(2):
+            at = int(rng.integers(len(words)))
+            words[at:at] = ["drop", "dead"] if i % 4 == 0 else ["drop", "w5", "dead"]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    right = []
+    for order in (1, 2):
+        rows = tox.score_toxicity(frame, tox.fit_toxicity(frame, marks, order=order)).collect()
+        held = [r for r in rows if fold(r["doc_id"]) == 0]
+        right.append(sum(r["predicted"] == labels[r["doc_id"]][1] for r in held) / len(held))
+    assert right[0] < 0.85 and right[1] > 0.97
+
+
 def test_query(spark, data):
     rows = op8_toxicity(spark, data).collect()
     assert all(r["held_out"] == (fold(r["doc_id"]) == 0) for r in rows)
