@@ -2,8 +2,8 @@
 
 Toxic and ordinary text have a model each, over pairs of words, words and beginnings of
 words. A pair counts once for each different text that holds it. As Kneser and Ney have it, a
-word or a beginning counts as often as it follows a different word, so a word repeated in one text, or a
-text copied a thousand times, adds little. Each class takes ``DISCOUNT`` off its counts and hands what
+word counts as often as it follows a different word, so a word repeated in one text, or a
+text copied a thousand times, adds little; a beginning counts as often as its words together. Each class takes ``DISCOUNT`` off its counts and hands what
 it took to one backoff distribution shared by both, the counts of both classes
 together; what is rare in either class is therefore rated alike by both. What the
 shared counts of pairs were discounted goes to the words of each class:
@@ -36,6 +36,7 @@ from clicktide.session import new_scratch_dir
 DISCOUNT = 3
 MARGIN = 1.5
 BEGINNING = 5
+UPPER = np.uint64(0xFFFFFFFF00000000)
 FOLDS = 5
 HELD_OUT, CALIBRATION = 0, 4
 GROUP_BYTES = 4 << 20
@@ -102,13 +103,11 @@ def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
     return values
 
 
-def expressions(
-    buf: np.ndarray, offsets: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all words and of their beginnings, 32 bits of the word before, the first word of each row.
+def expressions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all words, 32 bits of the word before, and the first word of each row.
 
-    A word shorter than a beginning has none (key 0): it would count the word twice.
-    The first word of a row follows the row's edge.
+    The upper half of a key are its first bytes, hashed; bit 0 marks a word, bit 1 one that is as long as a
+    beginning. The first word of a row follows the row's edge.
     """
     words = find_words(buf, offsets, ALNUM)
     start = np.zeros(len(words.starts), np.uint64)
@@ -117,14 +116,18 @@ def expressions(
         inside = at < words.ends
         start = start << np.uint64(8)
         start[inside] |= LOWER[buf[at[inside]]]
-    begins = mix(start) & ~np.uint64(1) | np.uint64(2)
-    begins[words.ends - words.starts < BEGINNING] = 0
-    word = words.hashes | np.uint64(1)
+    long = (words.ends - words.starts >= BEGINNING).astype(np.uint64) << np.uint64(1)
+    word = mix(start) & UPPER | words.hashes & np.uint64(0xFFFFFFFC) | long | np.uint64(1)
     before = np.zeros(len(word), np.uint64)
     before[1:] = word[:-1]
     before[words.first[:-1][np.diff(words.first) > 0]] = 0
     before = (mix(before + np.uint64(77)) >> np.uint64(32)).astype(np.uint32)
-    return word, begins, before, words.first
+    return word, before, words.first
+
+
+def beginnings(word: np.ndarray) -> np.ndarray:
+    """Keys of the beginnings of words; 0 for a shorter word, which would else count twice."""
+    return np.where(word & np.uint64(2), word & UPPER | np.uint64(2), np.uint64(0))
 
 
 def pair_keys(units: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -134,8 +137,8 @@ def pair_keys(units: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 def mean_values(table: Table, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of the words of each row over their number; 0 for a row without words."""
-    word, start, before, first = expressions(buf, offsets)
-    value = look_up(table, word) + look_up(table, start) + look_up(table, pair_keys(word, before))
+    word, before, first = expressions(buf, offsets)
+    value = look_up(table, word) + look_up(table, beginnings(word)) + look_up(table, pair_keys(word, before))
     total = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
     return (total[first[1:]] - total[first[:-1]]) / np.maximum(1, np.diff(first))
 
@@ -205,7 +208,7 @@ def _once(rows: DataFrame, path: str) -> DataFrame:
 
 
 def _contexts(batches):
-    """Pairs of an expression and the word before it, with the texts of each class that hold them.
+    """Pairs of a word and the word before it, with the number of texts of each class that hold them.
 
     Summed over each group of a batch's texts.
     """
@@ -213,24 +216,29 @@ def _contexts(batches):
         buf, offsets = text_buffers(batch.column(0))
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for a, b in row_groups(offsets, GROUP_BYTES):
-            word, start, before, first = expressions(
+            word, before, first = expressions(
                 buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             )
             row = np.repeat(np.arange(a, b), np.diff(first))
-            for keys in (word, start):
-                there = np.flatnonzero(keys)
-                pair = pair_keys(keys[there], before[there])
-                _, once = np.unique(mix(pair ^ mix(row[there].astype(np.uint64))), return_index=True)
-                there = there[once]
-                _, at, which = np.unique(pair[once], return_index=True, return_inverse=True)
-                t = np.bincount(which, toxic[row[there]], len(at)).astype(np.int32)
-                o = np.bincount(which, minlength=len(at)).astype(np.int32) - t
-                at = there[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at].view(np.int64)), pa.array(before[at].view(np.int32)),
-                     pa.array(t), pa.array(o)],
-                    names=["unit", "before", "t", "o"],
-                )
+            pair = pair_keys(word, before)
+            _, once = np.unique(mix(pair ^ mix(row.astype(np.uint64))), return_index=True)
+            _, at, which = np.unique(pair[once], return_index=True, return_inverse=True)
+            t = np.bincount(which, toxic[row[once]], len(at)).astype(np.int32)
+            o = np.bincount(which, minlength=len(at)).astype(np.int32) - t
+            at = once[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[at].view(np.int64)), pa.array(before[at].view(np.int32)),
+                 pa.array(t), pa.array(o)],
+                names=["unit", "before", "t", "o"],
+            )
+
+
+def _with_beginnings(words: DataFrame) -> DataFrame:
+    """Counted words, and their beginnings with the counts of their words together."""
+    unit = F.col("unit")
+    begins = unit.bitwiseAND(-(1 << 32)).bitwiseOR(2).alias("unit")
+    counts = [F.sum(c).alias(c) for c in ("t", "o")]
+    return words.union(words.where(unit.bitwiseAND(2) == 2).groupBy(begins).agg(*counts))
 
 
 def _beyond_margin(differs: Column) -> Column:
@@ -325,19 +333,18 @@ def fit_toxicity(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id")
     texts = _once(rows.where("NOT calibrates").select("_id", "_text", "toxic"), f"{path}/texts")
     found = texts.mapInArrow(_contexts, "unit bigint, before int, t int, o int")
-    # Read three times: for the counts of words, for what follows a word, and for the pairs.
+    # Read three times: for the counts of words, for what follows a word, and for the frequent pairs.
     found.groupBy("unit", "before").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).write.parquet(
         f"{path}/pairs"
     )
     pairs = spark.read.parquet(f"{path}/pairs")
     follows = [F.sum((F.col(c) > 0).cast("int")).alias(c) for c in ("t", "o")]
-    # Read again: for the sums of all, and for each unit.
+    # Read again: for the beginnings, for the sums of all, and for each unit.
     pairs.groupBy("unit").agg(*follows).write.parquet(f"{path}/counts")
-    counted = spark.read.parquet(f"{path}/counts")
+    counted = _with_beginnings(spark.read.parquet(f"{path}/counts"))
     values = _values(counted)
     if order > 1:
-        of_words = pairs.where(F.col("unit").bitwiseAND(1) == 1)
-        added = _pair_values(of_words, _chances(counted)).mapInArrow(_keyed, "unit bigint, value double")
+        added = _pair_values(pairs, _chances(counted)).mapInArrow(_keyed, "unit bigint, value double")
         values = values.union(added)
     values.write.parquet(f"{path}/values")
     values = spark.read.parquet(f"{path}/values")

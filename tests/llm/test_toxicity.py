@@ -137,21 +137,20 @@ def plain_means(docs, labels):
         toxic[i] = max(t, toxic.get(i, 0))
     texts = {(text, toxic[i]) for i, text in docs if i in toxic and fold(i) in (1, 2, 3)}
     kinds = {"word": lambda w: w, "start": lambda w: w.encode()[:5] if len(w.encode()) >= 5 else None}
-    pairs = {k: [Counter(), Counter()] for k in kinds}
+    of = [Counter(), Counter()]
     for text, t in texts:
         words = split(text)
-        for kind, key in kinds.items():
-            pairs[kind][t].update({(v, key(w)) for v, w in zip([""] + words, words) if key(w)})
+        of[t].update(set(zip([""] + words, words)))
     d = tox.DISCOUNT
     beyond = lambda x: math.copysign(max(abs(x) - tox.MARGIN, 0), x)
     chance = {}
-    for kind in kinds:
-        n = [Counter(w for _, w in pairs[kind][c]) for c in (0, 1)]
+    for kind, key in kinds.items():
+        n = [Counter(key(w) for _, w in of[c] if key(w)) for c in (0, 1)]
         total, spare = [sum(c.values()) for c in n], [sum(min(x, d) for x in c.values()) for c in n]
         for w in n[0] | n[1]:
             shared = (n[0][w] + n[1][w]) / sum(total)
             chance[kind, w] = [(max(n[c][w] - d, 0) + spare[c] * shared) / total[c] for c in (0, 1)]
-    of, both = pairs["word"], pairs["word"][0] + pairs["word"][1]
+    both = of[0] + of[1]
     behind = {}
     for v, w in both:
         behind.setdefault(v, []).append((v, w))
